@@ -99,6 +99,11 @@ def forecast_gl_labels(schemaid: Column, description: Column, post_label: Column
     }
 
 
+def layer_signature(df: DataFrame) -> list[tuple[str, str]]:
+    """(name, type) of every column; actuals and forecasts must have the same signature."""
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
 def _layer(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     return df.select(*[cols[name].cast(typ).alias(name) for name, typ in LAYER_SCHEMA])
 
