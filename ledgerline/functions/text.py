@@ -50,6 +50,21 @@ def extract_or_null(c: Column | str, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(as_col(c), pattern, group), F.lit(""))
 
 
+def like_prefix(c: Column | str, pattern: str) -> Column:
+    """``c LIKE pattern`` plus the exact literal prefix of the pattern as ``startswith``.
+
+    The prefix test is implied by the LIKE (so the result is unchanged) but,
+    unlike a LIKE with a '_' wildcard, Spark pushes it into the Parquet scan
+    (``StringStartsWith``) where row groups can be skipped.
+    """
+    col = as_col(c)
+    cond = col.like(pattern)
+    if "\\" in pattern:  # escaped wildcards: keep the plain LIKE
+        return cond
+    prefix = re.split(r"[_%]", pattern, maxsplit=1)[0]
+    return (col.startswith(prefix) & cond) if prefix else cond
+
+
 def clean_location(value: Column | str) -> Column:
     """CRM location: NULL or blank -> 'Unknown', else INITCAP(TRIM(value))."""
     v = as_col(value)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import params as P
 from ledgerline.functions.dates import date_parts, month_names
-from ledgerline.functions.text import clean_location, clean_town, programme_label
+from ledgerline.functions.text import like_prefix, clean_location, clean_town, programme_label
 from ledgerline.operators.spines import month_spine
 from ledgerline.plans import churn, finance, neobank, programme, retention
 from ledgerline.sources.fixtures import RoleTables
@@ -69,7 +69,7 @@ def q_ledger_period(spark, sf_dir):
 def q_ledger_period_filter(spark, sf_dir):
     """Lines whose text passes LIKE 'YEARMONTH_%' and whose parsed year is >= 2020."""
     ledger = _rt(spark, sf_dir)["ledger"]
-    lines = (finance.ledger_periods(ledger.where(F.col("group_identifier").like(P.PERIOD_LIKE)))
+    lines = (finance.ledger_periods(ledger.where(like_prefix("group_identifier", P.PERIOD_LIKE)))
              .where(F.col("period_year") >= P.MIN_ACTUALS_YEAR))
     return (lines.groupBy("group_identifier", "period_year", "period_month")
             .agg(F.count(F.lit(1)).alias("n_lines")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline import params as P
 from ledgerline.functions.dates import month_names, parse_period
 from ledgerline.functions.money import numeric_pct, round_money
+from ledgerline.functions.text import like_prefix
 from ledgerline.operators.spines import expand_months
 
 LAYER_SCHEMA = (
@@ -122,7 +123,7 @@ def ledger_periods(ledger: DataFrame) -> DataFrame:
 def reportable_ledger(ledger: DataFrame, min_year: int = P.MIN_ACTUALS_YEAR) -> DataFrame:
     """Lines with a period text, a revenue/cost type, a whitelisted GL and year >= ``min_year``."""
     return (ledger_periods(
-        ledger.where(F.col("group_identifier").like(P.PERIOD_LIKE))
+        ledger.where(like_prefix("group_identifier", P.PERIOD_LIKE))
         .where(F.col("schemaid_type").isin(P.TYPE_REVENUE, P.TYPE_COST))
         .where(reportable_gl("schemaid")))
         .where(F.col("period_year") >= min_year))
@@ -263,12 +264,14 @@ def forecasts_by_gl(forecasts: DataFrame) -> DataFrame:
     return gl_totals(forecasts, "forecast")
 
 
-def finance_variance(actuals: DataFrame, forecasts: DataFrame, order: bool = True) -> DataFrame:
+def finance_variance(actuals: DataFrame, forecasts: DataFrame, order: bool = True,
+                     unit_from: str = "actual") -> DataFrame:
     """Layer 3: forecast vs actual per month x GL, with variance, % and flags.
 
     Full outer join on (year, month, GL code) so one-sided accounts stay.
     Ratios are NULL when the forecast is 0. ``organization_group`` comes from
-    the actual side (NULL on forecast-only rows), as in the original.
+    the actual side (NULL on forecast-only rows), as in the original;
+    ``unit_from="both"`` falls back to the forecast side.
     """
     a = actuals_by_gl(actuals).alias("a")
     f = forecasts_by_gl(forecasts).alias("f")
@@ -299,7 +302,8 @@ def finance_variance(actuals: DataFrame, forecasts: DataFrame, order: bool = Tru
         F.quarter(day).cast("bigint").alias("date_quarter"),
         F.weekofyear(day).cast("bigint").alias("date_week"),
         F.lit(1).cast("bigint").alias("date_day"),
-        F.col("a.organization_group").alias("organization_group"),
+        (both("organization_group") if unit_from == "both" else F.col("a.organization_group"))
+        .alias("organization_group"),
     ]
     out = joined.select(*out_cols)
     if order:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import params as P
 from ledgerline.functions.dates import date_parts
-from ledgerline.functions.text import extract_or_null, initcap_words, programme_label
+from ledgerline.functions.text import like_prefix, extract_or_null, initcap_words, programme_label
 from ledgerline.operators.joins import left_join_skew_safe
 from ledgerline.plans.retention import location_fields
 
@@ -37,7 +37,7 @@ def signed_revenue(result: Column | str = "result", gl_type: Column | str = "sch
 def programme_revenue_base(transactions: DataFrame) -> DataFrame:
     """Distinct programme revenue lines: amount, period text, programme, company, year, month."""
     gi = F.col("group_identifier")
-    return (transactions.where(gi.like(P.PERIOD_LIKE) & F.col("schemaid").isin(*P.PROGRAMME_REVENUE_CODES))
+    return (transactions.where(like_prefix(gi, P.PERIOD_LIKE) & F.col("schemaid").isin(*P.PROGRAMME_REVENUE_CODES))
             .select(signed_revenue().alias("result"),
                     gi.alias("transaction_identifier"),
                     programme_label("schemaid_description").alias("programme"),
@@ -62,8 +62,11 @@ def daily_active_flag(date_table: DataFrame, acc_sale: DataFrame, company: DataF
                  .select(F.to_date("date").alias("sale_day"), debtor_key.alias("_cid"))
                  .distinct())
     matched = (sale_days.join(ids.withColumn("_hit", F.col("_cid")), "_cid", "left")
-               .select("sale_day", F.col("_hit").alias("studentid")).distinct())
-    joined = days.join(matched, days["date_date"] == matched["sale_day"], "left")
+               .select(F.col("sale_day").alias("date_date"), F.col("sale_day"), F.col("_hit").alias("studentid"))
+               .distinct())
+    # calendar LEFT JOIN day x company pairs: the calendar is tiny and a busy
+    # invoicing day is a hot key, so join as inner (calendar broadcast) + anti.
+    joined = left_join_skew_safe(days, matched, ["date_date"])
     latest = F.coalesce(F.col("sale_day"), F.lit(P.NO_SALE_DATE))
     return joined.select("date_date", "studentid",
                          (latest >= F.date_sub(F.col("date_date"), P.GRACE_DAYS)).alias("is_active"))
