@@ -21,6 +21,7 @@ from ledgerline.functions.money import quotient9, rate_pct, ratio2, round_money
 from ledgerline.functions.text import clean_town, extract_or_null
 from ledgerline.operators.joins import left_join_skew_safe
 from ledgerline.operators.windows import agg_over, attach_scalars
+from ledgerline.sources.sinks import materialize
 
 AsOf = _dt.date | Column | None
 
@@ -158,9 +159,16 @@ def customer_segments(metrics: DataFrame) -> DataFrame:
 
 
 def customer_churn(contacts: DataFrame, company: DataFrame, sale: DataFrame, as_of: AsOf = None,
-                   grace: int = P.GRACE_DAYS, order: bool = True) -> DataFrame:
-    """Churn & CLV report: customer detail with company-wide and per-location benchmarks."""
+                   grace: int = P.GRACE_DAYS, order: bool = True, reuse: bool = True) -> DataFrame:
+    """Churn & CLV report: customer detail with company-wide and per-location benchmarks.
+
+    The per-customer metrics feed three readers (detail rows, location
+    aggregate, company-wide row); with ``reuse`` they are computed once and
+    saved to the checkpoint folder (see ``sources.sinks.materialize``).
+    """
     metrics = customer_metrics(customer_invoice_data(contacts, company, sale), as_of, grace)
+    if reuse:
+        metrics = materialize(metrics, "customer_metrics")
     detail = agg_over(metrics, ["location"], [f().alias(n) for n, f in LOCATION_AGGS])
     detail = attach_scalars(detail, churn_overall_rates(metrics))
     last = F.col("last_invoice_date")

@@ -25,6 +25,7 @@ from ledgerline.operators.activity import active_counts
 from ledgerline.operators.bridge import bridge_on_email
 from ledgerline.operators.spines import month_range, month_spine_end
 from ledgerline.operators.windows import attach_scalars, latest_by
+from ledgerline.sources.sinks import materialize
 
 AsOf = _dt.date | Column | None
 
@@ -281,15 +282,18 @@ def active_by_day_location(dim: DataFrame, grace: int = P.GRACE_DAYS, method: st
 
 
 def active_students_daily(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale: DataFrame,
-                          grace: int = P.GRACE_DAYS, method: str = "delta") -> DataFrame:
+                          grace: int = P.GRACE_DAYS, method: str = "delta", reuse: bool = True) -> DataFrame:
     """Layer 3: per day and location — total, active and inactive students.
 
     ``total_students_filtered`` is the per-day sum of location totals; the
     spine holds every location on every day, so it is the same for every
     day and is computed once (with the overall distinct count) as a one-row
     aggregate attached by scalar subquery, not as a window over all rows.
+    ``student_dim`` has four readers; with ``reuse`` it is saved once.
     """
     dim = student_dim(contact, cfv, company, acc_sale)
+    if reuse:
+        dim = materialize(dim, "student_dim")
     spine = day_location_spine(dim, grace)
     counted = active_counts(dim, spine, grace, method=method)
     totals = location_totals(dim).agg(F.sum("total_students").cast("bigint").alias("total_students_filtered"))

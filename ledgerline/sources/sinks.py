@@ -25,8 +25,14 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under ``spark.checkpoint.dir`` and return a scan of it."""
+    """Write ``df`` under ``spark.checkpoint.dir`` and return a scan of it.
+
+    Used for intermediates a report reads several times (per-customer
+    metrics, per-student windows): they are computed once, the readers get
+    column pruning and real size statistics, and the lineage is cut, so a
+    lost executor never sends the job back to the raw tables.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/layers/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
