@@ -98,7 +98,7 @@ TENURE_SEGMENTS = (
 TENURE_SEGMENT_BOUNDS = (30, 90, 365)
 
 # ---------------------------------------------------------------------------
-# Dialect constants (public BigQuery semantics the reports rely on)
+# Dialect constants (warehouse SQL semantics the reports rely on)
 # ---------------------------------------------------------------------------
 
 # Characters TRIM removes (Unicode white space).
