@@ -30,8 +30,13 @@ def _as_of(as_of: AsOf) -> Column:
     return F.current_date() if as_of is None else lit_date(as_of)
 
 
-def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFrame) -> DataFrame:
-    """Customer (contact with an e-mail) -> companies with that raw e-mail -> their invoice lines."""
+def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFrame,
+                          skew_safe: bool = True) -> DataFrame:
+    """Customer (contact with an e-mail) -> companies with that raw e-mail -> their invoice lines.
+
+    The invoice side is joined with ``left_join_skew_safe`` so a company with
+    a large share of all invoice lines can be split across tasks.
+    """
     c = (contacts.where(F.col("email").isNotNull() & (F.col("email") != ""))
          .select(F.col("id").alias("customer_id"), F.col("cdate").alias("customer_created_date"), "email"))
     comp = company.select("email", "companyid", "address_town", "address_country")
@@ -41,6 +46,8 @@ def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFra
         F.coalesce(F.col("address_country"), F.lit(P.DEFAULT_COUNTRY)).alias("country"),
         "companyid")
     lines = sale.select("companyid", "salesid", "amount", F.col("date").alias("invoice_date"), "description")
+    if not skew_safe:
+        return cc.join(lines, "companyid", "left").select(*cc.columns, *lines.columns[1:])
     return left_join_skew_safe(cc, lines, ["companyid"])
 
 

@@ -38,16 +38,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     session has none — local tests — a scratch folder is created.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None for a remote session)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app_name: str = "ledgerline") -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
