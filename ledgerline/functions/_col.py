@@ -14,3 +14,16 @@ def lit_date(value) -> Column:
     if isinstance(value, Column):
         return value
     return F.lit(value).cast("date")
+
+
+def to_int64(df_col_type, c: Column) -> Column:
+    """CAST(x AS INT64) with the warehouse's rule: fractional values round (half away from zero).
+
+    Spark's cast truncates, so fractional inputs are rounded first; integers
+    and strings cast directly (a non-numeric string raises under ANSI).
+    """
+    from pyspark.sql.types import DecimalType, DoubleType, FloatType
+
+    if isinstance(df_col_type, (DoubleType, FloatType, DecimalType)):
+        return F.round(c, 0).cast("bigint")
+    return c.cast("bigint")

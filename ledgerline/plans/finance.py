@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import params as P
+from ledgerline.functions._col import to_int64
 from ledgerline.functions.dates import month_names, parse_period
 from ledgerline.functions.money import numeric_pct, round_money
 from ledgerline.functions.text import like_prefix
@@ -196,7 +197,9 @@ def budget_items_joined(budget: DataFrame, budget_item: DataFrame) -> DataFrame:
                     & (F.coalesce(F.col("price_amount"), F.lit(0)) != 0)
                     & reportable_gl("schemaid"))
              .select("budgetid", "budgetitemid", "schemaid", "schemaid_description", "budgetpostid_label",
-                     "price_type", F.col("price_quantity").cast("bigint").alias("price_quantity"),
+                     "price_type",
+                     to_int64(budget_item.schema["price_quantity"].dataType, F.col("price_quantity"))
+                     .alias("price_quantity"),
                      F.col("price_amount").cast("decimal(18,4)").alias("price_amount"),
                      F.col("quantity").cast("decimal(18,4)").alias("quantity"))
              .where(F.col("price_quantity") > 0))

@@ -112,3 +112,17 @@ def test_distinct_window_is_unsupported_by_spark(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
     with pytest.raises(PySparkException):
         df.select(F.count_distinct("v").over(Window.partitionBy("k"))).collect()
+
+
+def test_fractional_quantity_rounds_like_int64_cast(spark):
+    from ledgerline.plans.finance import budget_items_joined
+    budget = spark.createDataFrame([(1, "b", 1, "prognosis", dt.date(2020, 1, 5), dt.date(2020, 3, 1))],
+                                   "budgetid bigint, description string, companyid int, client_budget_type string, "
+                                   "client_budget_startdate date, client_budget_enddate date")
+    items = spark.createDataFrame(
+        [(10, 1, 8000, "d", "Omzet", "unit", 0.6, Decimal("5.0000"), Decimal("1.0000")),
+         (11, 1, 8000, "d", "Omzet", "unit", 0.4, Decimal("5.0000"), Decimal("1.0000"))],
+        "budgetitemid bigint, budgetid bigint, schemaid int, schemaid_description string, budgetpostid_label string, "
+        "price_type string, price_quantity double, price_amount decimal(18,4), quantity decimal(18,4)")
+    got = {r.budgetitemid: r.price_quantity for r in budget_items_joined(budget, items).collect()}
+    assert got == {10: 1}          # 0.6 rounds to 1 and passes; 0.4 rounds to 0 and is dropped
