@@ -41,8 +41,14 @@ def ratio2(num: Column | str, den: Column | str) -> Column:
 
 
 def numeric_pct(num: Column | str, den: Column | str) -> Column:
-    """ROUND((num / den) * 100, 2) of a NUMERIC quotient; NULL when den is 0."""
-    return F.round(quotient9(num, den) * 100, 2).cast(P.RATE)
+    """ROUND((num / den) * 100, 2) of a NUMERIC quotient; NULL when den is 0.
+
+    The quotient is narrowed to DECIMAL(30,9) before the product: a
+    DECIMAL(38,9) times 100 would exceed 38 digits and Spark would cut the
+    product to 6 fractional digits, rounding twice (61.1149996 -> 61.115 -> 61.12).
+    """
+    q = quotient9(num, den).cast("decimal(30,9)")
+    return F.round(q * F.lit(100).cast("decimal(3,0)"), 2).cast(P.RATE)
 
 
 def rate_pct(num: Column | str, den: Column | str) -> Column:

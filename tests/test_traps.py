@@ -126,3 +126,9 @@ def test_fractional_quantity_rounds_like_int64_cast(spark):
         "price_type string, price_quantity double, price_amount decimal(18,4), quantity decimal(18,4)")
     got = {r.budgetitemid: r.price_quantity for r in budget_items_joined(budget, items).collect()}
     assert got == {10: 1}          # 0.6 rounds to 1 and passes; 0.4 rounds to 0 and is dropped
+
+
+def test_percentage_keeps_nine_digits_before_rounding(spark):
+    # 5500.90 / 9000.90 = 0.61114999611...; as NUMERIC 0.611149996, x100 = 61.1149996 -> 61.11
+    df = spark.createDataFrame([(Decimal("5500.90"), Decimal("9000.90"))], "n decimal(38,2), d decimal(38,2)")
+    assert df.select(numeric_pct("n", "d")).first()[0] == Decimal("61.11")
