@@ -7,5 +7,6 @@ from ledgerline.operators.spines import day_spine, expand_months, month_spine  #
 from ledgerline.operators.windows import (  # noqa: F401
     agg_over,
     attach_scalars,
+    count_distinct_over,
     latest_by,
 )

@@ -43,3 +43,10 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add every column of the one-row frame ``one_row`` to all rows of ``df``."""
     packed = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
     return df.select("*", *[packed.getField(c).alias(c) for c in one_row.columns])
+
+
+def count_distinct_over(df: DataFrame, expr: Column, by: Sequence[str] | None, name: str) -> DataFrame:
+    """``COUNT(DISTINCT expr) OVER (PARTITION BY by)`` on every row; ``by=None`` means ``OVER ()``."""
+    if not by:
+        return attach_scalars(df, df.agg(F.count_distinct(expr).alias(name)))
+    return agg_over(df, by, [F.count_distinct(expr).alias(name)])

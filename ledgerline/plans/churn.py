@@ -60,12 +60,33 @@ def student_name(description: Column | str = "description") -> Column:
 METRIC_KEYS = ("customer_id", "location", "country", "customer_created_date")
 
 
+def trailing_sums(amount: Column | str, day: Column | str, as_of: AsOf = None,
+                  windows=P.TRAILING_DAYS, prefix: str = "revenue_last_") -> list[Column]:
+    """Aggregate expressions: sum of ``amount`` over the last N days before ``as_of`` (NULL if none)."""
+    a = F.col(amount) if isinstance(amount, str) else amount
+    d = F.to_date(F.col(day) if isinstance(day, str) else day)
+    today = _as_of(as_of)
+    return [F.sum(F.when(d >= F.date_sub(today, n), a)).alias(f"{prefix}{n}_days") for n in windows]
+
+
+def churn_status(last_invoice: Column | str, as_of: AsOf = None, grace: int = P.GRACE_DAYS) -> dict[str, Column]:
+    """Recency and churn columns from the last invoice: days since, status, churn date, 0/1 flags."""
+    last = F.col(last_invoice) if isinstance(last_invoice, str) else last_invoice
+    last_day = F.to_date(last)
+    since = F.datediff(_as_of(as_of), last_day)
+    return {
+        "days_since_last_payment": since.cast("bigint"),
+        "customer_status": (F.when(last.isNull(), F.lit(P.STATUS_NO_PAYMENTS))
+                            .when(since <= grace, F.lit(P.STATUS_ACTIVE)).otherwise(F.lit(P.STATUS_INACTIVE))),
+        "churn_date": F.when(since > grace, F.date_add(last_day, grace)),
+        "is_churned": F.when(since > grace, 1).otherwise(0).cast("bigint"),
+        "is_active": F.when(since <= grace, 1).otherwise(0).cast("bigint"),
+    }
+
+
 def customer_metrics(invoice_data: DataFrame, as_of: AsOf = None, grace: int = P.GRACE_DAYS) -> DataFrame:
     """Per customer x location x country x created date: counts, revenue, recency, churn, CLV."""
-    today = _as_of(as_of)
-    inv_day = F.to_date("invoice_date")
-    trailing = [F.sum(F.when(inv_day >= F.date_sub(today, n), F.col("amount"))).alias(f"_r{n}")
-                for n in P.TRAILING_DAYS]
+    trailing = trailing_sums("amount", "invoice_date", as_of, prefix="_r")
     g = invoice_data.groupBy(*METRIC_KEYS).agg(
         F.count_distinct("salesid").alias("total_invoices"),
         F.sum("amount").alias("_sum"), F.count("amount").alias("_n"),
@@ -74,19 +95,14 @@ def customer_metrics(invoice_data: DataFrame, as_of: AsOf = None, grace: int = P
         F.count_distinct(student_name()).alias("estimated_student_count"),
         *trailing)
     last_day = F.to_date("last_invoice_date")
-    since = F.datediff(today, last_day)
+    status = churn_status("last_invoice_date", as_of, grace)
     total = F.coalesce(F.col("_sum"), F.lit(0)).cast(P.TOTAL)
     return g.select(
         *METRIC_KEYS, "total_invoices",
         total.alias("total_revenue"),
         F.coalesce(quotient9("_sum", "_n"), F.lit(0)).cast(P.NUMERIC9).alias("average_invoice_amount"),
         "first_invoice_date", "last_invoice_date",
-        since.cast("bigint").alias("days_since_last_payment"),
-        F.when(F.col("last_invoice_date").isNull(), F.lit(P.STATUS_NO_PAYMENTS))
-        .when(since <= grace, F.lit(P.STATUS_ACTIVE)).otherwise(F.lit(P.STATUS_INACTIVE)).alias("customer_status"),
-        F.when(since > grace, F.date_add(last_day, grace)).alias("churn_date"),
-        F.when(since > grace, 1).otherwise(0).cast("bigint").alias("is_churned"),
-        F.when(since <= grace, 1).otherwise(0).cast("bigint").alias("is_active"),
+        *[c.alias(name) for name, c in status.items()],
         "estimated_student_count",
         F.when(F.col("total_invoices") > 0,
                quotient9(total, F.greatest(F.col("estimated_student_count"), F.lit(1))))
@@ -94,7 +110,7 @@ def customer_metrics(invoice_data: DataFrame, as_of: AsOf = None, grace: int = P
         F.when(F.col("last_invoice_date").isNotNull() & F.col("customer_created_date").isNotNull(),
                F.datediff(last_day, F.to_date("customer_created_date"))).cast("bigint")
         .alias("customer_lifetime_days"),
-        *[F.coalesce(F.col(f"_r{n}"), F.lit(0)).cast(P.TOTAL).alias(f"revenue_last_{n}_days")
+        *[F.coalesce(F.col(f"_r{n}_days"), F.lit(0)).cast(P.TOTAL).alias(f"revenue_last_{n}_days")
           for n in P.TRAILING_DAYS])
 
 

@@ -267,6 +267,20 @@ def forecasts_by_gl(forecasts: DataFrame) -> DataFrame:
     return gl_totals(forecasts, "forecast")
 
 
+def variance_columns(forecast: Column, actual: Column, measure: str) -> dict[str, Column]:
+    """Variance bundle of one measure: forecast - actual, its % of forecast, actual as % of forecast.
+
+    NULL forecasts or actuals count as 0; the percentages are NULL when the
+    forecast is 0 (never a division error).
+    """
+    fc, ac = F.coalesce(forecast, F.lit(0)), F.coalesce(actual, F.lit(0))
+    return {
+        f"variance_{measure}": round_money(fc - ac),
+        f"variance_{measure}_pct": numeric_pct(fc - ac, fc),
+        f"achievement_{measure}_pct": numeric_pct(ac, fc),
+    }
+
+
 def finance_variance(actuals: DataFrame, forecasts: DataFrame, order: bool = True,
                      unit_from: str = "actual") -> DataFrame:
     """Layer 3: forecast vs actual per month x GL, with variance, % and flags.
@@ -292,9 +306,9 @@ def finance_variance(actuals: DataFrame, forecasts: DataFrame, order: bool = Tru
         ac[m] = F.coalesce(F.col(f"a.actual_{m}"), F.lit(0))
     out_cols += [round_money(fc[m]).alias(f"forecast_{m}") for m in fc]
     out_cols += [round_money(ac[m]).alias(f"actual_{m}") for m in ac]
-    out_cols += [round_money(fc[m] - ac[m]).alias(f"variance_{m}") for m in fc]
-    out_cols += [numeric_pct(fc[m] - ac[m], fc[m]).alias(f"variance_{m}_pct") for m in fc]
-    out_cols += [numeric_pct(ac[m], fc[m]).alias(f"achievement_{m}_pct") for m in fc]
+    bundles = {m: variance_columns(fc[m], ac[m], m) for m in fc}
+    for kind in ("variance_{}", "variance_{}_pct", "achievement_{}_pct"):
+        out_cols += [bundles[m][kind.format(m)].alias(kind.format(m)) for m in fc]
     day = both("date_date")
     out_cols += [
         (F.col("a.actual_revenue").isNotNull() | F.col("a.actual_costs").isNotNull()).alias("has_actuals"),

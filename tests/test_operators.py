@@ -77,3 +77,22 @@ def test_bridge_picks_highest_id_without_pair_explosion(spark):
     right = spark.createDataFrame([(10, "a@x"), (11, "A@X"), (20, ""), (21, ""), (30, None)], "companyid int, email string")
     out = {r.contact_id: r.companyid for r in bridge_on_email(left, right).collect()}
     assert out == {1: 11, 2: 21, 3: 21, 4: None, 5: None}
+
+
+def test_count_distinct_over_partition_and_whole(spark):
+    from ledgerline.operators.windows import count_distinct_over
+    rows = [(1, "a", 10), (2, "a", 10), (3, "a", 11), (4, "b", 10), (5, None, 12), (6, None, 12)]
+    df = spark.createDataFrame(rows, "id int, k string, v int")
+    per = {r.id: r.n for r in count_distinct_over(df, F.col("v"), ["k"], "n").collect()}
+    assert per == {1: 2, 2: 2, 3: 2, 4: 1, 5: 1, 6: 1}
+    whole = {r.n for r in count_distinct_over(df, F.col("v"), None, "n").collect()}
+    assert whole == {3}
+
+
+def test_with_date_dims(spark):
+    import datetime as dt
+
+    from ledgerline.functions.dates import with_date_dims
+    df = spark.createDataFrame([(dt.date(2024, 12, 30),)], "d date")
+    r = with_date_dims(df, "d", names=True).first()
+    assert (r.date_year, r.date_quarter, r.date_month, r.date_week, r.date_day, r.maand) == (2024, 4, 12, 1, 30, "December")
