@@ -55,3 +55,21 @@ def test_streaming_fee_layer_equals_batch(spark, small):
     got = spark.read.parquet(out)
     want = neobank.fee_transactions_enriched(tx, small["bank_users"])
     assert _rows(got, want.columns) == _rows(want, want.columns)
+
+
+def test_batch_job_writes_every_layer(spark, small):
+    import datetime as dt
+
+    from ledgerline.jobs import ROLES, run
+    base = tempfile.mkdtemp(prefix="ledgerline-job-")
+    for role in ROLES:
+        small[role].write.mode("overwrite").parquet(f"{base}/roles/{role}")
+    paths = run(spark, f"{base}/out", source=f"{base}/roles", as_of=dt.date(2001, 8, 1))
+    assert set(paths) == {"finance_actuals", "finance_forecasts", "finance_variance", "fee_transactions_enriched",
+                          "student_activity_monthly", "student_activation", "active_students_daily",
+                          "revenue_by_programme", "customer_churn"}
+    churn = spark.read.parquet(paths["customer_churn"])
+    customers = small["contact"].where("email IS NOT NULL AND email <> ''").count()
+    assert churn.select("customer_id").distinct().count() == customers
+    assert churn.count() >= customers
+    assert spark.read.parquet(paths["finance_variance"]).count() > 0
