@@ -104,6 +104,7 @@ def customer_metrics(invoice_data: DataFrame, as_of: AsOf = None, grace: int = P
         "first_invoice_date", "last_invoice_date",
         *[c.alias(name) for name, c in status.items()],
         "estimated_student_count",
+        # GREATEST skips NULLs in Spark (the warehouse returns NULL); the count is never NULL
         F.when(F.col("total_invoices") > 0,
                quotient9(total, F.greatest(F.col("estimated_student_count"), F.lit(1))))
         .otherwise(F.lit(0)).cast(P.NUMERIC9).alias("clv_per_student"),
@@ -211,5 +212,6 @@ def customer_churn(contacts: DataFrame, company: DataFrame, sale: DataFrame, as_
         F.quarter(last).cast("bigint").alias("date_quarter"),
         F.month(last).cast("bigint").alias("date_month"))
     if order:
-        out = out.orderBy(F.asc("customer_status"), F.desc("total_revenue"), last.desc_nulls_last())
+        out = out.orderBy(F.asc_nulls_first("customer_status"), F.desc_nulls_last("total_revenue"),
+                          last.desc_nulls_last())
     return out

@@ -240,8 +240,9 @@ def finance_forecasts(budget: DataFrame, budget_item: DataFrame, order: bool = T
     }
     out = _layer(months, cols)
     if order:
-        out = out.orderBy(F.desc("date_year"), F.desc("date_month"), F.asc("organization_group"),
-                          F.desc("revenue_amount"), F.desc("cost_amount"))
+        out = out.orderBy(F.desc_nulls_last("date_year"), F.desc_nulls_last("date_month"),
+                          F.asc_nulls_first("organization_group"), F.desc_nulls_last("revenue_amount"),
+                          F.desc_nulls_last("cost_amount"))
     return out
 
 
@@ -324,5 +325,6 @@ def finance_variance(actuals: DataFrame, forecasts: DataFrame, order: bool = Tru
     ]
     out = joined.select(*out_cols)
     if order:
-        out = out.orderBy(F.desc("date_year"), F.desc("date_month"), F.asc("gl_type_label"), F.asc("gl_code"))
+        out = out.orderBy(F.desc_nulls_last("date_year"), F.desc_nulls_last("date_month"),
+                          F.asc_nulls_first("gl_type_label"), F.asc_nulls_first("gl_code"))
     return out

@@ -105,5 +105,6 @@ def revenue_by_programme(date_table: DataFrame, acc_sale: DataFrame, company: Da
         F.when(F.col("studentid").isNotNull(), F.col("is_active")).alias("student_active"),
         "location", "date_date", *date_parts("date_date"))
     if order:
-        out = out.orderBy("revenue", "transaction_identifier", "programme", "studentid")
+        out = out.orderBy(*[F.asc_nulls_first(c) for c in ("revenue", "transaction_identifier", "programme",
+                                                            "studentid")])
     return out

@@ -171,6 +171,7 @@ def student_activity_monthly(contact: DataFrame, cfv: DataFrame, company: DataFr
         F.explode(month_range(lo, hi)).alias("date_date"), "contact_id",
         _blank_to_unknown(F.col("location_name")).alias("location_name"),
         "first_invoice_date", "last_invoice_date", "cltv_total", "monthly")
+    # LEAST skips NULLs in Spark (the warehouse returns NULL); neither argument is ever NULL here
     ref = F.least(F.last_day("date_date"), today)
     active = active_at(F.col("first_invoice_date"), F.col("last_invoice_date"), ref, grace)
     return rows.select(
