@@ -22,10 +22,46 @@ ENGINE_DEFAULTS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`ENGINE_DEFAULTS` where unset; make sure a checkpoint dir exists."""
-    for key, value in ENGINE_DEFAULTS.items():
-        if spark.conf.get(key, None) is None:
+GIB = 1 << 30
+MIB = 1 << 20
+
+
+def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` on ``total_cores`` task slots.
+
+    * Shuffle partitions: about one per 2 GiB of input, at least two waves
+      of the cores, at most 50,000 (the largest shuffles here run after
+      filters and map-side aggregation, so they are far smaller than the
+      input). Adaptive execution then coalesces small partitions towards
+      256 MiB and splits skewed ones.
+    * Scan splits of 256 MiB: fewer, fuller tasks for very large tables.
+    * Broadcasts stay measured: adaptive execution broadcasts a join side
+      only when its real shuffle output is below 64 MiB.
+    """
+    parts = max(2 * total_cores, min(50_000, -(-input_bytes // (2 * GIB))))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB),
+        "spark.sql.files.maxPartitionBytes": str(256 * MIB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MIB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MIB),
+    }
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
+    """Apply :data:`ENGINE_DEFAULTS` where unset; make sure a checkpoint dir exists.
+
+    With ``input_bytes`` and ``total_cores`` the :func:`cluster_settings`
+    are applied too — again only where the session has no explicit value.
+    """
+    wanted = dict(ENGINE_DEFAULTS)
+    if input_bytes is not None and total_cores:
+        wanted.update(cluster_settings(input_bytes, total_cores))
+    explicit = _explicit_keys(spark)
+    for key, value in wanted.items():
+        if key in ENGINE_DEFAULTS and spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+        elif key not in ENGINE_DEFAULTS and key not in explicit:
             spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark
@@ -49,6 +85,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _explicit_keys(spark: SparkSession) -> set[str]:
+    """Keys the user or cluster set explicitly (launch config)."""
+    sc = _context(spark)
+    if sc is None:
+        return set()
+    return {k for k, _ in sc.getConf().getAll()}
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session (None for a remote session)."""
     try:

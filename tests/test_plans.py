@@ -58,3 +58,12 @@ def test_variance_unit_option(roles):
     f = finance.finance_forecasts(roles["budget"], roles["budget_item"], order=False)
     both = finance.finance_variance(a, f, unit_from="both")
     assert both.where(both.organization_group.isNull()).count() == 0
+
+
+def test_cluster_settings_scale_with_input():
+    from ledgerline.session import cluster_settings
+    big = cluster_settings(100 * (1 << 40), 8000)      # 100 TB on 8,000 cores
+    small = cluster_settings(1 << 30, 8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)
