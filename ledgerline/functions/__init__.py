@@ -2,11 +2,10 @@
 
 from ledgerline.functions.dates import (  # noqa: F401
     date_parts,
-    month_end,
     parse_period,
+    with_date_dims,
 )
 from ledgerline.functions.money import (  # noqa: F401
-    avg_money,
     numeric_pct,
     quotient9,
     rate_pct,
@@ -19,6 +18,7 @@ from ledgerline.functions.text import (  # noqa: F401
     email_key,
     extract_or_null,
     initcap_words,
+    like_prefix,
     programme_label,
     ws_trim,
 )

@@ -20,11 +20,6 @@ def parse_period(identifier: Column | str) -> tuple[Column, Column]:
     return F.get(pieces, 0).cast("bigint"), F.get(pieces, 1).cast("bigint")
 
 
-def month_end(month_start: Column | str) -> Column:
-    """Last day of the month of a date."""
-    return F.last_day(as_col(month_start))
-
-
 def date_parts(d: Column | str, prefix: str = "date_") -> list[Column]:
     """year, quarter, month, ISO week, day of a DATE, as BIGINT columns."""
     d = as_col(d)

@@ -57,8 +57,3 @@ def rate_pct(num: Column | str, den: Column | str) -> Column:
     d = as_col(den).cast(_WIDE)
     return F.when(d != 0, F.round(n / d, 2)).cast(P.RATE)
 
-
-def avg_money(amount: Column | str) -> Column:
-    """AVG of a money column as a NUMERIC (9 digits) aggregate expression."""
-    a = as_col(amount)
-    return quotient9(F.sum(a), F.count(a))
