@@ -19,7 +19,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.plans import neobank
-from ledgerline.plans.pipelines import run_finance_layers, run_tutoring_layers
+from ledgerline.plans.layers import run_finance_layers, run_tutoring_layers
 from ledgerline.session import configure
 from ledgerline.sources.sinks import write_layer
 

@@ -1,4 +1,4 @@
-"""Layer pipelines: each report layer is saved, and the next layer reads the
+"""Saved report layers: each layer is saved, and the next layer reads the
 saved copy, the way the original warehouse chains its views.
 
 Writing a layer to shared storage cuts the lineage: if executors are lost

@@ -7,7 +7,7 @@ import tempfile
 import pytest
 
 from ledgerline.plans import finance, neobank
-from ledgerline.plans.pipelines import register_report_views, run_finance_layers
+from ledgerline.plans.layers import register_report_views, run_finance_layers
 from ledgerline.sources.fixtures import RoleTables
 from ledgerline.streaming import fee_transactions_stream, start_layer_sink
 
