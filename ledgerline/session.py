@@ -1,8 +1,13 @@
 """Spark session settings the engine relies on.
 
-On a cluster the session normally exists already; :func:`configure` only
-fills in what the reports need (UTC, ANSI, adaptive execution) and never
-overrides a value the cluster has set, such as ``spark.checkpoint.dir``.
+The reports rely on ANSI casts and adaptive execution with partition
+coalescing and skew-join splitting — all Spark 4 defaults. On a cluster the
+session exists already: :func:`configure` never overrides a value the
+session or the cluster has, it only fills keys that have no value at all,
+and reads ``spark.checkpoint.dir`` from the session (creating a scratch
+folder only when there is none, as in local tests). Results do not depend on
+the session time zone: source timestamps are TIMESTAMP_NTZ and "today" is an
+explicit ``as_of`` date.
 """
 
 from __future__ import annotations
@@ -12,9 +17,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job wants; applied only when the session has no value yet.
+# Settings every job wants; applied only when the session has no value at all.
 ENGINE_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -114,6 +118,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    builder = builder.config("spark.sql.session.timeZone", "UTC")
     for key, value in ENGINE_DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
