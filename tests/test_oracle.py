@@ -25,3 +25,18 @@ def test_matches_oracle(key, spark, sf_dir, duck, catalog):
     dcols = [d[0] for d in cur.description]
     problems = compare(rows, df.columns, drows, dcols)
     assert not problems, "\n".join(problems)
+
+
+@pytest.mark.parametrize("key", ["student_activity_monthly", "customer_churn", "fee_transactions_enriched",
+                                 "revenue_by_programme", "finance_variance"])
+def test_results_do_not_depend_on_session_time_zone(key, spark, sf_dir, duck, catalog):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")   # UTC+14
+    try:
+        df = catalog[key](spark, sf_dir)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = duck.execute(SQL[key])
+    problems = compare(rows, df.columns, cur.fetchall(), [d[0] for d in cur.description])
+    assert not problems, "\n".join(problems)
