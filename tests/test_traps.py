@@ -13,6 +13,7 @@ from ledgerline.functions.dates import date_parts, month_names, parse_period
 from ledgerline.functions.money import numeric_pct, quotient9, rate_pct, ratio2
 from ledgerline.functions.text import (clean_location, clean_town, email_key, extract_or_null, initcap_words,
                                        programme_label, ws_trim)
+from ledgerline import params as P
 from ledgerline.operators.spines import expand_months, month_spine
 
 
@@ -132,3 +133,31 @@ def test_percentage_keeps_nine_digits_before_rounding(spark):
     # 5500.90 / 9000.90 = 0.61114999611...; as NUMERIC 0.611149996, x100 = 61.1149996 -> 61.11
     df = spark.createDataFrame([(Decimal("5500.90"), Decimal("9000.90"))], "n decimal(38,2), d decimal(38,2)")
     assert df.select(numeric_pct("n", "d")).first()[0] == Decimal("61.11")
+
+
+def test_decimal_product_is_exact_before_rounding(spark):
+    # S8: NUMERIC x NUMERIC; (18,4) x (18,4) stays exact (37,8), then rounds half away from zero
+    df = spark.createDataFrame([(Decimal("0.0100"), Decimal("1.5000")), (Decimal("-0.0100"), Decimal("1.5000"))],
+                               "p decimal(18,4), q decimal(18,4)")
+    prod = df.select((F.col("p") * F.col("q")).alias("x"))
+    assert prod.schema["x"].dataType.simpleString() == "decimal(37,8)"
+    assert [r[0] for r in prod.select(F.round("x", 2)).collect()] == [Decimal("0.02"), Decimal("-0.02")]
+
+
+def test_month_arithmetic_stays_date(spark):
+    # S17: add_months keeps DATE (dateadd would give a TIMESTAMP)
+    from ledgerline.operators.spines import month_spine_end
+    df = spark.createDataFrame([(dt.date(2001, 8, 17),)], "d date")
+    out = df.select(month_spine_end(F.col("d")).alias("e"))
+    assert out.schema["e"].dataType.simpleString() == "date"
+    assert out.first()[0] == dt.date(2006, 8, 1)
+
+
+def test_report_sort_puts_nulls_where_the_warehouse_does(roles):
+    # S12: ORDER BY status, revenue DESC, last invoice DESC NULLS LAST
+    from ledgerline.plans import churn
+    rows = churn.customer_churn(roles["contact"], roles["company"], roles["sale"],
+                                as_of=P.TEST_AS_OF).select("customer_status", "total_revenue",
+                                                           "last_invoice_date").collect()
+    keys = [(r[0], -r[1], r[2] is None, -(r[2].timestamp() if r[2] else 0)) for r in rows]
+    assert keys == sorted(keys)
