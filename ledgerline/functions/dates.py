@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from ledgerline.functions._col import as_col
 
 
-def parse_period(identifier: Column | str) -> tuple[Column, Column]:
+def parse_period(identifier: Column | str, lenient: bool = False) -> tuple[Column, Column]:
     """(year, month) from text like 'YEARMONTH_2024-03'.
 
     The part after the first '_' is split on '-'; a missing part is NULL
     (``get`` is NULL out of range, like SAFE_OFFSET). Text that is not a
-    number raises under ANSI, like the warehouse's CAST.
+    number raises under ANSI, like the warehouse's CAST; ``lenient=True``
+    makes it NULL instead (``try_cast``).
     """
     period = F.get(F.split(as_col(identifier), "_"), 1)
     pieces = F.split(period, "-")
-    return F.get(pieces, 0).cast("bigint"), F.get(pieces, 1).cast("bigint")
+    year, month = F.get(pieces, 0), F.get(pieces, 1)
+    if lenient:
+        return year.try_cast("bigint"), month.try_cast("bigint")
+    return year.cast("bigint"), month.cast("bigint")
 
 
 def date_parts(d: Column | str, prefix: str = "date_") -> list[Column]:

@@ -55,6 +55,12 @@ def test_bad_period_text_raises_like_the_warehouse(spark):
         one(spark, y, "YEARMONTH_abcd-03")
 
 
+def test_lenient_period_parsing(spark):
+    y, m = parse_period(F.col("x"), lenient=True)
+    df = spark.createDataFrame([("YEARMONTH_abcd-03",), ("YEARMONTH_2024-xx",)], "x string")
+    assert [tuple(r) for r in df.select(y, m).collect()] == [(None, 3), (2024, None)]
+
+
 def test_like_underscore_is_a_wildcard(spark):
     assert one(spark, F.col("x").like("YEARMONTH_%"), "YEARMONTHX2024-03") is True
 
