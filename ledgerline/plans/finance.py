@@ -36,18 +36,20 @@ GL_KEYS = ("date_date", "date_year", "date_month", "gl_code", "gl_description",
 # Column bundles
 # --------------------------------------------------------------------------
 
-def reportable_gl(schemaid: Column | str = "schemaid") -> Column:
-    """The GL whitelist: reportable codes only, 9900 never."""
-    c = F.col(schemaid) if isinstance(schemaid, str) else schemaid
-    return (c != P.GL_EXCLUDED_CODE) & c.isin(*P.GL_WHITELIST)
+def _codes(codes) -> str:
+    return ", ".join(str(c) for c in codes)
 
 
-def business_unit(schemaid: Column | str = "schemaid") -> Column:
+def reportable_gl(schemaid: str = "schemaid") -> Column:
+    """The GL whitelist: reportable codes only, 9900 never (a plain IN, pushed to Parquet)."""
+    return F.expr(f"`{schemaid}` <> {P.GL_EXCLUDED_CODE} AND `{schemaid}` IN ({_codes(P.GL_WHITELIST)})")
+
+
+def business_unit(schemaid: str = "schemaid") -> Column:
     """GL code -> 'Agency Social' / 'Agency' / 'Other'."""
-    c = F.col(schemaid) if isinstance(schemaid, str) else schemaid
-    return (F.when(c.isin(*P.GL_SOCIAL_CODES), F.lit(P.UNIT_SOCIAL))
-            .when(c.isin(*P.GL_AGENCY_CODES), F.lit(P.UNIT_AGENCY))
-            .otherwise(F.lit(P.UNIT_OTHER)))
+    return F.expr(f"CASE WHEN `{schemaid}` IN ({_codes(P.GL_SOCIAL_CODES)}) THEN '{P.UNIT_SOCIAL}' "
+                  f"WHEN `{schemaid}` IN ({_codes(P.GL_AGENCY_CODES)}) THEN '{P.UNIT_AGENCY}' "
+                  f"ELSE '{P.UNIT_OTHER}' END")
 
 
 def category_columns(kind: Column, description: Column, fallback: str) -> dict[str, Column]:
@@ -63,8 +65,9 @@ def category_columns(kind: Column, description: Column, fallback: str) -> dict[s
     }
 
 
-def actual_gl_labels(schemaid: Column, description: Column, gl_type: Column) -> dict[str, Column]:
-    """GL identity and labels of a ledger line (fallback text 'Onbekend')."""
+def actual_gl_labels(schemaid: Column, description: Column, gl_type: Column,
+                     unit_col: str = "schemaid") -> dict[str, Column]:
+    """GL identity and labels of a ledger line (fallback text 'Onbekend'); ``unit_col`` names the GL code."""
     code = schemaid.cast("string")
     desc = F.coalesce(description, F.lit(P.UNKNOWN))
     return {
@@ -76,12 +79,13 @@ def actual_gl_labels(schemaid: Column, description: Column, gl_type: Column) ->
                           .when(gl_type == P.TYPE_COST, F.lit(P.LABEL_COST))
                           .otherwise(F.concat(F.lit("Type "), F.coalesce(gl_type, F.lit(P.UNKNOWN))))),
         **category_columns(gl_type, description, "Onbekend"),
-        "organization_group": business_unit(schemaid),
+        "organization_group": business_unit(unit_col),
     }
 
 
-def forecast_gl_labels(schemaid: Column, description: Column, post_label: Column) -> dict[str, Column]:
-    """GL identity and labels of a budget line (fallback text 'Forecast')."""
+def forecast_gl_labels(schemaid: Column, description: Column, post_label: Column,
+                       unit_col: str = "schemaid") -> dict[str, Column]:
+    """GL identity and labels of a budget line (fallback text 'Forecast'); ``unit_col`` names the GL code."""
     kind = (F.when(post_label == P.LABEL_REVENUE, F.lit(P.TYPE_REVENUE))
             .when(post_label == P.LABEL_COST, F.lit(P.TYPE_COST)))
     code = F.coalesce(schemaid.cast("string"),
@@ -97,7 +101,7 @@ def forecast_gl_labels(schemaid: Column, description: Column, post_label: Column
         "gl_type": F.when(is_rev, F.lit(P.TYPE_REVENUE)).otherwise(F.lit(P.TYPE_COST)),
         "gl_type_label": F.when(is_rev, F.lit(P.LABEL_REVENUE)).otherwise(F.lit(P.LABEL_COST)),
         **category_columns(kind, description, "Forecast"),
-        "organization_group": business_unit(schemaid),
+        "organization_group": business_unit(unit_col),
     }
 
 
