@@ -16,8 +16,18 @@ from ledgerline.session import checkpoint_dir
 
 
 def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> None:
-    """Save a layer as parquet (optionally partitioned, e.g. by date_year)."""
+                mode: str = "overwrite", rebalance: bool = True) -> None:
+    """Save a layer as parquet (optionally partitioned, e.g. by date_year).
+
+    With ``rebalance`` the rows pass a REBALANCE hint on the partition
+    columns first: adaptive execution clusters them by those columns, splits
+    a skewed value (one year holding a third of the rows) and merges small
+    partitions, so each folder gets a few well-sized files instead of one
+    small file per task and year. A layer that must keep a global sort order
+    should be written with ``rebalance=False``.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *(partition_by or []))
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

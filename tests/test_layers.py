@@ -73,3 +73,29 @@ def test_batch_job_writes_every_layer(spark, small):
     assert churn.select("customer_id").distinct().count() == customers
     assert churn.count() >= customers
     assert spark.read.parquet(paths["finance_variance"]).count() > 0
+
+
+def test_partitioned_layer_write_is_rebalanced(spark, small):
+    import os
+
+    from ledgerline.plans import retention
+    from ledgerline.sources.sinks import write_layer
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = retention.student_activation(small["contact"], small["contact_custom_field_value"], small["company"],
+                                          small["acc_sale"], as_of=__import__("datetime").date(2001, 8, 1))
+        counts = {}
+        for rebalance in (False, True):
+            out = tempfile.mkdtemp(prefix="ledgerline-write-") + "/layer"
+            write_layer(df, out, ["date_year"], rebalance=rebalance)
+            counts[rebalance] = sum(f.endswith(".parquet") for _, _, fs in os.walk(out) for f in fs)
+            assert spark.read.parquet(out).count() == df.count()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    years = df.select("date_year").distinct().count()
+    assert counts[True] <= years < counts[False]
