@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.plans import neobank
 from ledgerline.plans.layers import run_finance_layers, run_tutoring_layers
 from ledgerline.session import configure
-from ledgerline.sources.sinks import write_layer
+from ledgerline.sources.sinks import materialized_paths, release_materialized, write_layer
 
 ROLES = ("ledger", "budget", "budget_item", "bank_transactions", "bank_users", "contact",
          "contact_custom_field_value", "company", "acc_sale", "sale", "tutoring_transaction", "date_table")
@@ -48,6 +48,7 @@ def run(spark: SparkSession, out: str, reports=("finance", "neobank", "tutoring"
     """Build and save the chosen report families; returns layer name -> path."""
     configure(spark)
     tables = _Tables(spark, source, catalog_db)
+    already = set(materialized_paths())
     paths: dict[str, str] = {}
     if "finance" in reports:
         paths.update(run_finance_layers(spark, tables, out))
@@ -57,6 +58,8 @@ def run(spark: SparkSession, out: str, reports=("finance", "neobank", "tutoring"
         paths["fee_transactions_enriched"] = path
     if "tutoring" in reports:
         paths.update(run_tutoring_layers(spark, tables, out, as_of=as_of))
+    # every layer is written; the job's own intermediates are no longer needed
+    release_materialized(spark, [p for p in materialized_paths() if p not in already])
     return paths
 
 

@@ -34,6 +34,9 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
     writer.parquet(path)
 
 
+_MATERIALIZED: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and return a scan of it.
 
@@ -45,4 +48,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/layers/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _MATERIALIZED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialized_paths() -> list[str]:
+    """Folders written by :func:`materialize` in this process, oldest first."""
+    return list(_MATERIALIZED)
+
+
+def release_materialized(spark, paths: list[str] | None = None) -> int:
+    """Delete materialised intermediates (default: all of this process) once no reader needs them.
+
+    Uses the Hadoop FileSystem of each path, so it works on HDFS, object
+    stores and local disks alike. Returns the number of folders removed.
+    """
+    targets = list(_MATERIALIZED) if paths is None else list(paths)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for path in targets:
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        if jpath.getFileSystem(conf).delete(jpath, True):
+            removed += 1
+        if path in _MATERIALIZED:
+            _MATERIALIZED.remove(path)
+    return removed

@@ -64,6 +64,8 @@ def test_batch_job_writes_every_layer(spark, small):
     base = tempfile.mkdtemp(prefix="ledgerline-job-")
     for role in ROLES:
         small[role].write.mode("overwrite").parquet(f"{base}/roles/{role}")
+    from ledgerline.sources.sinks import materialized_paths
+    before = set(materialized_paths())
     paths = run(spark, f"{base}/out", source=f"{base}/roles", as_of=dt.date(2001, 8, 1))
     assert set(paths) == {"finance_actuals", "finance_forecasts", "finance_variance", "fee_transactions_enriched",
                           "student_activity_monthly", "student_activation", "active_students_daily",
@@ -73,6 +75,7 @@ def test_batch_job_writes_every_layer(spark, small):
     assert churn.select("customer_id").distinct().count() == customers
     assert churn.count() >= customers
     assert spark.read.parquet(paths["finance_variance"]).count() > 0
+    assert set(materialized_paths()) <= before          # the job released its own intermediates
 
 
 def test_partitioned_layer_write_is_rebalanced(spark, small):
@@ -99,3 +102,16 @@ def test_partitioned_layer_write_is_rebalanced(spark, small):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     years = df.select("date_year").distinct().count()
     assert counts[True] <= years < counts[False]
+
+
+def test_materialize_and_release(spark):
+    import os
+
+    from ledgerline.sources.sinks import materialize, materialized_paths, release_materialized
+    df = materialize(spark.range(10).withColumnRenamed("id", "x"), "release_test")
+    path = materialized_paths()[-1]
+    assert df.count() == 10
+    local = path.replace("file:", "")
+    assert os.path.exists(local)
+    assert release_materialized(spark, [path]) == 1
+    assert not os.path.exists(local) and path not in materialized_paths()
