@@ -1,0 +1,87 @@
+"""The Column helpers as Spark SQL functions, for reports written in SQL.
+
+``register_sql_functions(spark)`` creates temporary SQL functions whose
+bodies are plain Spark SQL expressions (``CREATE TEMPORARY FUNCTION ...
+RETURN expr``). Spark inlines them into the query like any built-in
+expression: no Python runs per row. Each one mirrors the DataFrame helper of
+the same name (tests check they agree).
+
+    register_sql_functions(spark)
+    spark.sql("SELECT ll_clean_town(address_town), count(*) FROM company GROUP BY 1")
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import SparkSession
+
+from ledgerline import params as P
+
+
+def _lit(text: str) -> str:
+    """A Spark SQL string literal (backslash escapes are processed by the parser)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _codes(codes) -> str:
+    return ", ".join(str(c) for c in codes)
+
+
+_WS = _lit(P.WHITESPACE)
+_SPLIT = _lit("(?<=[\\s" + "".join(re.escape(ch) for ch in P.INITCAP_DELIMITERS) + "])")
+
+
+def _initcap(x: str) -> str:
+    return (f"array_join(transform(split(lower({x}), {_SPLIT}), "
+            f"p -> concat(upper(substring(p, 1, 1)), substring(p, 2))), '')")
+
+
+def _category() -> str:
+    branches = " ".join(f"WHEN cat IS NULL AND typ = {_lit(t)} THEN {_lit(lbl)}" for t, lbl in P.CATEGORY_LABELS)
+    return f"CASE {branches} ELSE cat END"
+
+
+FUNCTIONS: dict[str, tuple[str, str, str]] = {
+    # name: (parameters, return type, body)
+    "ll_ws_trim": ("s STRING", "STRING", f"btrim(s, {_WS})"),
+    "ll_email_key": ("s STRING", "STRING", f"lower(btrim(s, {_WS}))"),
+    "ll_initcap": ("s STRING", "STRING", _initcap("s")),
+    "ll_clean_location": ("v STRING", "STRING",
+                          f"CASE WHEN v IS NULL OR btrim(v, {_WS}) = '' THEN {_lit(P.UNKNOWN)} "
+                          f"ELSE {_initcap(f'btrim(v, {_WS})')} END"),
+    "ll_clean_town": ("t STRING", "STRING",
+                      f"CASE WHEN upper(btrim(t, {_WS})) IN ({', '.join(_lit(x) for x in P.TOWN_TYPOS)}) "
+                      f"THEN {_lit(P.TOWN_TYPO_FIX)} "
+                      f"WHEN btrim(t, {_WS}) IS NULL OR btrim(t, {_WS}) = '' THEN {_lit(P.UNKNOWN)} "
+                      f"ELSE upper(btrim(regexp_replace(t, {_lit(chr(92) + 's+')}, ' '), {_WS})) END"),
+    "ll_programme_label": ("d STRING", "STRING",
+                           f"btrim(regexp_replace(d, {_lit(P.PROGRAMME_PREFIX_RE)}, ''), {_WS})"),
+    "ll_period_year": ("gi STRING", "BIGINT", "CAST(get(split(get(split(gi, '_'), 1), '-'), 0) AS BIGINT)"),
+    "ll_period_month": ("gi STRING", "BIGINT", "CAST(get(split(get(split(gi, '_'), 1), '-'), 1) AS BIGINT)"),
+    "ll_reportable_gl": ("code BIGINT", "BOOLEAN",
+                         f"code <> {P.GL_EXCLUDED_CODE} AND code IN ({_codes(P.GL_WHITELIST)})"),
+    "ll_business_unit": ("code BIGINT", "STRING",
+                         f"CASE WHEN code IN ({_codes(P.GL_SOCIAL_CODES)}) THEN {_lit(P.UNIT_SOCIAL)} "
+                         f"WHEN code IN ({_codes(P.GL_AGENCY_CODES)}) THEN {_lit(P.UNIT_AGENCY)} "
+                         f"ELSE {_lit(P.UNIT_OTHER)} END"),
+    "ll_transaction_category": ("cat STRING, typ STRING", "STRING", _category()),
+    "ll_revenue_segment": ("total DECIMAL(38,2)", "STRING",
+                           f"CASE WHEN total = 0 THEN {_lit(P.REVENUE_SEGMENTS[0])} "
+                           f"WHEN total < {P.REVENUE_SEGMENT_BOUNDS[0]} THEN {_lit(P.REVENUE_SEGMENTS[1])} "
+                           f"WHEN total < {P.REVENUE_SEGMENT_BOUNDS[1]} THEN {_lit(P.REVENUE_SEGMENTS[2])} "
+                           f"ELSE {_lit(P.REVENUE_SEGMENTS[3])} END"),
+    "ll_tenure_segment": ("days BIGINT", "STRING",
+                          f"CASE WHEN days IS NULL THEN {_lit(P.TENURE_SEGMENTS[0])} "
+                          f"WHEN days < {P.TENURE_SEGMENT_BOUNDS[0]} THEN {_lit(P.TENURE_SEGMENTS[1])} "
+                          f"WHEN days < {P.TENURE_SEGMENT_BOUNDS[1]} THEN {_lit(P.TENURE_SEGMENTS[2])} "
+                          f"WHEN days < {P.TENURE_SEGMENT_BOUNDS[2]} THEN {_lit(P.TENURE_SEGMENTS[3])} "
+                          f"ELSE {_lit(P.TENURE_SEGMENTS[4])} END"),
+}
+
+
+def register_sql_functions(spark: SparkSession) -> list[str]:
+    """Create (or replace) the temporary SQL functions; returns their names."""
+    for name, (params, returns, body) in FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {returns} RETURN {body}")
+    return sorted(FUNCTIONS)

@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.functions.sql import register_sql_functions
 from ledgerline.plans import churn, finance, neobank, programme, retention
 from ledgerline.sources.sinks import write_layer
 
@@ -60,7 +61,8 @@ def register_report_views(spark: SparkSession, tables: Mapping[str, DataFrame],
     ``tables`` maps the source roles (ledger, budget, budget_item,
     bank_transactions, bank_users, contact, contact_custom_field_value,
     company, acc_sale, sale, tutoring_transaction, date_table) to DataFrames.
-    Views are lazy; nothing runs until they are queried.
+    Views are lazy; nothing runs until they are queried. The helper SQL
+    functions (``ll_clean_town``, ``ll_initcap``, ...) are registered too.
     """
     crm = (tables["contact"], tables["contact_custom_field_value"], tables["company"], tables["acc_sale"])
     actuals = finance.finance_actuals(tables["ledger"])
@@ -82,4 +84,5 @@ def register_report_views(spark: SparkSession, tables: Mapping[str, DataFrame],
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+    register_sql_functions(spark)
     return sorted(views)

@@ -1,0 +1,52 @@
+"""The SQL functions agree with their DataFrame-API twins."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from ledgerline.functions.dates import parse_period
+from ledgerline.functions.sql import register_sql_functions
+from ledgerline.functions.text import clean_location, clean_town, email_key, initcap_words, programme_label, ws_trim
+from ledgerline.plans.churn import revenue_segment, tenure_segment
+from ledgerline.plans.finance import business_unit, reportable_gl
+from ledgerline.plans.neobank import transaction_category
+
+
+def test_text_functions_agree(spark, roles):
+    register_sql_functions(spark)
+    values = [r[0] for r in roles["contact_custom_field_value"].select("value").distinct().collect()]
+    values += [r[0] for r in roles["company"].select("address_town").distinct().collect()]
+    values += [r[0] for r in roles["tutoring_transaction"].select("schemaid_description").distinct().collect()]
+    values += ["den-haag", "o'neil st.john(x)", "NEW\tyork", " x　", "", None, "  C3@Mail.TEST\t"]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    df.createOrReplaceTempView("ll_text_cases")
+    api = df.select(ws_trim("s"), email_key("s"), initcap_words(F.col("s")), clean_location("s"), clean_town("s"),
+                    programme_label("s")).collect()
+    sql = spark.sql("SELECT ll_ws_trim(s), ll_email_key(s), ll_initcap(s), ll_clean_location(s), ll_clean_town(s), "
+                    "ll_programme_label(s) FROM ll_text_cases").collect()
+    assert [tuple(r) for r in api] == [tuple(r) for r in sql]
+
+
+def test_code_and_segment_functions_agree(spark, roles):
+    register_sql_functions(spark)
+    ledger = roles["ledger"].select("group_identifier", F.col("schemaid").cast("bigint").alias("code")).distinct()
+    ledger.createOrReplaceTempView("ll_ledger_cases")
+    y, m = parse_period("group_identifier")
+    api = ledger.select(y, m, reportable_gl("code"), business_unit("code")).collect()
+    sql = spark.sql("SELECT ll_period_year(group_identifier), ll_period_month(group_identifier), "
+                    "ll_reportable_gl(code), ll_business_unit(code) FROM ll_ledger_cases").collect()
+    assert [tuple(r) for r in api] == [tuple(r) for r in sql]
+    tx = roles["bank_transactions"].select("merchant_category", "transaction_type").distinct()
+    tx.createOrReplaceTempView("ll_tx_cases")
+    assert ([tuple(r) for r in tx.select(transaction_category()).collect()]
+            == [tuple(r) for r in spark.sql("SELECT ll_transaction_category(merchant_category, transaction_type) "
+                                            "FROM ll_tx_cases").collect()])
+    seg = spark.createDataFrame([(Decimal(v), d) for v, d in [("0", None), ("-5", 10), ("99.99", 30), ("100", 89),
+                                                              ("499.99", 364), ("500", 365)]],
+                                "total decimal(38,2), days bigint")
+    seg.createOrReplaceTempView("ll_seg_cases")
+    api = seg.select(revenue_segment("total"), tenure_segment("days")).collect()
+    sql = spark.sql("SELECT ll_revenue_segment(total), ll_tenure_segment(days) FROM ll_seg_cases").collect()
+    assert [tuple(r) for r in api] == [tuple(r) for r in sql]
