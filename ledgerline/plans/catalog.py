@@ -39,8 +39,20 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+_ROLES: dict[tuple[int, str], RoleTables] = {}
+
+
 def _rt(spark: SparkSession, sf_dir: str) -> RoleTables:
-    return RoleTables(spark, sf_dir)
+    """Role tables of ``sf_dir`` for this session, built once (like catalog views).
+
+    Only the (analysed) plans are shared between queries; every query still
+    reads and processes the whole tables when it runs.
+    """
+    key = (id(spark), sf_dir.rstrip("/"))
+    roles = _ROLES.get(key)
+    if roles is None or roles.spark is not spark:
+        roles = _ROLES[key] = RoleTables(spark, sf_dir)
+    return roles
 
 
 # --------------------------------------------------------------------------- finance
