@@ -18,11 +18,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.operators.spines import snapshot_date
 from ledgerline.plans import neobank
 from ledgerline.plans.layers import run_finance_layers, run_tutoring_layers
 from ledgerline.session import configure
 from ledgerline.sources.sinks import materialized_paths, release_materialized, write_layer
 
+LATEST = "latest"  # as_of = last invoice date of the snapshot
+
 ROLES = ("ledger", "budget", "budget_item", "bank_transactions", "bank_users", "contact",
          "contact_custom_field_value", "company", "acc_sale", "sale", "tutoring_transaction", "date_table")
 
@@ -44,10 +47,12 @@ class _Tables(dict):
 
 
 def run(spark: SparkSession, out: str, reports=("finance", "neobank", "tutoring"), source: str | None = None,
-        catalog_db: str | None = None, as_of: dt.date | None = None) -> dict[str, str]:
+        catalog_db: str | None = None, as_of=None) -> dict[str, str]:
     """Build and save the chosen report families; returns layer name -> path."""
     configure(spark)
     tables = _Tables(spark, source, catalog_db)
+    if as_of == LATEST:
+        as_of = snapshot_date(tables["acc_sale"], "date")
     already = set(materialized_paths())
     paths: dict[str, str] = {}
     if "finance" in reports:
@@ -70,11 +75,13 @@ def main(argv=None) -> None:
     src.add_argument("--source", help="folder with one Parquet folder per source role")
     src.add_argument("--catalog-db", help="catalog database holding the source roles as tables")
     ap.add_argument("--reports", default="finance,neobank,tutoring")
-    ap.add_argument("--as-of", type=dt.date.fromisoformat, default=None, help="'today' (default: current date)")
+    ap.add_argument("--as-of", default=None,
+                    help="'today' as YYYY-MM-DD, or 'latest' for the last invoice date (default: current date)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("ledgerline-reports").getOrCreate()
+    as_of = None if args.as_of is None else (LATEST if args.as_of == "latest" else dt.date.fromisoformat(args.as_of))
     for name, path in run(spark, args.out, tuple(args.reports.split(",")), args.source, args.catalog_db,
-                          args.as_of).items():
+                          as_of).items():
         print(f"{name}\t{path}")
 
 

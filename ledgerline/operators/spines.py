@@ -52,3 +52,12 @@ def day_spine(bounds: DataFrame, lo: str = "min_date", hi: str = "max_date", out
     NULL bounds give no rows.
     """
     return bounds.select(F.explode(F.sequence(F.col(lo), F.col(hi))).alias(out))
+
+
+def snapshot_date(df: DataFrame, col: str) -> Column:
+    """The latest date in ``df[col]`` as a scalar subquery: "today" of a data snapshot.
+
+    Usable wherever a report takes ``as_of``; it is evaluated once, by a
+    distributed aggregate, when the report runs.
+    """
+    return df.agg(F.max(F.to_date(col))).scalar()

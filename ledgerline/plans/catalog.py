@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerline import params as P
 from ledgerline.functions.dates import date_parts, month_names
 from ledgerline.functions.text import like_prefix, clean_location, clean_town, programme_label
-from ledgerline.operators.spines import month_spine
+from ledgerline.operators.spines import month_spine, snapshot_date
 from ledgerline.plans import churn, finance, neobank, programme, retention
 from ledgerline.sources.fixtures import RoleTables
 
@@ -200,8 +200,7 @@ def q_contact_latest_location(spark, sf_dir):
 @register("month_spine")
 def q_month_spine(spark, sf_dir):
     """Month calendar up to five years past "today", today being the last invoice date of the data."""
-    acc_sale = _rt(spark, sf_dir)["acc_sale"]
-    today = acc_sale.agg(F.max(F.to_date("date"))).scalar()
+    today = snapshot_date(_rt(spark, sf_dir)["acc_sale"], "date")
     return month_spine(spark, start=START, as_of=today)
 
 
