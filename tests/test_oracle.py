@@ -40,3 +40,18 @@ def test_results_do_not_depend_on_session_time_zone(key, spark, sf_dir, duck, ca
     cur = duck.execute(SQL[key])
     problems = compare(rows, df.columns, cur.fetchall(), [d[0] for d in cur.description])
     assert not problems, "\n".join(problems)
+
+
+_TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
+def test_column_types_agree_with_oracle(spark, sf_dir, duck, catalog):
+    mismatches = []
+    for key in KEYS:
+        spark_types = {f.name: f.dataType.simpleString() for f in catalog[key](spark, sf_dir).schema.fields}
+        duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {SQL[key]}").fetchall()}
+        for col, typ in spark_types.items():
+            if duck_types.get(col) != _TYPE_MAP.get(typ, typ.upper()):
+                mismatches.append((key, col, typ, duck_types.get(col)))
+    assert not mismatches
