@@ -3,6 +3,7 @@
 from ledgerline.operators.activity import active_counts  # noqa: F401
 from ledgerline.operators.bridge import best_match_by_key, bridge_on_email  # noqa: F401
 from ledgerline.operators.joins import left_join_skew_safe  # noqa: F401
+from ledgerline.operators.sorting import display_order  # noqa: F401
 from ledgerline.operators.spines import day_spine, expand_months, month_spine, snapshot_date  # noqa: F401
 from ledgerline.operators.windows import (  # noqa: F401
     agg_over,

@@ -20,6 +20,7 @@ from ledgerline.functions._col import lit_date
 from ledgerline.functions.money import quotient9, rate_pct, ratio2, round_money
 from ledgerline.functions.text import clean_town, extract_or_null
 from ledgerline.operators.joins import left_join_skew_safe
+from ledgerline.operators.sorting import display_order
 from ledgerline.operators.windows import agg_over, attach_scalars
 from ledgerline.sources.sinks import materialize
 
@@ -212,6 +213,6 @@ def customer_churn(contacts: DataFrame, company: DataFrame, sale: DataFrame, as_
         F.quarter(last).cast("bigint").alias("date_quarter"),
         F.month(last).cast("bigint").alias("date_month"))
     if order:
-        out = out.orderBy(F.asc_nulls_first("customer_status"), F.desc_nulls_last("total_revenue"),
-                          last.desc_nulls_last())
+        out = display_order(out, [F.asc_nulls_first("customer_status"), F.desc_nulls_last("total_revenue"),
+                                  last.desc_nulls_last()], spread=["customer_id"])
     return out

@@ -24,6 +24,7 @@ from ledgerline import params as P
 from ledgerline.functions.dates import date_parts
 from ledgerline.functions.text import like_prefix, extract_or_null, initcap_words, programme_label
 from ledgerline.operators.joins import left_join_skew_safe
+from ledgerline.operators.sorting import display_order
 from ledgerline.plans.retention import location_fields
 
 
@@ -105,6 +106,7 @@ def revenue_by_programme(date_table: DataFrame, acc_sale: DataFrame, company: Da
         F.when(F.col("studentid").isNotNull(), F.col("is_active")).alias("student_active"),
         "location", "date_date", *date_parts("date_date"))
     if order:
-        out = out.orderBy(*[F.asc_nulls_first(c) for c in ("revenue", "transaction_identifier", "programme",
-                                                            "studentid")])
+        out = display_order(out, [F.asc_nulls_first(c) for c in ("revenue", "transaction_identifier", "programme",
+                                                                 "studentid")],
+                            spread=["date_date", "studentid"])
     return out

@@ -167,3 +167,16 @@ def test_report_sort_puts_nulls_where_the_warehouse_does(roles):
                                                            "last_invoice_date").collect()
     keys = [(r[0], -r[1], r[2] is None, -(r[2].timestamp() if r[2] else 0)) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_programme_report_is_globally_sorted(roles):
+    from ledgerline.plans import programme
+    rows = programme.revenue_by_programme(
+        roles["date_table"], roles["acc_sale"], roles["company"], roles["contact"],
+        roles["contact_custom_field_value"], roles["tutoring_transaction"]).select(
+        "revenue", "transaction_identifier", "programme", "studentid").collect()
+
+    def key(r):   # ASC NULLS FIRST on each column
+        return tuple((v is not None, v if v is not None else 0) for v in r)
+    keys = [key(r) for r in rows]
+    assert keys == sorted(keys)
