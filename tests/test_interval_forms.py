@@ -37,3 +37,31 @@ def test_product_methods_agree(roles):
 def test_unknown_method(dim):
     with pytest.raises(ValueError):
         active_counts(dim, dim, 42, method="nope")
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_delta_form_matches_brute_force_with_a_hot_location(spark, seed):
+    import datetime as dt
+    import random
+
+    rng = random.Random(seed)
+    base = dt.date(2020, 1, 1)
+    members = []
+    for i in range(300):
+        loc = "HOT" if rng.random() < 0.34 else f"L{rng.randint(0, 6)}"
+        first = base + dt.timedelta(days=rng.randint(0, 120))
+        last = first + dt.timedelta(days=rng.choice([0, 0, 1, rng.randint(0, 90)]))
+        members.append((i, loc, first, last))
+    grace = 42
+    dim = spark.createDataFrame(members, "studentid int, location string, first_invoice_date date, "
+                                         "last_invoice_date date")
+    lo = min(m[2] for m in members)
+    hi = max(m[3] for m in members) + dt.timedelta(days=grace)
+    days = [lo + dt.timedelta(days=k) for k in range((hi - lo).days + 1)]
+    locations = sorted({m[1] for m in members})
+    spine = spark.createDataFrame([(loc, d) for loc in locations for d in days], "location string, date_date date")
+    got = {(r.location, r.date_date): r.active_students
+           for r in active_counts(dim, spine, grace).collect()}
+    want = {(loc, d): sum(1 for m in members if m[1] == loc and m[2] <= d <= m[3] + dt.timedelta(days=grace))
+            for loc in locations for d in days}
+    assert got == want
