@@ -9,6 +9,11 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def as_of_date(as_of=None) -> Column:
+    """The report's "today": ``current_date()`` when None, else a date literal / Column."""
+    return F.current_date() if as_of is None else lit_date(as_of)
+
+
 def lit_date(value) -> Column:
     """A DATE literal from a ``datetime.date``, a Column or an ISO string."""
     if isinstance(value, Column):

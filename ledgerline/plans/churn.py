@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import params as P
-from ledgerline.functions._col import lit_date
+from ledgerline.functions._col import as_of_date
 from ledgerline.functions.money import quotient9, rate_pct, ratio2, round_money
 from ledgerline.functions.text import clean_town, extract_or_null
 from ledgerline.operators.joins import left_join_skew_safe
@@ -27,10 +27,6 @@ from ledgerline.sources.sinks import materialize
 AsOf = _dt.date | Column | None
 
 
-def _as_of(as_of: AsOf) -> Column:
-    return F.current_date() if as_of is None else lit_date(as_of)
-
-
 def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFrame,
                           skew_safe: bool = True) -> DataFrame:
     """Customer (contact with an e-mail) -> companies with that raw e-mail -> their invoice lines.
@@ -66,7 +62,7 @@ def trailing_sums(amount: Column | str, day: Column | str, as_of: AsOf = None,
     """Aggregate expressions: sum of ``amount`` over the last N days before ``as_of`` (NULL if none)."""
     a = F.col(amount) if isinstance(amount, str) else amount
     d = F.to_date(F.col(day) if isinstance(day, str) else day)
-    today = _as_of(as_of)
+    today = as_of_date(as_of)
     return [F.sum(F.when(d >= F.date_sub(today, n), a)).alias(f"{prefix}{n}_days") for n in windows]
 
 
@@ -74,7 +70,7 @@ def churn_status(last_invoice: Column | str, as_of: AsOf = None, grace: int = P.
     """Recency and churn columns from the last invoice: days since, status, churn date, 0/1 flags."""
     last = F.col(last_invoice) if isinstance(last_invoice, str) else last_invoice
     last_day = F.to_date(last)
-    since = F.datediff(_as_of(as_of), last_day)
+    since = F.datediff(as_of_date(as_of), last_day)
     return {
         "days_since_last_payment": since.cast("bigint"),
         "customer_status": (F.when(last.isNull(), F.lit(P.STATUS_NO_PAYMENTS))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import params as P
-from ledgerline.functions._col import lit_date
+from ledgerline.functions._col import as_of_date, lit_date
 from ledgerline.functions.dates import date_parts
 from ledgerline.functions.text import clean_location, email_key, initcap_words, ws_trim
 from ledgerline.operators.activity import active_counts
@@ -30,10 +30,6 @@ from ledgerline.sources.sinks import materialize
 AsOf = _dt.date | Column | None
 
 
-def _as_of(as_of: AsOf) -> Column:
-    return F.current_date() if as_of is None else lit_date(as_of)
-
-
 def _blank_to_unknown(c: Column) -> Column:
     return F.coalesce(F.nullif(ws_trim(c), F.lit("")), F.lit(P.UNKNOWN))
 
@@ -133,7 +129,7 @@ def student_month_spine(contact: DataFrame, cfv: DataFrame, start=P.MONTH_SPINE_
     The months are generated per contact row (``explode``), not by a join.
     """
     students = contact_latest_location(contact, cfv)
-    months = month_range(lit_date(start), month_spine_end(_as_of(as_of)))
+    months = month_range(lit_date(start), month_spine_end(as_of_date(as_of)))
     return students.select(F.explode(months).alias("date_date"), "contact_id",
                            _blank_to_unknown(F.col("location_name")).alias("location_name"))
 
@@ -154,7 +150,7 @@ def student_activity_monthly(contact: DataFrame, cfv: DataFrame, company: DataFr
     not by the data). That row is joined to its contacts and only then the
     months are exploded, so the student x month rows are never shuffled.
     """
-    today = _as_of(as_of)
+    today = as_of_date(as_of)
     lo, hi = lit_date(start), month_spine_end(today)
     month = F.trunc("sale_date", "MM")
     per_month = (company_sales(acc_sale).groupBy("companyid", month.alias("m"))
@@ -191,7 +187,7 @@ def student_activity_monthly(contact: DataFrame, cfv: DataFrame, company: DataFr
 def student_activation(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale: DataFrame,
                        as_of: AsOf = None, grace: int = P.GRACE_DAYS) -> DataFrame:
     """Layer 2: one row per student with invoices; the first invoice is the activation date."""
-    today = _as_of(as_of)
+    today = as_of_date(as_of)
     sc = bridge_contact_company(contact, cfv, company)
     ib = sc.join(company_invoice_stats(acc_sale), "companyid")
     first = F.col("first_invoice_date")
