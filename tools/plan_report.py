@@ -23,6 +23,7 @@ REPORTS = ("finance_actuals", "finance_forecasts", "finance_variance", "fee_tran
 
 PATTERNS = {
     "shuffle (hash)": r"Exchange hashpartitioning",
+    "shuffle (rebalance before sort/write)": r"REBALANCE_PARTITIONS_BY_COL",
     "shuffle (range, final sort)": r"Exchange rangepartitioning",
     "shuffle (single partition)": r"Exchange SinglePartition",
     "broadcast": r"BroadcastExchange",
