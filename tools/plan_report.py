@@ -116,6 +116,8 @@ def main(sf_dir: str) -> None:
              "(adaptive execution broadcasts the small test inputs); **large** = broadcasts disabled",
              "(`spark.sql.autoBroadcastJoinThreshold=-1`), the shape the plan takes when every input is big.",
              "Counts are operators in the final adaptive plan (scalar subqueries included).",
+             "The code has no broadcast hints: every broadcast below was chosen by Spark's own size checks",
+             "(file-size upper bounds at planning, measured shuffle output under adaptive execution).",
              "`active_students_daily` and `customer_churn` first save their multi-reader intermediate",
              "(`student_dim`, `customer_metrics`, listed separately) and plan the rest over the saved copy.", ""]
     for name in REPORTS:
