@@ -147,7 +147,8 @@ def finance_actuals(ledger: DataFrame, min_year: int = P.MIN_ACTUALS_YEAR,
     so this equals grouping by the labels — with a narrower shuffle.
     """
     lines = reportable_ledger(ledger, min_year)
-    keys = ["period_year", "period_month", "period_date", "schemaid", "schemaid_description",
+    # period_date is a function of (period_year, period_month): derived after the shuffle
+    keys = ["period_year", "period_month", "schemaid", "schemaid_description",
             "schemaid_type", "beneficiary_key", "beneficiary_id", "beneficiary_label"]
     signed = F.coalesce(F.col("result"), F.lit(0))
     if amount_mode == "collapse":
@@ -162,7 +163,7 @@ def finance_actuals(ledger: DataFrame, min_year: int = P.MIN_ACTUALS_YEAR,
     gl_type = F.col("schemaid_type")
     revenue = F.round(F.when(gl_type == P.TYPE_REVENUE, -amount).otherwise(F.lit(0)), 2)
     cost = F.round(F.when(gl_type == P.TYPE_COST, amount).otherwise(F.lit(0)), 2)
-    period = F.col("period_date")
+    period = F.make_date(F.col("period_year"), F.col("period_month"), F.lit(1))
     full, short = month_names(period)
     cols = {
         "jaar": F.col("period_year").cast("string"), "maand": full, "month_name_short": short,
