@@ -63,12 +63,14 @@ def daily_active_flag(date_table: DataFrame, acc_sale: DataFrame, company: DataF
                  .select(F.to_date("date").alias("sale_day"), debtor_key.alias("_cid"))
                  .distinct())
     matched = (sale_days.join(ids.withColumn("_hit", F.col("_cid")), "_cid", "left")
-               .select(F.col("sale_day").alias("date_date"), F.col("sale_day"), F.col("_hit").alias("studentid"))
-               .distinct())
+               .select(F.col("sale_day").alias("date_date"), F.col("_hit").alias("studentid"))
+               .distinct()
+               .withColumn("_sold", F.lit(True)))
     # calendar LEFT JOIN day x company pairs: the calendar is tiny and a busy
     # invoicing day is a hot key, so join as inner (calendar broadcast) + anti.
     joined = left_join_skew_safe(days, matched, ["date_date"])
-    latest = F.coalesce(F.col("sale_day"), F.lit(P.NO_SALE_DATE))
+    # the latest invoice of a matched group is that very day (same-day join)
+    latest = F.when(F.col("_sold"), F.col("date_date")).otherwise(F.lit(P.NO_SALE_DATE))
     return joined.select("date_date", "studentid",
                          (latest >= F.date_sub(F.col("date_date"), P.GRACE_DAYS)).alias("is_active"))
 
