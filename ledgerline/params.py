@@ -35,6 +35,19 @@ TYPE_COST = "K"
 LABEL_REVENUE = "Omzet"
 LABEL_COST = "Kosten"
 
+# GL label texts: fallbacks of the category labels, forecast codes without
+# a GL code, the prefix of an unknown type, and the layer tags.
+CATEGORY_REVENUE_FALLBACK = "Revenue"
+CATEGORY_COST_FALLBACK = "Cost"
+ACTUALS_TEXT_FALLBACK = "Onbekend"
+FORECAST_TEXT_FALLBACK = "Forecast"
+FORECAST_CODE_REVENUE = "FORECAST_REV"
+FORECAST_CODE_COST = "FORECAST_COST"
+FORECAST_CODE_OTHER = "FORECAST_OTHER"
+UNKNOWN_TYPE_PREFIX = "Type "
+DATA_TYPE_ACTUAL = "actual"
+DATA_TYPE_FORECAST = "forecast"
+
 # Text identifiers carrying the accounting period, e.g. 'YEARMONTH_2024-03'.
 # In LIKE, '_' is a one-character wildcard; that is intended.
 PERIOD_LIKE = "YEARMONTH_%"

@@ -57,8 +57,8 @@ def category_columns(kind: Column, description: Column, fallback: str) -> dict[s
     is_rev, is_cost = kind == P.TYPE_REVENUE, kind == P.TYPE_COST
     named = F.coalesce(description, F.lit(fallback))
     return {
-        "revenue_category": F.when(is_rev, F.coalesce(description, F.lit("Revenue"))),
-        "cost_category": F.when(is_cost, F.coalesce(description, F.lit("Cost"))),
+        "revenue_category": F.when(is_rev, F.coalesce(description, F.lit(P.CATEGORY_REVENUE_FALLBACK))),
+        "cost_category": F.when(is_cost, F.coalesce(description, F.lit(P.CATEGORY_COST_FALLBACK))),
         "category": (F.when(is_cost, F.concat(F.lit(P.LABEL_COST + " - "), named))
                      .when(is_rev, F.concat(F.lit(P.LABEL_REVENUE + " - "), named))
                      .otherwise(named)),
@@ -77,8 +77,8 @@ def actual_gl_labels(schemaid: Column, description: Column, gl_type: Column,
         "gl_type": gl_type,
         "gl_type_label": (F.when(gl_type == P.TYPE_REVENUE, F.lit(P.LABEL_REVENUE))
                           .when(gl_type == P.TYPE_COST, F.lit(P.LABEL_COST))
-                          .otherwise(F.concat(F.lit("Type "), F.coalesce(gl_type, F.lit(P.UNKNOWN))))),
-        **category_columns(gl_type, description, "Onbekend"),
+                          .otherwise(F.concat(F.lit(P.UNKNOWN_TYPE_PREFIX), F.coalesce(gl_type, F.lit(P.UNKNOWN))))),
+        **category_columns(gl_type, description, P.ACTUALS_TEXT_FALLBACK),
         "organization_group": business_unit(unit_col),
     }
 
@@ -89,9 +89,9 @@ def forecast_gl_labels(schemaid: Column, description: Column, post_label: Column
     kind = (F.when(post_label == P.LABEL_REVENUE, F.lit(P.TYPE_REVENUE))
             .when(post_label == P.LABEL_COST, F.lit(P.TYPE_COST)))
     code = F.coalesce(schemaid.cast("string"),
-                      F.when(post_label == P.LABEL_REVENUE, F.lit("FORECAST_REV"))
-                      .when(post_label == P.LABEL_COST, F.lit("FORECAST_COST"))
-                      .otherwise(F.lit("FORECAST_OTHER")))
+                      F.when(post_label == P.LABEL_REVENUE, F.lit(P.FORECAST_CODE_REVENUE))
+                      .when(post_label == P.LABEL_COST, F.lit(P.FORECAST_CODE_COST))
+                      .otherwise(F.lit(P.FORECAST_CODE_OTHER)))
     desc = F.coalesce(description, post_label, F.lit(P.UNKNOWN))
     is_rev = post_label == P.LABEL_REVENUE
     return {
@@ -100,7 +100,7 @@ def forecast_gl_labels(schemaid: Column, description: Column, post_label: Column
         "gl_code_description": F.concat(code, F.lit(" - "), desc),
         "gl_type": F.when(is_rev, F.lit(P.TYPE_REVENUE)).otherwise(F.lit(P.TYPE_COST)),
         "gl_type_label": F.when(is_rev, F.lit(P.LABEL_REVENUE)).otherwise(F.lit(P.LABEL_COST)),
-        **category_columns(kind, description, "Forecast"),
+        **category_columns(kind, description, P.FORECAST_TEXT_FALLBACK),
         "organization_group": business_unit(unit_col),
     }
 
@@ -172,7 +172,7 @@ def finance_actuals(ledger: DataFrame, min_year: int = P.MIN_ACTUALS_YEAR,
         "beneficiary_id": F.col("beneficiary_id").cast("string"),
         "beneficiary_label": F.col("beneficiary_label"),
         "revenue_amount": revenue, "cost_amount": cost, "profit_amount": F.round(revenue - cost, 2),
-        "data_type": F.lit("actual"), "transaction_count": F.col("transaction_count"),
+        "data_type": F.lit(P.DATA_TYPE_ACTUAL), "transaction_count": F.col("transaction_count"),
         "date_date": period, "date_year": F.col("period_year"), "date_month": F.col("period_month"),
         "date_quarter": F.quarter(period), "date_week": F.weekofyear(period), "date_day": F.lit(1),
     }
@@ -239,7 +239,7 @@ def finance_forecasts(budget: DataFrame, budget_item: DataFrame, order: bool = T
         "beneficiary_id": F.col("budgetitemid").cast("string"),
         "beneficiary_label": label,
         "revenue_amount": revenue, "cost_amount": cost, "profit_amount": profit,
-        "data_type": F.lit("forecast"), "transaction_count": F.lit(0),
+        "data_type": F.lit(P.DATA_TYPE_FORECAST), "transaction_count": F.lit(0),
         "date_date": period, "date_year": F.year(period), "date_month": F.month(period),
         "date_quarter": F.quarter(period), "date_week": F.weekofyear(period), "date_day": F.lit(1),
     }
