@@ -31,22 +31,26 @@ def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFra
                           skew_safe: bool = True) -> DataFrame:
     """Customer (contact with an e-mail) -> companies with that raw e-mail -> their invoice lines.
 
-    The invoice side is joined with ``left_join_skew_safe`` so a company with
-    a large share of all invoice lines can be split across tasks.
+    Both left joins use ``left_join_skew_safe`` (``skew_safe=False`` gives the
+    plain joins, for comparison) so a company holding a large share of all
+    invoice lines, or an e-mail shared by many companies, can be split.
     """
     c = (contacts.where(F.col("email").isNotNull() & (F.col("email") != ""))
          .select(F.col("id").alias("customer_id"), F.col("cdate").alias("customer_created_date"), "email"))
     comp = company.select("email", "companyid", "address_town", "address_country")
-    cc = c.join(comp, "email", "left").select(
+    lines = sale.select("companyid", "salesid", "amount", F.col("date").alias("invoice_date"), "description")
+
+    def left(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+        if skew_safe:   # a hot key on the right side stays splittable (many companies per e-mail,
+            return left_join_skew_safe(a, b, [key])   # many invoice lines per company)
+        return a.join(b, key, "left").select(*a.columns, *[x for x in b.columns if x != key])
+
+    cc = left(c, comp, "email").select(
         "customer_id", "customer_created_date",
         clean_town("address_town").alias("location"),
         F.coalesce(F.col("address_country"), F.lit(P.DEFAULT_COUNTRY)).alias("country"),
         "companyid")
-    lines = sale.select("companyid", "salesid", "amount", F.col("date").alias("invoice_date"), "description")
-    if not skew_safe:
-        return cc.join(lines, "companyid", "left").select(*cc.columns, *lines.columns[1:])
-    return left_join_skew_safe(cc, lines, ["companyid"])
-
+    return left(cc, lines, "companyid")
 
 def student_name(description: Column | str = "description") -> Column:
     """First capitalised word of an invoice line (a student's name), NULL when none."""

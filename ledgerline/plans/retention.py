@@ -23,6 +23,7 @@ from ledgerline.functions.dates import date_parts
 from ledgerline.functions.text import clean_location, email_key, initcap_words, ws_trim
 from ledgerline.operators.activity import active_counts
 from ledgerline.operators.bridge import bridge_on_email
+from ledgerline.operators.joins import left_join_skew_safe
 from ledgerline.operators.spines import month_range, month_spine_end
 from ledgerline.operators.windows import attach_scalars, latest_by
 from ledgerline.sources.sinks import materialize
@@ -46,9 +47,10 @@ def location_fields(cfv: DataFrame, field_id: str = P.LOCATION_FIELD_ID) -> Data
 
 
 def contact_location_raw(contact: DataFrame, cfv: DataFrame, field_id: str = P.LOCATION_FIELD_ID) -> DataFrame:
-    """Every contact with each version of its location field (left join)."""
+    """Every contact with each version of its location field (left join; a contact with very
+    many versions stays splittable)."""
     c = contact.select(F.col("id").alias("contact_id"), "email")
-    return c.join(location_fields(cfv, field_id), "contact_id", "left").select(
+    return left_join_skew_safe(c, location_fields(cfv, field_id), ["contact_id"]).select(
         "contact_id", "email", F.col("value").alias("location_name"), "cf_updated_at")
 
 
