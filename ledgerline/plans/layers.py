@@ -61,7 +61,8 @@ def register_report_views(spark: SparkSession, tables: Mapping[str, DataFrame],
     ``tables`` maps the source roles (ledger, budget, budget_item,
     bank_transactions, bank_users, contact, contact_custom_field_value,
     company, acc_sale, sale, tutoring_transaction, date_table) to DataFrames.
-    Views are lazy; nothing runs until they are queried. The helper SQL
+    Views are lazy; nothing runs until they are queried (so the reports'
+    multi-reader intermediates are not saved here). The helper SQL
     functions (``ll_clean_town``, ``ll_initcap``, ...) are registered too.
     """
     crm = (tables["contact"], tables["contact_custom_field_value"], tables["company"], tables["acc_sale"])
@@ -75,12 +76,12 @@ def register_report_views(spark: SparkSession, tables: Mapping[str, DataFrame],
                                                                        tables["bank_users"]),
         "student_activity_monthly": retention.student_activity_monthly(*crm, as_of=as_of),
         "student_activation": retention.student_activation(*crm, as_of=as_of),
-        "active_students_daily": retention.active_students_daily(*crm),
+        "active_students_daily": retention.active_students_daily(*crm, reuse=False),
         "revenue_by_programme": programme.revenue_by_programme(
             tables["date_table"], tables["acc_sale"], tables["company"], tables["contact"],
             tables["contact_custom_field_value"], tables["tutoring_transaction"], order=False),
         "customer_churn": churn.customer_churn(tables["contact"], tables["company"], tables["sale"],
-                                               as_of=as_of, order=False),
+                                               as_of=as_of, order=False, reuse=False),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
