@@ -96,3 +96,62 @@ def test_with_date_dims(spark):
     df = spark.createDataFrame([(dt.date(2024, 12, 30),)], "d date")
     r = with_date_dims(df, "d", names=True).first()
     assert (r.date_year, r.date_quarter, r.date_month, r.date_week, r.date_day, r.maand) == (2024, 4, 12, 1, 30, "December")
+
+
+def _duck_table(con, name, rows, cols):
+    con.execute(f"CREATE OR REPLACE TABLE {name} ({cols})")
+    if rows:
+        con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' for _ in rows[0])})", rows)
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_bridge_equals_join_then_row_number(spark, seed):
+    rng = random.Random(seed)
+    emails = ["", None, " A@x ", "a@x", "B@X", "b@x ", "c@x", "\\tc@x"]
+    contacts = [(i, rng.choice(emails)) for i in range(120)]
+    companies = [(rng.randint(0, 40), rng.choice(emails)) for _ in range(150)] + [(None, "a@x")]
+    left = spark.createDataFrame(contacts, "contact_id int, email string")
+    right = spark.createDataFrame(companies, "companyid int, email string")
+    got = sorted((r.contact_id, r.companyid) for r in bridge_on_email(left, right).collect())
+    con = duckdb.connect()
+    _duck_table(con, "c", contacts, "contact_id INT, email VARCHAR")
+    _duck_table(con, "k", companies, "companyid INT, email VARCHAR")
+    ws = "' ' || chr(9) || chr(10) || chr(13)"
+    want = sorted(con.execute(f"""
+        SELECT contact_id, companyid FROM (
+          SELECT c.contact_id, k.companyid,
+                 row_number() OVER (PARTITION BY c.contact_id ORDER BY k.companyid DESC NULLS LAST) AS rn
+          FROM c LEFT JOIN k ON lower(trim(c.email, {ws})) = lower(trim(k.email, {ws}))) t
+        WHERE rn = 1""").fetchall())
+    assert got == [tuple(w) for w in want]
+
+
+@pytest.mark.parametrize("seed", [31, 32])
+def test_company_location_equals_literal_join(spark, seed):
+    from ledgerline.plans.retention import company_location
+    rng = random.Random(seed)
+    emails = ["", None, "a@x", "A@X ", "b@x", "c@x"]
+    values = [None, "", "  ", " amsterdam ", "DEN HAAG", "utrecht", "breda"]
+    contact = [(i, rng.choice(emails)) for i in range(60)]
+    cfv = [(str(rng.randint(0, 70)), rng.choice(["7", "7", "9"]), rng.choice(values)) for _ in range(120)]
+    company = [(rng.randint(1, 30), rng.choice(emails)) for _ in range(50)]
+    got = sorted((r.studentid, r.location) for r in company_location(
+        spark.createDataFrame(contact, "id bigint, email string"),
+        spark.createDataFrame([(c, f, v, None, None) for c, f, v in cfv],
+                              "contact string, custom_field_id string, value string, u_date date, c_date date"),
+        spark.createDataFrame(company, "companyid bigint, email string")).collect())
+    con = duckdb.connect()
+    _duck_table(con, "contact", contact, "id BIGINT, email VARCHAR")
+    _duck_table(con, "cfv", cfv, "contact VARCHAR, custom_field_id VARCHAR, value VARCHAR")
+    _duck_table(con, "company", company, "companyid BIGINT, email VARCHAR")
+    from ledgerline.oracle.sql import initcap, trim_ws
+    want = sorted(con.execute(f"""
+        SELECT comp.companyid,
+               MIN(CASE WHEN cfv.value IS NULL OR {trim_ws('cfv.value')} = '' THEN 'Unknown'
+                        ELSE {initcap(trim_ws('cfv.value'))} END)
+        FROM contact c
+        LEFT JOIN cfv ON c.id = CAST(cfv.contact AS BIGINT) AND cfv.custom_field_id = '7'
+        LEFT JOIN company comp ON lower({trim_ws('c.email')}) = lower({trim_ws('comp.email')})
+        WHERE comp.companyid IS NOT NULL
+        GROUP BY comp.companyid""").fetchall())
+    assert got == [tuple(w) for w in want]
