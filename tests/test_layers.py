@@ -113,3 +113,15 @@ def test_materialize_and_release(spark):
     assert os.path.exists(local)
     assert release_materialized(spark, [path]) == 1
     assert not os.path.exists(local) and path not in materialized_paths()
+
+
+def test_batch_job_command_line(spark, small, capsys):
+    from ledgerline.jobs import main
+    base = tempfile.mkdtemp(prefix="ledgerline-cli-")
+    for role in ("bank_transactions", "bank_users"):
+        small[role].write.mode("overwrite").parquet(f"{base}/roles/{role}")
+    main(["--out", f"{base}/out", "--source", f"{base}/roles", "--reports", "neobank", "--as-of", "2001-08-01"])
+    printed = capsys.readouterr().out
+    assert "fee_transactions_enriched\t" in printed
+    assert spark.read.parquet(f"{base}/out/fee_transactions_enriched").count() == \
+        neobank.fee_transactions_enriched(small["bank_transactions"], small["bank_users"]).count()
