@@ -46,11 +46,13 @@ def test_fee_transactions_pruned_and_pushed(parquet_roles):
     assert "ReadSchema: struct<user_id:bigint,service_plan:string,created_date:date,country:string>" in user_scan
 
 
-def test_no_nested_loop_or_cartesian_anywhere(spark, sf_dir, catalog):
+def test_no_nested_loop_cartesian_or_python_anywhere(spark, sf_dir, catalog):
     for name, fn in catalog.items():
         plan = _plan(fn(spark, sf_dir))
         assert "BroadcastNestedLoopJoin" not in plan, name
         assert "CartesianProduct" not in plan, name
+        for python_node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+            assert python_node not in plan, (name, python_node)
 
 
 def test_variance_unit_option(roles):
