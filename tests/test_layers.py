@@ -125,3 +125,23 @@ def test_batch_job_command_line(spark, small, capsys):
     assert "fee_transactions_enriched\t" in printed
     assert spark.read.parquet(f"{base}/out/fee_transactions_enriched").count() == \
         neobank.fee_transactions_enriched(small["bank_transactions"], small["bank_users"]).count()
+
+
+def test_streaming_restart_processes_new_files_exactly_once(spark, small):
+    base = tempfile.mkdtemp(prefix="ledgerline-restart-")
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/ckpt"
+    tx, users = small["bank_transactions"], small["bank_users"]
+    schema = tx.schema
+    tx.where("transaction_id % 3 = 0").write.mode("append").parquet(src)
+    first = start_layer_sink(fee_transactions_stream(spark, src, users, schema=schema), out, "fee_restart",
+                             checkpoint=ckpt)
+    first.awaitTermination(300)
+    n_first = spark.read.parquet(out).count()
+    tx.where("transaction_id % 3 <> 0").write.mode("append").parquet(src)
+    second = start_layer_sink(fee_transactions_stream(spark, src, users, schema=schema), out, "fee_restart",
+                              checkpoint=ckpt)
+    second.awaitTermination(300)
+    got = spark.read.parquet(out)
+    want = neobank.fee_transactions_enriched(tx, users)
+    assert 0 < n_first < got.count()
+    assert got.count() == want.count() == got.select("transaction_id").distinct().count()
