@@ -130,3 +130,10 @@ def test_churn_rates_and_segments(roles):
     segs = {x[0] for x in out.select("revenue_segment").distinct().collect()}
     assert segs <= set(P.REVENUE_SEGMENTS)
     assert out.where((F.col("customer_status") == "No Payments") & (F.col("total_invoices") != 0)).count() == 0
+
+
+def test_programme_rows_are_unique_without_a_final_distinct(roles):
+    out = programme.revenue_by_programme(roles["date_table"], roles["acc_sale"], roles["company"],
+                                         roles["contact"], roles["contact_custom_field_value"],
+                                         roles["tutoring_transaction"], order=False)
+    assert out.count() == out.distinct().count()
