@@ -29,6 +29,7 @@ def _codes(codes) -> str:
 
 
 _WS = _lit(P.WHITESPACE)
+_SPACES = _lit(r"\s+")
 _SPLIT = _lit("(?<=[\\s" + "".join(re.escape(ch) for ch in P.INITCAP_DELIMITERS) + "])")
 
 
@@ -54,7 +55,7 @@ FUNCTIONS: dict[str, tuple[str, str, str]] = {
                       f"CASE WHEN upper(btrim(t, {_WS})) IN ({', '.join(_lit(x) for x in P.TOWN_TYPOS)}) "
                       f"THEN {_lit(P.TOWN_TYPO_FIX)} "
                       f"WHEN btrim(t, {_WS}) IS NULL OR btrim(t, {_WS}) = '' THEN {_lit(P.UNKNOWN)} "
-                      f"ELSE upper(btrim(regexp_replace(t, {_lit(chr(92) + 's+')}, ' '), {_WS})) END"),
+                      f"ELSE upper(btrim(regexp_replace(t, {_SPACES}, ' '), {_WS})) END"),
     "ll_programme_label": ("d STRING", "STRING",
                            f"btrim(regexp_replace(d, {_lit(P.PROGRAMME_PREFIX_RE)}, ''), {_WS})"),
     "ll_period_year": ("gi STRING", "BIGINT", "CAST(get(split(get(split(gi, '_'), 1), '-'), 0) AS BIGINT)"),
