@@ -269,22 +269,6 @@ def role_table_sql(name: str, engine: str = "duckdb") -> str:
     return ROLE_TABLES[name].sql(engine)
 
 
-def role_dependencies(names) -> list[str]:
-    """Role tables needed by ``names`` (including themselves), dependency order."""
-    order: list[str] = []
-
-    def visit(n: str) -> None:
-        if n in order or n not in ROLE_TABLES:
-            return
-        for dep in ROLE_TABLES[n].referenced("duckdb"):
-            visit(dep)
-        order.append(n)
-
-    for n in names:
-        visit(n)
-    return order
-
-
 class RoleTables:
     """Lazily built role-table DataFrames over one directory of driver parquet."""
 
