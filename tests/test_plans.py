@@ -69,3 +69,29 @@ def test_cluster_settings_scale_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 50_000
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)
+
+
+def test_bucketed_sources_join_without_a_shuffle(spark, roles):
+    import uuid
+
+    from ledgerline.sources.sinks import save_bucketed
+    suffix = uuid.uuid4().hex[:8]
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        tx = save_bucketed(roles["bank_transactions"], f"ll_tx_{suffix}", ["user_id"], 8)
+        users = save_bucketed(roles["bank_users"], f"ll_users_{suffix}", ["user_id"], 8)
+        df = neobank.fee_transactions_enriched(tx, users)
+        rows = df.count()
+        plan = _plan(df)
+        plain = neobank.fee_transactions_enriched(roles["bank_transactions"], roles["bank_users"])
+        assert rows == plain.count()
+        assert "SortMergeJoin" in plan
+        assert "Exchange hashpartitioning" not in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.sql(f"DROP TABLE IF EXISTS ll_tx_{suffix}")
+        spark.sql(f"DROP TABLE IF EXISTS ll_users_{suffix}")
