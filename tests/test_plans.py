@@ -95,3 +95,19 @@ def test_bucketed_sources_join_without_a_shuffle(spark, roles):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
         spark.sql(f"DROP TABLE IF EXISTS ll_tx_{suffix}")
         spark.sql(f"DROP TABLE IF EXISTS ll_users_{suffix}")
+
+
+def test_configure_applies_sizing_only_when_asked(spark):
+    from ledgerline.session import configure
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        configure(spark)
+        assert {k: spark.conf.get(k) for k in keys} == before          # no sizing without input size
+        configure(spark, input_bytes=64 << 30, total_cores=4)          # 64 GiB on 4 cores
+        # set at launch by the test session: kept; not set at launch: sized
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 << 20)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
