@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,6 +20,8 @@ def spark():
 
     session = (SparkSession.builder.master("local[*]")
                .config("spark.sql.shuffle.partitions", "8")
+               # catalog tables of the tests go to a scratch folder, not the working directory
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerline-warehouse-"))
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
