@@ -121,8 +121,9 @@ ROWS = {
     # sorts
     "O1": (f"{F} `finance_forecasts` (`order=True`)", "finance_forecasts", "test_traps (NULL order)"),
     "O2": (f"{F} `finance_variance`", "finance_variance", ORACLE),
-    "O3": (f"{G} `revenue_by_programme` (first four columns)", "revenue_by_programme", ORACLE),
-    "O4": (f"{C} `customer_churn` (`desc_nulls_last`)", "customer_churn", "test_traps"),
+    "O3": (f"{G} `revenue_by_programme` via operators/sorting.py `display_order` (first four columns)",
+           "revenue_by_programme", ORACLE + ", test_traps (global order)"),
+    "O4": (f"{C} `customer_churn` via `display_order` (`desc_nulls_last`)", "customer_churn", "test_traps"),
     "O5": ("operators/windows.py `latest_by`", "contact_latest_location", ORACLE),
     "O6": (f"{G} (unique by construction; distinct dimensions)", "revenue_by_programme", ORACLE),
     # scalar: conditional
