@@ -70,11 +70,12 @@ def run(spark: SparkSession, out: str, reports=("finance", "neobank", "tutoring"
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--out", required=True)
+    ap.add_argument("--out", required=True, help="folder for the report layers (one sub-folder per layer)")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--source", help="folder with one Parquet folder per source role")
     src.add_argument("--catalog-db", help="catalog database holding the source roles as tables")
-    ap.add_argument("--reports", default="finance,neobank,tutoring")
+    ap.add_argument("--reports", default="finance,neobank,tutoring",
+                    help="comma list of report families: finance, neobank, tutoring")
     ap.add_argument("--as-of", default=None,
                     help="'today' as YYYY-MM-DD, or 'latest' for the last invoice date (default: current date)")
     args = ap.parse_args(argv)
