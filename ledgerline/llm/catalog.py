@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import url_filter
+from ledgerline.llm import pii, secret_scan, url_filter
 from ledgerline.sources.tables import read_table
 
 
@@ -20,6 +20,8 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSe
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         _over(url_filter.op1_url_filter, "pages"),
+        _over(secret_scan.op2_secret_scan, "documents"),
+        _over(pii.op4_pii, "documents"),
     )
     return {q.__name__: q for q in found}
 
