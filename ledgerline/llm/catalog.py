@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import pii, secret_scan, url_filter
+from ledgerline.llm import decontamination, html_text, pii, quality_rules, secret_scan, toxicity, url_filter
 from ledgerline.sources.tables import read_table
 
 
@@ -21,11 +21,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         _over(url_filter.op1_url_filter, "pages"),
         _over(secret_scan.op2_secret_scan, "documents"),
+        _over(toxicity.op3_toxicity, "documents", "labels"),
         _over(pii.op4_pii, "documents"),
+        _over(decontamination.op5_decontamination, "documents", "benchmark"),
+        _over(html_text.op7_html_text, "pages"),
+        _over(quality_rules.op10_quality_rules, "documents"),
     )
     return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express on whole tables."""
-    return {"op1_url_filter": url_filter.OP1_SQL}
+    return {"op1_url_filter": url_filter.OP1_SQL, "op5_decontamination": decontamination.OP5_SQL}
