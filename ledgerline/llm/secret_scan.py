@@ -68,17 +68,21 @@ def find_secrets(text: str, rules: tuple[SecretRule, ...] = RULES) -> list[tuple
 
 
 class BlobLedger:
-    """The table of scanned (blob, rule version) pairs, Parquet files in a shared folder."""
+    """The table of scanned (blob, rule version) pairs, Parquet files in a shared folder.
+
+    One writer at a time: the anti join before each append keeps the pairs unique, so readers need no
+    deduplication and their join on the blob id can be split where one blob has very many paths.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
     def read(self, rule_version: str) -> DataFrame:
-        """Rows of one rule version (none before the first append). A pair appended twice counts once."""
+        """Rows of one rule version (none before the first append)."""
         jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
         there = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
         rows = self.spark.read.schema(LEDGER_DDL).parquet(self.path) if there else self.spark.createDataFrame([], LEDGER_DDL)
-        return rows.where(F.col("rule_version") == rule_version).dropDuplicates(["blob"])
+        return rows.where(F.col("rule_version") == rule_version)
 
     def append(self, scanned: DataFrame) -> None:
         scanned.write.mode("append").parquet(self.path)
