@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontamination, html_text, pii, quality_rules, secret_scan, toxicity, url_filter
+from ledgerline.llm import decontamination, html_text, mixing, pii, quality_rules, secret_scan, toxicity, url_filter
 from ledgerline.sources.tables import read_table
 
 
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _over(toxicity.op3_toxicity, "documents", "labels"),
         _over(pii.op4_pii, "documents"),
         _over(decontamination.op5_decontamination, "documents", "benchmark"),
+        _over(mixing.op6_source_mix, "documents"),
         _over(html_text.op7_html_text, "pages"),
         _over(quality_rules.op10_quality_rules, "documents"),
     )
@@ -32,4 +33,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express on whole tables."""
-    return {"op1_url_filter": url_filter.OP1_SQL, "op5_decontamination": decontamination.OP5_SQL}
+    return {"op1_url_filter": url_filter.OP1_SQL, "op5_decontamination": decontamination.OP5_SQL,
+            "op6_source_mix": mixing.OP6_SQL}
