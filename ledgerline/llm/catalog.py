@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontamination, html_text, mixing, pii, quality_rules, secret_scan, toxicity, url_filter
+from ledgerline.llm import decontamination, html_text, mixing, pii, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
 from ledgerline.sources.tables import read_table
 
 
@@ -26,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _over(decontamination.op5_decontamination, "documents", "benchmark"),
         _over(mixing.op6_source_mix, "documents"),
         _over(html_text.op7_html_text, "pages"),
+        _over(substring_dedup.op8_substring_dedup, "documents"),
         _over(quality_rules.op10_quality_rules, "documents"),
     )
     return {q.__name__: q for q in found}
@@ -34,4 +35,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express on whole tables."""
     return {"op1_url_filter": url_filter.OP1_SQL, "op5_decontamination": decontamination.OP5_SQL,
-            "op6_source_mix": mixing.OP6_SQL}
+            "op6_source_mix": mixing.OP6_SQL, "op8_substring_dedup": substring_dedup.OP8_SQL}
