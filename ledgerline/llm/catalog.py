@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontamination, html_text, mixing, pii, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
+from ledgerline.llm import decontamination, html_text, jaccard_join, mixing, pii, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
 from ledgerline.sources.tables import read_table
 
 
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _over(mixing.op6_source_mix, "documents"),
         _over(html_text.op7_html_text, "pages"),
         _over(substring_dedup.op8_substring_dedup, "documents"),
+        _over(jaccard_join.op9_jaccard_join, "documents"),
         _over(quality_rules.op10_quality_rules, "documents"),
     )
     return {q.__name__: q for q in found}
