@@ -6,8 +6,7 @@ Spark's own expressions, so Catalyst plans it and the work runs distributed.
 Sub-packages:
 
 * ``functions`` — Column helpers (periods, date dimensions, text cleaning,
-  money rounding), also registered as inlined Spark SQL functions
-  (``functions.sql``).
+  money rounding).
 * ``operators`` — reusable relational operators (date spines, latest row per
   key, aggregate-and-join-back benchmarks, skew-safe outer joins, the
   active-window counter, the e-mail bridge, sink-side global sort).

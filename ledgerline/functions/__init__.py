@@ -3,7 +3,6 @@
 from ledgerline.functions.dates import (  # noqa: F401
     date_parts,
     parse_period,
-    with_date_dims,
 )
 from ledgerline.functions.money import (  # noqa: F401
     numeric_pct,

@@ -40,12 +40,3 @@ def month_names(d: Column | str) -> tuple[Column, Column]:
     """(full month name, short month name), English."""
     d = as_col(d)
     return F.date_format(d, "MMMM"), F.date_format(d, "MMM")
-
-
-def with_date_dims(df, date_col: str, prefix: str = "date_", names: bool = False):
-    """``df`` plus year, quarter, month, ISO week and day of ``date_col`` (and month names if asked)."""
-    cols = date_parts(date_col, prefix)
-    if names:
-        full, short = month_names(date_col)
-        cols += [full.alias("maand"), short.alias("month_name_short")]
-    return df.select("*", *cols)

@@ -40,7 +40,7 @@ def initcap_words(c: Column | str, delimiters: str = P.INITCAP_DELIMITERS) -> Co
     """
     pieces = F.split(F.lower(as_col(c)), "(?<=" + _delimiter_class(delimiters) + ")")
     capped = F.transform(
-        pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))
+        pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), p.substr(F.lit(2), F.length(p)))
     )
     return F.array_join(capped, "")
 

@@ -24,7 +24,7 @@ from ledgerline.plans.layers import run_finance_layers, run_tutoring_layers
 from ledgerline.session import configure
 from ledgerline.sources.sinks import materialized_paths, release_materialized, write_layer
 
-LATEST = "latest"  # as_of = last invoice date of the snapshot
+LATEST = "latest"  # as_of = last invoice date of the snapshot, of the invoices each layer reads
 
 ROLES = ("ledger", "budget", "budget_item", "bank_transactions", "bank_users", "contact",
          "contact_custom_field_value", "company", "acc_sale", "sale", "tutoring_transaction", "date_table")
@@ -51,23 +51,33 @@ def run(spark: SparkSession, out: str, reports=("finance", "neobank", "tutoring"
     """Build and save the chosen report families; returns layer name -> path."""
     configure(spark)
     tables = _Tables(spark, source, catalog_db)
+    churn_as_of = None
     if as_of == LATEST:
-        as_of = snapshot_date(tables["acc_sale"], "date")
+        as_of, churn_as_of = snapshot_date(tables["acc_sale"], "date"), snapshot_date(tables["sale"], "date")
+    elif as_of is None:
+        as_of = today(spark)
     already = set(materialized_paths())
     paths: dict[str, str] = {}
-    if "finance" in reports:
-        paths.update(run_finance_layers(spark, tables, out))
-    if "neobank" in reports:
-        path = f"{out.rstrip('/')}/fee_transactions_enriched"
-        write_layer(neobank.fee_transactions_enriched(tables["bank_transactions"], tables["bank_users"]), path)
-        paths["fee_transactions_enriched"] = path
-    if "tutoring" in reports:
-        paths.update(run_tutoring_layers(spark, tables, out, as_of=as_of))
-    # every layer is written; the job's own intermediates are no longer needed
-    release_materialized(spark, [p for p in materialized_paths() if p not in already])
+    try:
+        if "finance" in reports:
+            paths.update(run_finance_layers(spark, tables, out))
+        if "neobank" in reports:
+            path = f"{out.rstrip('/')}/fee_transactions_enriched"
+            write_layer(neobank.fee_transactions_enriched(tables["bank_transactions"], tables["bank_users"]), path)
+            paths["fee_transactions_enriched"] = path
+        if "tutoring" in reports:
+            paths.update(run_tutoring_layers(spark, tables, out, as_of=as_of, churn_as_of=churn_as_of))
+    finally:
+        # written or failed: the job's own intermediates are no longer needed
+        release_materialized(spark, [p for p in materialized_paths() if p not in already])
     return paths
 
 
+def today(spark: SparkSession) -> dt.date:
+    """The session's current date, asked once so that all layers of a run agree."""
+    return spark.sql("SELECT current_date()").first()[0]
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--out", required=True, help="folder for the report layers (one sub-folder per layer)")

@@ -2,55 +2,38 @@
 
 A member (student) with window [first, last] is active on day d when
 ``first <= d <= last + grace``. Counting that per (group, day) is an interval
-join. Three exact forms:
-
-* ``"delta"`` (default) — +1 on ``first``, -1 on ``last + grace + 1``, summed
-  per (group, day) (combined map-side) and turned into a running sum along
-  the day spine of each group. Work: 2 x members + days x groups. The window
-  partition is one group's days, bounded by the calendar, so a hot group
-  costs no more than any other.
-* ``"explode"`` — one row per member-day, then ``count(DISTINCT member)``.
-  Work: sum of window lengths.
-* ``"join"`` — the literal range join; a nested loop, only for small data.
+join; here it is +1 on ``first`` and -1 on ``last + grace + 1``, summed per
+(group, day) (combined map-side) and turned into a running sum along the days of
+each group. Work: 2 x members + days x groups. The days of one group stay
+together, bounded by the calendar, so a hot group costs no more than any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def active_counts(members: DataFrame, spine: DataFrame, grace: int, method: str = "delta",
-                  member: str = "studentid", group: str = "location", first: str = "first_invoice_date",
-                  last: str = "last_invoice_date", day: str = "date_date", out: str = "active_students") -> DataFrame:
-    """``spine`` (one row per group x day) plus ``out`` = members active that day (0 if none)."""
-    if method == "delta":
-        events = members.select(
-            F.col(group), F.col(first).alias(day), F.lit(1).alias("_d")
-        ).unionByName(members.select(
-            F.col(group), F.date_add(F.col(last), grace + 1).alias(day), F.lit(-1).alias("_d")
-        ))
-        per_day = events.groupBy(group, day).agg(F.sum("_d").alias("_d"))
-        running = Window.partitionBy(group).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
-        # Events before the spine start would be lost; the spine starts at the
-        # earliest ``first`` by construction, and the -1 events after its end
-        # do not matter.
-        joined = spine.join(per_day, [group, day], "left")
-        return joined.withColumn(out, F.sum(F.coalesce(F.col("_d"), F.lit(0))).over(running).cast("bigint")).drop("_d")
-
-    if method == "explode":
-        per_member = members.select(
-            F.col(group), F.col(member),
-            F.explode(F.sequence(F.col(first), F.date_add(F.col(last), grace))).alias(day),
-        )
-    elif method == "join":
-        days = spine.select(day).distinct()
-        m = members.alias("m")
-        per_member = days.join(
-            m, (F.col(f"m.{first}") <= F.col(day)) & (F.date_add(F.col(f"m.{last}"), grace) >= F.col(day))
-        ).select(F.col(f"m.{group}").alias(group), F.col(f"m.{member}").alias(member), F.col(day))
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    counted = per_member.groupBy(day, group).agg(F.count_distinct(member).alias("_n"))
-    return (spine.join(counted, [group, day], "left")
-            .withColumn(out, F.coalesce(F.col("_n"), F.lit(0)).cast("bigint")).drop("_n"))
+def group_changes(members: DataFrame, grace: int, group: str = "location", first: str = "first_invoice_date",
+                  last: str = "last_invoice_date") -> DataFrame:
+    """One row per group: ``members`` in it, and ``changes``, a map day -> change of the active count.
+
+    One pass over the members; the map has at most two entries per calendar day.
+    """
+    change = lambda day, sign, new: F.struct(day.alias("day"), F.lit(sign).alias("d"), F.lit(new).alias("n"))
+    events = members.select(F.col(group), F.inline(F.array(
+        change(F.col(first), 1, 1), change(F.date_add(F.col(last), grace + 1), -1, 0))))
+    per_day = events.groupBy(group, "day").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
+    return per_day.groupBy(group).agg(F.sum("n").cast("bigint").alias("members"),
+                                      F.map_from_entries(F.collect_list(F.struct("day", "d"))).alias("changes"))
+
+
+def daily_counts(changes: DataFrame, lo: Column, hi: Column, group: str = "location", day: str = "date_date",
+                 out: str = "active_students") -> DataFrame:
+    """(group, members, day, active members) for every group and every day from ``lo`` to ``hi``."""
+    bounded = changes.select(group, "members", "changes", lo.alias("_lo"), hi.alias("_hi"))
+    days = F.transform(F.sequence("_lo", "_hi"), lambda d: F.struct(
+        d.alias(day), F.coalesce(F.try_element_at("changes", d), F.lit(0)).alias("_d")))
+    rows = bounded.select(group, "members", F.inline(days))
+    running = Window.partitionBy(group).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn(out, F.sum("_d").over(running).cast("bigint")).drop("_d")

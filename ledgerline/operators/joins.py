@@ -26,3 +26,11 @@ def left_join_skew_safe(left: DataFrame, right: DataFrame, keys: Sequence[str])
         *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra],
     )
     return matched.select(*left.columns, *extra).unionByName(unmatched)
+
+
+def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left LEFT JOIN right`` where NULL keys match NULL keys; the keys come from ``left``."""
+    keys = list(keys)
+    named = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [left[k].eqNullSafe(named[f"_r_{k}"]) for k in keys]
+    return left.join(named, on, "left").drop(*[f"_r_{k}" for k in keys])

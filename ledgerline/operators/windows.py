@@ -7,8 +7,7 @@
   as a grouped aggregate joined back. A partition window would put a hot key
   (say one location holding a third of all rows) in a single task; the
   aggregate is combined map-side and the join back is broadcast or
-  skew-split by AQE. It also serves DISTINCT aggregates, which Spark windows
-  do not support.
+  skew-split by AQE.
 * ``attach_scalars`` — values of a one-row aggregate (``OVER ()``) added to
   every row as scalar subqueries: no join, no single-partition window.
 """
@@ -27,12 +26,11 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def agg_over(df: DataFrame, by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Attach per-group aggregates (named Columns) to every row of ``df``.
+def agg_over(df: DataFrame, by: Sequence[str], groups: DataFrame) -> DataFrame:
+    """Attach the columns of ``groups`` (one row per ``by``) to every row of ``df``.
 
     Grouping keys are matched null-safely, as a window partition would.
     """
-    groups = df.groupBy(*by).agg(*aggs)
     renamed = groups.select(*[F.col(k).alias(f"_g_{k}") for k in by],
                             *[c for c in groups.columns if c not in by])
     cond = [df[k].eqNullSafe(renamed[f"_g_{k}"]) for k in by]
@@ -43,10 +41,3 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add every column of the one-row frame ``one_row`` to all rows of ``df``."""
     packed = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
     return df.select("*", *[packed.getField(c).alias(c) for c in one_row.columns])
-
-
-def count_distinct_over(df: DataFrame, expr: Column, by: Sequence[str] | None, name: str) -> DataFrame:
-    """``COUNT(DISTINCT expr) OVER (PARTITION BY by)`` on every row; ``by=None`` means ``OVER ()``."""
-    if not by:
-        return attach_scalars(df, df.agg(F.count_distinct(expr).alias(name)))
-    return agg_over(df, by, [F.count_distinct(expr).alias(name)])

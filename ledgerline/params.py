@@ -126,6 +126,8 @@ INITCAP_DELIMITERS = '[](){}/|\\<>!?@"^#$&~_,.:;*%+-'
 # Output types
 # ---------------------------------------------------------------------------
 
+PRICE = "decimal(19,9)"       # unit prices and quantities keep the warehouse's nine decimals
+QUANTITY = "decimal(18,9)"
 MONEY = "decimal(18,2)"       # one ledger line / invoice / budget month
 TOTAL = "decimal(38,2)"       # sums of money
 NUMERIC9 = "decimal(38,9)"    # unrounded NUMERIC quotients (averages)

@@ -39,20 +39,9 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-_ROLES: dict[tuple[int, str], RoleTables] = {}
-
-
 def _rt(spark: SparkSession, sf_dir: str) -> RoleTables:
-    """Role tables of ``sf_dir`` for this session, built once (like catalog views).
-
-    Only the (analysed) plans are shared between queries; every query still
-    reads and processes the whole tables when it runs.
-    """
-    key = (id(spark), sf_dir.rstrip("/"))
-    roles = _ROLES.get(key)
-    if roles is None or roles.spark is not spark:
-        roles = _ROLES[key] = RoleTables(spark, sf_dir)
-    return roles
+    """Role tables of ``sf_dir``; files are listed anew for each query."""
+    return RoleTables(spark, sf_dir)
 
 
 # --------------------------------------------------------------------------- finance
@@ -265,17 +254,18 @@ def q_location_totals(spark, sf_dir):
 
 @register("day_spine")
 def q_day_spine(spark, sf_dir):
-    return retention.day_spine(retention.student_dim(*_crm(spark, sf_dir)))
+    _, _, company, acc_sale = _crm(spark, sf_dir)
+    return retention.day_spine(retention.company_invoice_window(acc_sale, company))
 
 
 @register("day_location_spine")
 def q_day_location_spine(spark, sf_dir):
-    return retention.day_location_spine(retention.student_dim(*_crm(spark, sf_dir)))
+    return retention.day_location_spine(*_crm(spark, sf_dir))
 
 
 @register("active_by_day_location")
 def q_active_by_day_location(spark, sf_dir):
-    return retention.active_by_day_location(retention.student_dim(*_crm(spark, sf_dir)))
+    return retention.active_by_day_location(*_crm(spark, sf_dir))
 
 
 @register("active_students_daily")
@@ -331,37 +321,40 @@ def q_revenue_by_programme(spark, sf_dir):
 
 # --------------------------------------------------------------------------- tutoring 5
 
-def _invoice_data(spark, sf_dir):
+def _churn_tables(spark, sf_dir):
     rt = _rt(spark, sf_dir)
-    return churn.customer_invoice_data(rt["contact"], rt["company"], rt["sale"])
+    return rt["contact"], rt["company"], rt["sale"]
+
+
+def _metrics(spark, sf_dir):
+    return churn.customer_metrics(*_churn_tables(spark, sf_dir), as_of=AS_OF)
 
 
 @register("customer_invoice_data")
 def q_customer_invoice_data(spark, sf_dir):
-    return _invoice_data(spark, sf_dir)
+    return churn.customer_invoice_data(*_churn_tables(spark, sf_dir))
 
 
 @register("customer_metrics")
 def q_customer_metrics(spark, sf_dir):
-    return churn.customer_metrics(_invoice_data(spark, sf_dir), as_of=AS_OF)
+    return _metrics(spark, sf_dir)
 
 
 @register("churn_overall_rates")
 def q_churn_overall_rates(spark, sf_dir):
-    return churn.churn_overall_rates(churn.customer_metrics(_invoice_data(spark, sf_dir), as_of=AS_OF))
+    return churn.churn_overall_rates(_metrics(spark, sf_dir))
 
 
 @register("churn_location_benchmarks")
 def q_churn_location_benchmarks(spark, sf_dir):
-    return churn.churn_location_benchmarks(churn.customer_metrics(_invoice_data(spark, sf_dir), as_of=AS_OF))
+    return churn.churn_location_benchmarks(_metrics(spark, sf_dir))
 
 
 @register("customer_segments")
 def q_customer_segments(spark, sf_dir):
-    return churn.customer_segments(churn.customer_metrics(_invoice_data(spark, sf_dir), as_of=AS_OF))
+    return churn.customer_segments(_metrics(spark, sf_dir))
 
 
 @register("customer_churn")
 def q_customer_churn(spark, sf_dir):
-    rt = _rt(spark, sf_dir)
-    return churn.customer_churn(rt["contact"], rt["company"], rt["sale"], as_of=AS_OF)
+    return churn.customer_churn(*_churn_tables(spark, sf_dir), as_of=AS_OF)

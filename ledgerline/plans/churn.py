@@ -19,7 +19,7 @@ from ledgerline import params as P
 from ledgerline.functions._col import as_of_date
 from ledgerline.functions.money import quotient9, rate_pct, ratio2, round_money
 from ledgerline.functions.text import clean_town, extract_or_null
-from ledgerline.operators.joins import left_join_skew_safe
+from ledgerline.operators.joins import left_join_null_safe, left_join_skew_safe
 from ledgerline.operators.sorting import display_order
 from ledgerline.operators.windows import agg_over, attach_scalars
 from ledgerline.sources.sinks import materialize
@@ -27,6 +27,17 @@ from ledgerline.sources.sinks import materialize
 AsOf = _dt.date | Column | None
 
 
+def _customers(contacts: DataFrame) -> DataFrame:
+    return contacts.where(F.col("email").isNotNull() & (F.col("email") != "")).select(
+        F.col("id").alias("customer_id"), F.col("cdate").alias("customer_created_date"), "email")
+
+
+def _places(company: DataFrame) -> DataFrame:
+    """Companies by raw e-mail with cleaned town and country."""
+    return company.select("email", "companyid", clean_town("address_town").alias("location"),
+                          F.coalesce(F.col("address_country"), F.lit(P.DEFAULT_COUNTRY)).alias("country"))
+
+
 def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFrame,
                           skew_safe: bool = True) -> DataFrame:
     """Customer (contact with an e-mail) -> companies with that raw e-mail -> their invoice lines.
@@ -35,9 +46,6 @@ def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFra
     plain joins, for comparison) so a company holding a large share of all
     invoice lines, or an e-mail shared by many companies, can be split.
     """
-    c = (contacts.where(F.col("email").isNotNull() & (F.col("email") != ""))
-         .select(F.col("id").alias("customer_id"), F.col("cdate").alias("customer_created_date"), "email"))
-    comp = company.select("email", "companyid", "address_town", "address_country")
     lines = sale.select("companyid", "salesid", "amount", F.col("date").alias("invoice_date"), "description")
 
     def left(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
@@ -45,13 +53,13 @@ def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFra
             return left_join_skew_safe(a, b, [key])   # many invoice lines per company)
         return a.join(b, key, "left").select(*a.columns, *[x for x in b.columns if x != key])
 
-    cc = left(c, comp, "email").select(
-        "customer_id", "customer_created_date",
-        clean_town("address_town").alias("location"),
-        F.coalesce(F.col("address_country"), F.lit(P.DEFAULT_COUNTRY)).alias("country"),
-        "companyid")
+    none_ = clean_town(F.lit(None).cast("string"))
+    cc = left(_customers(contacts), _places(company), "email").select(
+        "customer_id", "customer_created_date", F.coalesce("location", none_).alias("location"),
+        F.coalesce("country", F.lit(P.DEFAULT_COUNTRY)).alias("country"), "companyid")
     return left(cc, lines, "companyid")
 
+
 def student_name(description: Column | str = "description") -> Column:
     """First capitalised word of an invoice line (a student's name), NULL when none."""
     d = F.col(description) if isinstance(description, str) else description
@@ -85,16 +93,30 @@ def churn_status(last_invoice: Column | str, as_of: AsOf = None, grace: int = P.
     }
 
 
-def customer_metrics(invoice_data: DataFrame, as_of: AsOf = None, grace: int = P.GRACE_DAYS) -> DataFrame:
-    """Per customer x location x country x created date: counts, revenue, recency, churn, CLV."""
+def customer_metrics(contacts: DataFrame, company: DataFrame, sale: DataFrame, as_of: AsOf = None,
+                     grace: int = P.GRACE_DAYS) -> DataFrame:
+    """Per customer x location x country x created date: counts, revenue, recency, churn, CLV.
+
+    The invoice lines are read once: inner joins (a hot company or e-mail can be
+    split on either side), aggregated by the four keys, and joined to all keys that
+    customers have, with or without invoices. Both sides are aggregates by then.
+    """
+    customers, places = _customers(contacts), _places(company)
+    none_ = clean_town(F.lit(None).cast("string"))
+    keys = (customers.join(places.select("email", "location", "country").distinct(), "email", "left")
+            .select("customer_id", F.coalesce("location", none_).alias("location"),
+                    F.coalesce("country", F.lit(P.DEFAULT_COUNTRY)).alias("country"), "customer_created_date").distinct())
+    lines = sale.select("companyid", "salesid", "amount", F.col("date").alias("invoice_date"), "description")
     trailing = trailing_sums("amount", "invoice_date", as_of, prefix="_r")
-    g = invoice_data.groupBy(*METRIC_KEYS).agg(
-        F.count_distinct("salesid").alias("total_invoices"),
+    facts = customers.join(places, "email").join(lines, "companyid").groupBy(*METRIC_KEYS).agg(
+        F.count_distinct("salesid").alias("_invoices"),
         F.sum("amount").alias("_sum"), F.count("amount").alias("_n"),
         F.min("invoice_date").alias("first_invoice_date"),
         F.max("invoice_date").alias("last_invoice_date"),
-        F.count_distinct(student_name()).alias("estimated_student_count"),
+        F.count_distinct(student_name()).alias("_students"),
         *trailing)
+    g = left_join_null_safe(keys, facts, METRIC_KEYS).withColumns({
+        "total_invoices": F.coalesce("_invoices", F.lit(0)), "estimated_student_count": F.coalesce("_students", F.lit(0))})
     last_day = F.to_date("last_invoice_date")
     status = churn_status("last_invoice_date", as_of, grace)
     total = F.coalesce(F.col("_sum"), F.lit(0)).cast(P.TOTAL)
@@ -120,27 +142,40 @@ def _is(status: str) -> Column:
     return F.col("customer_status") == status
 
 
+def _flag(status: str) -> Column:
+    return _is(status).cast("int")
+
+
 def churn_overall_rates(metrics: DataFrame) -> DataFrame:
-    """Company-wide churned / active / total customers and rates (one row)."""
-    counts = metrics.agg(
-        F.count_distinct(F.when(_is(P.STATUS_INACTIVE), F.col("customer_id"))).alias("total_churned_customers"),
-        F.count_distinct(F.when(_is(P.STATUS_ACTIVE), F.col("customer_id"))).alias("total_active_customers"),
-        F.count_distinct("customer_id").alias("total_customers"))
+    """Company-wide churned / active / total customers and rates (one row).
+
+    Customers are reduced to one row with 0/1 flags first; the distinct counts are
+    then plain sums.
+    """
+    flags = metrics.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.max(_flag(P.STATUS_INACTIVE)).alias("churned"), F.max(_flag(P.STATUS_ACTIVE)).alias("active"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    counts = flags.agg(total("churned").alias("total_churned_customers"), total("active").alias("total_active_customers"),
+                       F.count(F.lit(1)).alias("total_customers"))
     return counts.select(
         "total_churned_customers", "total_active_customers", "total_customers",
         rate_pct("total_churned_customers", "total_customers").alias("overall_churn_rate"),
         rate_pct("total_active_customers", "total_customers").alias("overall_retention_rate"))
 
 
-LOCATION_AGGS = (
-    ("location_total_customers", lambda: F.count_distinct("customer_id")),
-    ("location_active_customers", lambda: F.count_distinct(F.when(_is(P.STATUS_ACTIVE), F.col("customer_id")))),
-    ("location_total_students", lambda: F.sum("estimated_student_count")),
-    ("_inactive_students", lambda: F.sum(F.when(_is(P.STATUS_INACTIVE), F.col("estimated_student_count"))
-                                         .otherwise(F.lit(0)))),
-    ("_revenue", lambda: F.sum("total_revenue")),
-    ("_rows", lambda: F.count(F.lit(1))),
-)
+def location_groups(metrics: DataFrame) -> DataFrame:
+    """One row per location: customers, active customers, students, inactive students, revenue, rows."""
+    students = F.col("estimated_student_count")
+    per_customer = metrics.groupBy("location", "customer_id").agg(
+        F.max(_flag(P.STATUS_ACTIVE)).alias("active"), F.sum(students).alias("students"),
+        F.sum(F.when(_is(P.STATUS_INACTIVE), students).otherwise(F.lit(0))).alias("inactive"),
+        F.sum("total_revenue").alias("revenue"), F.count(F.lit(1)).alias("rows"))
+    known = F.col("customer_id").isNotNull()
+    return per_customer.groupBy("location").agg(
+        F.count("customer_id").alias("location_total_customers"),
+        F.sum(F.when(known, F.col("active")).otherwise(0)).cast("bigint").alias("location_active_customers"),
+        F.sum("students").alias("location_total_students"), F.sum("inactive").alias("_inactive_students"),
+        F.sum("revenue").alias("_revenue"), F.sum("rows").alias("_rows"))
 
 
 def _benchmark_columns() -> list[Column]:
@@ -156,8 +191,7 @@ def _benchmark_columns() -> list[Column]:
 
 def churn_location_benchmarks(metrics: DataFrame) -> DataFrame:
     """One row per location with the benchmarks shown next to each customer."""
-    g = metrics.groupBy("location").agg(*[f().alias(n) for n, f in LOCATION_AGGS])
-    return g.select("location", *_benchmark_columns())
+    return location_groups(metrics).select("location", *_benchmark_columns())
 
 
 def revenue_segment(total: Column | str = "total_revenue") -> Column:
@@ -184,17 +218,18 @@ def customer_segments(metrics: DataFrame) -> DataFrame:
 
 
 def customer_churn(contacts: DataFrame, company: DataFrame, sale: DataFrame, as_of: AsOf = None,
-                   grace: int = P.GRACE_DAYS, order: bool = True, reuse: bool = True) -> DataFrame:
+                   grace: int = P.GRACE_DAYS, order: bool = True, save: bool = False) -> DataFrame:
     """Churn & CLV report: customer detail with company-wide and per-location benchmarks.
 
     The per-customer metrics feed three readers (detail rows, location
-    aggregate, company-wide row); with ``reuse`` they are computed once and
-    saved to the checkpoint folder (see ``sources.sinks.materialize``).
+    aggregate, company-wide row). Building the report runs nothing; a job that
+    writes it anyway passes ``save=True`` to have them computed once and kept in
+    the shared folder until it releases them (``sources.sinks.materialize``).
     """
-    metrics = customer_metrics(customer_invoice_data(contacts, company, sale), as_of, grace)
-    if reuse:
+    metrics = customer_metrics(contacts, company, sale, as_of, grace)
+    if save:
         metrics = materialize(metrics, "customer_metrics")
-    detail = agg_over(metrics, ["location"], [f().alias(n) for n, f in LOCATION_AGGS])
+    detail = agg_over(metrics, ["location"], location_groups(metrics))
     detail = attach_scalars(detail, churn_overall_rates(metrics))
     last = F.col("last_invoice_date")
     out = detail.select(
@@ -214,5 +249,6 @@ def customer_churn(contacts: DataFrame, company: DataFrame, sale: DataFrame, as_
         F.month(last).cast("bigint").alias("date_month"))
     if order:
         out = display_order(out, [F.asc_nulls_first("customer_status"), F.desc_nulls_last("total_revenue"),
-                                  last.desc_nulls_last()], spread=["customer_id"])
+                                  last.desc_nulls_last()],
+                            ties=["customer_id", "location", "country", "customer_lifetime_days"], spread=["customer_id"])
     return out

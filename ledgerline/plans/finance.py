@@ -14,6 +14,7 @@ from ledgerline.functions._col import to_int64
 from ledgerline.functions.dates import month_names, parse_period
 from ledgerline.functions.money import numeric_pct, round_money
 from ledgerline.functions.text import like_prefix
+from ledgerline.operators.sorting import display_order
 from ledgerline.operators.spines import expand_months
 
 LAYER_SCHEMA = (
@@ -205,14 +206,18 @@ def budget_items_joined(budget: DataFrame, budget_item: DataFrame) -> DataFrame:
                      "price_type",
                      to_int64(budget_item.schema["price_quantity"].dataType, F.col("price_quantity"))
                      .alias("price_quantity"),
-                     F.col("price_amount").cast("decimal(18,4)").alias("price_amount"),
-                     F.col("quantity").cast("decimal(18,4)").alias("quantity"))
+                     F.col("price_amount").cast(P.PRICE).alias("price_amount"),
+                     F.col("quantity").cast(P.QUANTITY).alias("quantity"))
              .where(F.col("price_quantity") > 0))
     return budget_base(budget).join(items, "budgetid", "inner")
 
 
 def budget_months(budget: DataFrame, budget_item: DataFrame) -> DataFrame:
-    """One row per budget line and month of its budget; the amount is price x quantity every month."""
+    """One row per budget line and month of its budget; the amount is price x quantity every month.
+
+    Nine decimals times nine decimals fit the 38 digits of a decimal, so the exact
+    product is rounded once.
+    """
     lines = budget_items_joined(budget, budget_item)
     return expand_months(lines, "period_start_month", "period_end_month").select(
         "budgetid", "description", "companyid", "budgetitemid", "schemaid", "schemaid_description",
@@ -245,9 +250,10 @@ def finance_forecasts(budget: DataFrame, budget_item: DataFrame, order: bool = T
     }
     out = _layer(months, cols)
     if order:
-        out = out.orderBy(F.desc_nulls_last("date_year"), F.desc_nulls_last("date_month"),
-                          F.asc_nulls_first("organization_group"), F.desc_nulls_last("revenue_amount"),
-                          F.desc_nulls_last("cost_amount"))
+        out = display_order(out, [F.desc_nulls_last("date_year"), F.desc_nulls_last("date_month"),
+                                  F.asc_nulls_first("organization_group"), F.desc_nulls_last("revenue_amount"),
+                                  F.desc_nulls_last("cost_amount")],
+                            ties=["beneficiary_key", "beneficiary_id"], spread=["beneficiary_id"])
     return out
 
 
@@ -330,6 +336,8 @@ def finance_variance(actuals: DataFrame, forecasts: DataFrame, order: bool = Tru
     ]
     out = joined.select(*out_cols)
     if order:
-        out = out.orderBy(F.desc_nulls_last("date_year"), F.desc_nulls_last("date_month"),
-                          F.asc_nulls_first("gl_type_label"), F.asc_nulls_first("gl_code"))
+        out = display_order(out, [F.desc_nulls_last("date_year"), F.desc_nulls_last("date_month"),
+                                  F.asc_nulls_first("gl_type_label"), F.asc_nulls_first("gl_code")],
+                            ties=[c for c in out.columns if c not in ("date_year", "date_month", "gl_type_label", "gl_code")],
+                            spread=["gl_code", "date_year", "date_month"])
     return out

@@ -13,9 +13,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.functions.sql import register_sql_functions
 from ledgerline.plans import churn, finance, neobank, programme, retention
-from ledgerline.sources.sinks import write_layer
+from ledgerline.sources.sinks import read_layer, write_layer
 
 
 def run_finance_layers(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
@@ -23,19 +22,23 @@ def run_finance_layers(spark: SparkSession, tables: Mapping[str, DataFrame], out
     """Write actuals, forecasts and variance; variance is computed from the saved layers."""
     out = out_dir.rstrip("/")
     paths = {name: f"{out}/{name}" for name in ("finance_actuals", "finance_forecasts", "finance_variance")}
-    write_layer(finance.finance_actuals(tables["ledger"]), paths["finance_actuals"], list(partition_by))
-    write_layer(finance.finance_forecasts(tables["budget"], tables["budget_item"], order=False),
-                paths["finance_forecasts"], list(partition_by))
-    actuals = spark.read.parquet(paths["finance_actuals"])
-    forecasts = spark.read.parquet(paths["finance_forecasts"])
+    built = {"finance_actuals": finance.finance_actuals(tables["ledger"]),
+             "finance_forecasts": finance.finance_forecasts(tables["budget"], tables["budget_item"], order=False)}
+    for name, layer in built.items():
+        write_layer(layer, paths[name], list(partition_by))
+    actuals, forecasts = (read_layer(spark, paths[name], layer.schema) for name, layer in built.items())
     write_layer(finance.finance_variance(actuals, forecasts, order=False), paths["finance_variance"],
                 list(partition_by))
     return paths
 
 
 def run_tutoring_layers(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
-                        as_of=None) -> dict[str, str]:
-    """Write the five tutoring layers (activity, activation, daily series, programme revenue, churn)."""
+                        as_of=None, churn_as_of=None) -> dict[str, str]:
+    """Write the five tutoring layers (activity, activation, daily series, programme revenue, churn).
+
+    ``churn_as_of`` is "today" of the churn layer, which reads other invoices
+    than the first layers do; by default it is ``as_of``.
+    """
     out = out_dir.rstrip("/")
     crm = (tables["contact"], tables["contact_custom_field_value"], tables["company"], tables["acc_sale"])
     layers = {
@@ -46,7 +49,8 @@ def run_tutoring_layers(spark: SparkSession, tables: Mapping[str, DataFrame], ou
             tables["date_table"], tables["acc_sale"], tables["company"], tables["contact"],
             tables["contact_custom_field_value"], tables["tutoring_transaction"], order=False), ["date_year"]),
         "customer_churn": (churn.customer_churn(tables["contact"], tables["company"], tables["sale"],
-                                                as_of=as_of, order=False), None),
+                                                as_of=as_of if churn_as_of is None else churn_as_of,
+                                                order=False, save=True), None),
     }
     paths = {}
     for name, (df, parts) in layers.items():
@@ -62,8 +66,7 @@ def register_report_views(spark: SparkSession, tables: Mapping[str, DataFrame],
     bank_transactions, bank_users, contact, contact_custom_field_value,
     company, acc_sale, sale, tutoring_transaction, date_table) to DataFrames.
     Views are lazy; nothing runs until they are queried (so the reports'
-    multi-reader intermediates are not saved here). The helper SQL
-    functions (``ll_clean_town``, ``ll_initcap``, ...) are registered too.
+    multi-reader intermediates are not saved here).
     """
     crm = (tables["contact"], tables["contact_custom_field_value"], tables["company"], tables["acc_sale"])
     actuals = finance.finance_actuals(tables["ledger"])
@@ -76,14 +79,13 @@ def register_report_views(spark: SparkSession, tables: Mapping[str, DataFrame],
                                                                        tables["bank_users"]),
         "student_activity_monthly": retention.student_activity_monthly(*crm, as_of=as_of),
         "student_activation": retention.student_activation(*crm, as_of=as_of),
-        "active_students_daily": retention.active_students_daily(*crm, reuse=False),
+        "active_students_daily": retention.active_students_daily(*crm),
         "revenue_by_programme": programme.revenue_by_programme(
             tables["date_table"], tables["acc_sale"], tables["company"], tables["contact"],
             tables["contact_custom_field_value"], tables["tutoring_transaction"], order=False),
         "customer_churn": churn.customer_churn(tables["contact"], tables["company"], tables["sale"],
-                                               as_of=as_of, order=False, reuse=False),
+                                               as_of=as_of, order=False),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    register_sql_functions(spark)
     return sorted(views)

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from ledgerline import params as P
 from ledgerline.functions.dates import date_parts
 from ledgerline.functions.text import like_prefix, extract_or_null, initcap_words, programme_label
-from ledgerline.operators.joins import left_join_skew_safe
 from ledgerline.operators.sorting import display_order
 from ledgerline.plans.retention import location_fields
 
@@ -55,24 +54,31 @@ def daily_active_flag(date_table: DataFrame, acc_sale: DataFrame, company: DataF
     invoice date of a group is the day itself and the flag is TRUE for every
     company with an invoice that day. Days without invoices give one row with
     no company, flagged ``1970-01-01 >= day - 42``.
+
+    Invoices and calendar days are stacked and reduced to distinct rows once. The
+    days that stand in the calendar, and those among them without any invoice, come
+    from one small aggregate over the same rows, so each table is read once, and a
+    busy invoicing day meets that aggregate in an inner join that can be split.
     """
-    days = date_table.select(F.col("date").alias("date_date")).distinct()
     ids = company.select(F.col("companyid").alias("_cid")).where(F.col("_cid").isNotNull()).distinct()
-    debtor_key = F.when(F.col("dependency_debtor") == P.COMPANY_DEBTOR, F.col("dependency_debtor_id"))
-    sale_days = (acc_sale.where(F.col("date").isNotNull())
-                 .select(F.to_date("date").alias("sale_day"), debtor_key.alias("_cid"))
-                 .distinct())
-    matched = (sale_days.join(ids.withColumn("_hit", F.col("_cid")), "_cid", "left")
-               .select(F.col("sale_day").alias("date_date"), F.col("_hit").alias("studentid"))
-               .distinct()
-               .withColumn("_sold", F.lit(True)))
-    # calendar LEFT JOIN day x company pairs: the calendar is tiny and a busy
-    # invoicing day is a hot key, so join as inner (calendar broadcast) + anti.
-    joined = left_join_skew_safe(days, matched, ["date_date"])
-    # the latest invoice of a matched group is that very day (same-day join)
+    debtor = F.when(F.col("dependency_debtor") == P.COMPANY_DEBTOR, F.col("dependency_debtor_id"))
+    sold = acc_sale.where(F.col("date").isNotNull()).select(
+        F.to_date("date").alias("date_date"), debtor.alias("_cid"), F.lit(True).alias("_sold"))
+    calendar = date_table.select(F.col("date").alias("date_date"), F.lit(None).cast("bigint").alias("_cid"),
+                                 F.lit(False).alias("_sold"))
+    stacked = sold.unionByName(calendar).distinct()
+    # sums, not min and max: those would drop the distinct below them, and with it the shared exchange
+    days = stacked.groupBy("date_date").agg(F.sum((~F.col("_sold")).cast("int")).alias("_listed"),
+                                            F.sum(F.col("_sold").cast("int")).alias("_sales"))
+    calendar_days = days.where(F.col("_listed") > 0).select("date_date", "_sales")
+    pairs = stacked.join(calendar_days, "date_date").where(F.col("_sold") | (F.col("_sales") == 0))
+    # a debtor that no company has counts as "no company": the day keeps one such row
+    known = pairs.join(ids.withColumn("studentid", F.col("_cid")), "_cid", "left")
+    rows = known.select("date_date", "studentid", "_sold").distinct()
+    # the latest invoice of a day with invoices is that very day (same-day join)
     latest = F.when(F.col("_sold"), F.col("date_date")).otherwise(F.lit(P.NO_SALE_DATE))
-    return joined.select("date_date", "studentid",
-                         (latest >= F.date_sub(F.col("date_date"), P.GRACE_DAYS)).alias("is_active"))
+    return rows.select("date_date", "studentid",
+                       (latest >= F.date_sub(F.col("date_date"), P.GRACE_DAYS)).alias("is_active"))
 
 
 def company_locations(company: DataFrame, contact: DataFrame, cfv: DataFrame) -> DataFrame:
@@ -102,7 +108,8 @@ def revenue_by_programme(date_table: DataFrame, acc_sale: DataFrame, company: Da
     rev = programme_revenue_base(transactions).select(
         F.col("trans_year").alias("_y"), F.col("trans_month").alias("_m"), F.col("companyid").alias("_c"),
         "result", "transaction_identifier", "programme")
-    joined = left_join_skew_safe(keyed, rev, ["_y", "_m", "_c"])
+    # rows without a company stand on the preserved side, which adaptive execution can split
+    joined = keyed.join(rev, ["_y", "_m", "_c"], "left")
     out = joined.select(
         F.col("result").alias("revenue"), "transaction_identifier", "programme", "studentid",
         F.when(F.col("studentid").isNotNull(), F.col("is_active")).alias("student_active"),
@@ -110,5 +117,5 @@ def revenue_by_programme(date_table: DataFrame, acc_sale: DataFrame, company: Da
     if order:
         out = display_order(out, [F.asc_nulls_first(c) for c in ("revenue", "transaction_identifier", "programme",
                                                                  "studentid")],
-                            spread=["date_date", "studentid"])
+                            ties=["date_date", "location"], spread=["date_date", "studentid"])
     return out

@@ -14,19 +14,18 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline import params as P
 from ledgerline.functions._col import as_of_date, lit_date
 from ledgerline.functions.dates import date_parts
 from ledgerline.functions.text import clean_location, email_key, initcap_words, ws_trim
-from ledgerline.operators.activity import active_counts
+from ledgerline.operators.activity import daily_counts, group_changes
 from ledgerline.operators.bridge import bridge_on_email
 from ledgerline.operators.joins import left_join_skew_safe
 from ledgerline.operators.spines import month_range, month_spine_end
-from ledgerline.operators.windows import attach_scalars, latest_by
-from ledgerline.sources.sinks import materialize
+from ledgerline.operators.windows import latest_by
 
 AsOf = _dt.date | Column | None
 
@@ -48,7 +47,7 @@ def location_fields(cfv: DataFrame, field_id: str = P.LOCATION_FIELD_ID) -> Data
 
 def contact_location_raw(contact: DataFrame, cfv: DataFrame, field_id: str = P.LOCATION_FIELD_ID) -> DataFrame:
     """Every contact with each version of its location field (left join; a contact with very
-    many versions stays splittable)."""
+    many versions stays splittable, at the price of a second read of the two id columns)."""
     c = contact.select(F.col("id").alias("contact_id"), "email")
     return left_join_skew_safe(c, location_fields(cfv, field_id), ["contact_id"]).select(
         "contact_id", "email", F.col("value").alias("location_name"), "cf_updated_at")
@@ -56,15 +55,16 @@ def contact_location_raw(contact: DataFrame, cfv: DataFrame, field_id: str = P.L
 
 def contact_latest_location(contact: DataFrame, cfv: DataFrame,
                             field_id: str = P.LOCATION_FIELD_ID) -> DataFrame:
-    """One row per contact: e-mail and INITCAP of its most recently updated location.
+    """One row per contact id: e-mail and INITCAP of its most recently updated location.
 
-    The latest field version is picked before joining the contacts (the
-    contact id is the CRM's key), newest first, NULL dates last, value as
-    tie-break.
+    The latest field version is picked before joining the contacts, newest
+    first, NULL dates last, value as tie-break. A contact id that the CRM holds
+    more than once keeps the alphabetically first e-mail; both reductions are
+    combined map-side.
     """
     latest = latest_by(location_fields(cfv, field_id), ["contact_id"],
                        [F.col("cf_updated_at").desc_nulls_last(), F.col("value").asc_nulls_last()])
-    c = contact.select(F.col("id").alias("contact_id"), "email")
+    c = contact.groupBy(F.col("id").alias("contact_id")).agg(F.min("email").alias("email"))
     return c.join(latest, "contact_id", "left").select(
         "contact_id", "email",
         initcap_words(F.coalesce(F.col("value"), F.lit(P.UNKNOWN))).alias("location_name"))
@@ -164,19 +164,22 @@ def student_activity_monthly(contact: DataFrame, cfv: DataFrame, company: DataFr
         F.sum("s").alias("cltv_total"),
         F.map_from_entries(F.collect_list(F.when(in_calendar, F.struct("m", "s")))).alias("monthly"))
     students = bridge_on_email(contact_latest_location(contact, cfv), company)
-    per_student = students.join(profile, "companyid", "left")
+    # the calendar bounds may be scalar subqueries, which lambda functions cannot hold: they become columns first
+    per_student = students.join(profile, "companyid", "left").withColumns({"_lo": lo, "_hi": hi})
+    # each month takes its revenue out of the map before the rows multiply
+    months = F.transform(month_range(F.col("_lo"), F.col("_hi")), lambda m: F.struct(
+        m.alias("date_date"), F.coalesce(F.try_element_at("monthly", m), F.lit(0)).alias("revenue")))
     rows = per_student.select(
-        F.explode(month_range(lo, hi)).alias("date_date"), "contact_id",
+        F.inline(months), "contact_id",
         _blank_to_unknown(F.col("location_name")).alias("location_name"),
-        "first_invoice_date", "last_invoice_date", "cltv_total", "monthly")
+        "first_invoice_date", "last_invoice_date", "cltv_total")
     # LEAST skips NULLs in Spark (the warehouse returns NULL); neither argument is ever NULL here
     ref = F.least(F.last_day("date_date"), today)
     active = active_at(F.col("first_invoice_date"), F.col("last_invoice_date"), ref, grace)
     return rows.select(
         "date_date", *date_parts("date_date"), "contact_id", "location_name",
         F.round("cltv_total", 2).cast(P.TOTAL).alias("student_cltv"),
-        F.round(F.coalesce(F.try_element_at("monthly", F.col("date_date")), F.lit(0)), 2)
-        .cast(P.TOTAL).alias("monthly_revenue"),
+        F.round("revenue", 2).cast(P.TOTAL).alias("monthly_revenue"),
         ref.alias("reference_date"),
         active.alias("is_active_student"),
         F.when(active, F.col("contact_id")).alias("contact_id_active"))
@@ -244,62 +247,68 @@ def student_dim(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale
 
 
 def location_totals(dim: DataFrame) -> DataFrame:
-    """Distinct students per location."""
-    return dim.groupBy("location").agg(F.count_distinct("studentid").alias("total_students"))
+    """Students per location (``student_dim`` has one row per student)."""
+    return dim.groupBy("location").agg(F.count("studentid").alias("total_students"))
+
 
+def _day_bounds(window: DataFrame, grace: int) -> DataFrame:
+    return window.agg(F.min("first_invoice_date").alias("min_date"),
+                      F.date_add(F.max("last_invoice_date"), grace).alias("max_date"))
 
-def _day_bounds(dim: DataFrame, grace: int) -> DataFrame:
-    return dim.agg(F.min("first_invoice_date").alias("min_date"),
-                   F.date_add(F.max("last_invoice_date"), grace).alias("max_date"))
 
+def day_spine(window: DataFrame, grace: int = P.GRACE_DAYS) -> DataFrame:
+    """Every day from the first invoice to the last invoice + grace, with date parts.
 
-def day_spine(dim: DataFrame, grace: int = P.GRACE_DAYS) -> DataFrame:
-    """Every day from the first invoice to the last invoice + grace, with date parts."""
-    b = _day_bounds(dim, grace)
-    days = b.select(F.explode(F.sequence("min_date", "max_date")).alias("date_date"))
+    ``window`` needs the invoice windows only (``company_invoice_window``).
+    """
+    days = _day_bounds(window, grace).select(F.explode(F.sequence("min_date", "max_date")).alias("date_date"))
     return days.select("date_date", *date_parts("date_date"))
 
 
-def day_location_spine(dim: DataFrame, grace: int = P.GRACE_DAYS) -> DataFrame:
+def _bounds_scalar(window: DataFrame, grace: int) -> tuple[Column, Column]:
+    """First and last day of the calendar: one scalar subquery over the invoice windows."""
+    bounds = _day_bounds(window, grace).select(F.struct("min_date", "max_date").alias("b")).scalar()
+    return bounds.getField("min_date"), bounds.getField("max_date")
+
+
+def day_location_spine(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale: DataFrame,
+                       grace: int = P.GRACE_DAYS) -> DataFrame:
     """Every day x every location (locations with no activity keep their rows).
 
-    The day range is a one-row aggregate evaluated once as a scalar
-    subquery; each location row then generates its days — no join.
+    The day range is a scalar subquery over the invoice windows; each location
+    row then generates its days — no join.
     """
-    bounds = _day_bounds(dim, grace).select(F.struct("min_date", "max_date").alias("b")).scalar()
-    totals = location_totals(dim)
-    return (totals.select(F.explode(F.sequence(bounds.getField("min_date"), bounds.getField("max_date")))
-                          .alias("date_date"), "location", "total_students")
+    lo, hi = _bounds_scalar(company_invoice_window(acc_sale, company), grace)
+    totals = location_totals(student_dim(contact, cfv, company, acc_sale))
+    return (totals.select(F.explode(F.sequence(lo, hi)).alias("date_date"), "location", "total_students")
             .select("date_date", *date_parts("date_date"), "location", "total_students"))
 
 
-def active_by_day_location(dim: DataFrame, grace: int = P.GRACE_DAYS, method: str = "delta") -> DataFrame:
+def _daily(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale: DataFrame, grace: int) -> DataFrame:
+    """(location, members, day, active students): one pass over the students."""
+    lo, hi = _bounds_scalar(company_invoice_window(acc_sale, company), grace)
+    return daily_counts(group_changes(student_dim(contact, cfv, company, acc_sale), grace), lo, hi)
+
+
+def active_by_day_location(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale: DataFrame,
+                           grace: int = P.GRACE_DAYS) -> DataFrame:
     """(day, location, active students) for every day with at least one active student."""
-    spine = day_location_spine(dim, grace).select("location", "date_date")
-    counted = active_counts(dim, spine, grace, method=method)
-    return counted.where(F.col("active_students") > 0).select("date_date", "location", "active_students")
+    return (_daily(contact, cfv, company, acc_sale, grace)
+            .where(F.col("active_students") > 0).select("date_date", "location", "active_students"))
 
 
 def active_students_daily(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale: DataFrame,
-                          grace: int = P.GRACE_DAYS, method: str = "delta", reuse: bool = True) -> DataFrame:
+                          grace: int = P.GRACE_DAYS) -> DataFrame:
     """Layer 3: per day and location — total, active and inactive students.
 
-    ``total_students_filtered`` is the per-day sum of location totals; the
-    spine holds every location on every day, so it is the same for every
-    day and is computed once (with the overall distinct count) as a one-row
-    aggregate attached by scalar subquery, not as a window over all rows.
-    ``student_dim`` has four readers; with ``reuse`` it is saved once.
+    ``total_students_filtered`` sums the location totals of a day (a window over
+    one day's locations). Every student stands in exactly one location and every
+    location on every day, so the company-wide count of students is the same sum.
     """
-    dim = student_dim(contact, cfv, company, acc_sale)
-    if reuse:
-        dim = materialize(dim, "student_dim")
-    spine = day_location_spine(dim, grace)
-    counted = active_counts(dim, spine, grace, method=method)
-    totals = location_totals(dim).agg(F.sum("total_students").cast("bigint").alias("total_students_filtered"))
-    overall = dim.agg(F.count_distinct("studentid").alias("overall_total_students"))
-    out = attach_scalars(attach_scalars(counted, totals), overall)
-    return out.select(
-        "date_date", "date_year", "date_quarter", "date_month", "date_week", "date_day",
-        "location", "total_students", "total_students_filtered", "active_students",
-        (F.col("total_students") - F.col("active_students")).alias("inactive_students"),
-        "overall_total_students")
+    daily = _daily(contact, cfv, company, acc_sale, grace)
+    everywhere = F.sum("members").over(Window.partitionBy("date_date")).cast("bigint")
+    return daily.select(
+        "date_date", *date_parts("date_date"), "location", F.col("members").alias("total_students"),
+        everywhere.alias("total_students_filtered"), "active_students",
+        (F.col("members") - F.col("active_students")).alias("inactive_students"),
+        everywhere.alias("overall_total_students"))

@@ -4,8 +4,8 @@ The reports rely on ANSI casts and adaptive execution with partition
 coalescing and skew-join splitting — all Spark 4 defaults. On a cluster the
 session exists already: :func:`configure` never overrides a value the
 session or the cluster has, it only fills keys that have no value at all,
-and reads ``spark.checkpoint.dir`` from the session (creating a scratch
-folder only when there is none, as in local tests). Results do not depend on
+and :func:`checkpoint_dir` reads ``spark.checkpoint.dir`` when something is to
+be written there. Results do not depend on
 the session time zone: source timestamps are TIMESTAMP_NTZ and "today" is an
 explicit ``as_of`` date.
 """
@@ -13,7 +13,7 @@ explicit ``as_of`` date.
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 
 from pyspark.sql import SparkSession
 
@@ -34,15 +34,15 @@ def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
     """Shuffle and scan sizing for a run over ``input_bytes`` on ``total_cores`` task slots.
 
     * Shuffle partitions: about one per 2 GiB of input, at least two waves
-      of the cores, at most 50,000 (the largest shuffles here run after
-      filters and map-side aggregation, so they are far smaller than the
-      input). Adaptive execution then coalesces small partitions towards
-      256 MiB and splits skewed ones.
+      of the cores (the largest shuffles here run after filters and map-side
+      aggregation, so they are far smaller than the input). Adaptive
+      execution then coalesces small partitions towards 256 MiB and splits
+      skewed ones.
     * Scan splits of 256 MiB: fewer, fuller tasks for very large tables.
     * Broadcasts stay measured: adaptive execution broadcasts a join side
       only when its real shuffle output is below 64 MiB.
     """
-    parts = max(2 * total_cores, min(50_000, -(-input_bytes // (2 * GIB))))
+    parts = max(2 * total_cores, -(-input_bytes // (2 * GIB)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB),
@@ -67,25 +67,24 @@ def configure(spark: SparkSession, input_bytes: int | None = None, total_cores:
             spark.conf.set(key, value)
         elif key not in ENGINE_DEFAULTS and key not in explicit:
             spark.conf.set(key, value)
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and materialised layers.
+    """The shared folder for intermediates and stream checkpoints: ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when the
-    session has none — local tests — a scratch folder is created.
+    A cluster must name one that the driver and all executors share; without it
+    this raises. Only a local master, where all tasks run on this machine, gets a
+    folder of its own under the JVM's temporary folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None)
+        if not path and re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            path = f"file:{sc._jvm.System.getProperty('java.io.tmpdir')}/ledgerline-{sc.applicationId}"
     if not path:
-        path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     return path
 
 

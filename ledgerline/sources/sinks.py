@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ledgerline.session import checkpoint_dir
 
@@ -34,6 +35,11 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
     writer.parquet(path)
 
 
+def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A saved layer with its own column order and types (folder columns come back last and retyped otherwise)."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 _MATERIALIZED: list[str] = []
 
 
@@ -74,15 +80,3 @@ def release_materialized(spark, paths: list[str] | None = None) -> int:
         if path in _MATERIALIZED:
             _MATERIALIZED.remove(path)
     return removed
-
-
-def save_bucketed(df: DataFrame, table: str, by: list[str], buckets: int, mode: str = "overwrite") -> DataFrame:
-    """Save ``df`` as a catalog table bucketed (and sorted) by ``by``; return a scan of it.
-
-    Two tables bucketed on the join key with the same bucket count join
-    without a shuffle (each task reads one bucket of each side). For the
-    largest join of the reports — transactions x users on ``user_id`` — this
-    removes the exchange of the transaction side entirely.
-    """
-    (df.write.mode(mode).bucketBy(buckets, *by).sortBy(*by).format("parquet").saveAsTable(table))
-    return df.sparkSession.table(table)

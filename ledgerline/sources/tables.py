@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -11,19 +10,6 @@ DRIVER_TABLES = (
 )
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """One table of a directory of ``<name>.parquet`` files (file or folder).
-
-    The schema is inferred once per path and then supplied on every later
-    read, as a catalog would, so repeated reads skip the footer-inference job.
-    """
-    path = f"{base_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """One table of a directory of ``<name>.parquet`` files (file or folder), listed anew on every call."""
+    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")

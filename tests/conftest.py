@@ -22,6 +22,7 @@ def spark():
                .config("spark.sql.shuffle.partitions", "8")
                # catalog tables of the tests go to a scratch folder, not the working directory
                .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerline-warehouse-"))
+               .config("spark.checkpoint.dir", "file:" + tempfile.mkdtemp(prefix="ledgerline-shared-"))
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
@@ -45,7 +46,7 @@ def duck(sf_dir):
 
 @pytest.fixture(scope="session")
 def catalog():
-    from __spark_entry__ import queries
+    from ledgerline.plans.catalog import queries
 
     return queries()
 

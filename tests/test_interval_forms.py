@@ -1,42 +1,37 @@
-"""The three forms of the active-window count agree."""
+"""The active-window count equals its literal forms: member-days and the range join."""
 
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerline.operators.activity import active_counts
+from ledgerline.operators.activity import daily_counts, group_changes
 from ledgerline.plans import retention
 
 
-@pytest.fixture(scope="module")
-def dim(roles):
-    return retention.student_dim(roles["contact"], roles["contact_custom_field_value"],
-                                 roles["company"], roles["acc_sale"]).cache()
+def by_member_days(members, grace):
+    days = members.select("location", "studentid", F.explode(
+        F.sequence("first_invoice_date", F.date_add("last_invoice_date", grace))).alias("date_date"))
+    return days.groupBy("date_date", "location").agg(F.count_distinct("studentid").alias("active_students"))
 
 
-def _rows(df):
-    return sorted(tuple(r) for r in df.select("date_date", "location", "active_students").collect())
+def by_range_join(members, spine, grace):
+    m = members.alias("m")
+    held = (F.col("first_invoice_date") <= F.col("date_date")) & (F.date_add("last_invoice_date", grace) >= F.col("date_date"))
+    joined = spine.select("date_date").distinct().join(m, held)
+    return joined.groupBy("date_date", "location").agg(F.count_distinct("studentid").alias("active_students"))
 
 
-def test_delta_explode_join_agree(dim):
-    spine = retention.day_location_spine(dim).select("location", "date_date")
-    delta = _rows(active_counts(dim, spine, 42, method="delta"))
-    explode = _rows(active_counts(dim, spine, 42, method="explode"))
-    join = _rows(active_counts(dim, spine, 42, method="join"))
-    assert delta == explode == join
-    assert any(r[2] > 0 for r in delta)
+def _rows(df):
+    return sorted(tuple(r) for r in df.select("date_date", "location", "active_students").collect())
 
 
-def test_product_methods_agree(roles):
+def test_three_forms_agree(roles):
     args = (roles["contact"], roles["contact_custom_field_value"], roles["company"], roles["acc_sale"])
-    a = sorted(tuple(r) for r in retention.active_students_daily(*args, method="delta").collect())
-    b = sorted(tuple(r) for r in retention.active_students_daily(*args, method="explode").collect())
-    assert a == b
-
-
-def test_unknown_method(dim):
-    with pytest.raises(ValueError):
-        active_counts(dim, dim, 42, method="nope")
+    dim, spine = retention.student_dim(*args).cache(), retention.day_location_spine(*args)
+    got = _rows(retention.active_by_day_location(*args))
+    assert got == _rows(by_member_days(dim, 42)) == _rows(by_range_join(dim, spine, 42))
+    assert got
 
 
 @pytest.mark.parametrize("seed", [3, 4])
@@ -59,9 +54,8 @@ def test_delta_form_matches_brute_force_with_a_hot_location(spark, seed):
     hi = max(m[3] for m in members) + dt.timedelta(days=grace)
     days = [lo + dt.timedelta(days=k) for k in range((hi - lo).days + 1)]
     locations = sorted({m[1] for m in members})
-    spine = spark.createDataFrame([(loc, d) for loc in locations for d in days], "location string, date_date date")
     got = {(r.location, r.date_date): r.active_students
-           for r in active_counts(dim, spine, grace).collect()}
+           for r in daily_counts(group_changes(dim, grace), F.lit(lo), F.lit(hi)).collect()}
     want = {(loc, d): sum(1 for m in members if m[1] == loc and m[2] <= d <= m[3] + dt.timedelta(days=grace))
             for loc in locations for d in days}
     assert got == want

@@ -9,6 +9,7 @@ import pytest
 from ledgerline.plans import finance, neobank
 from ledgerline.plans.layers import register_report_views, run_finance_layers
 from ledgerline.sources.fixtures import RoleTables
+from ledgerline.sources.sinks import read_layer
 from ledgerline.streaming import fee_transactions_stream, start_layer_sink
 
 SMALL = "/root/testdata/sf0.001"
@@ -31,6 +32,13 @@ def test_finance_layers_round_trip(spark, small):
                                       finance.finance_forecasts(small["budget"], small["budget_item"], order=False))
     cols = direct.columns
     assert _rows(saved, cols) == _rows(direct, cols)
+    built = {"finance_actuals": finance.finance_actuals(small["ledger"]),
+             "finance_forecasts": finance.finance_forecasts(small["budget"], small["budget_item"], order=False)}
+    for name, layer in built.items():
+        back = read_layer(spark, paths[name], layer.schema)
+        assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in layer.schema]
+        assert finance.layer_signature(back) == list(finance.LAYER_SCHEMA)
+        assert _rows(back, layer.columns) == _rows(layer, layer.columns)
 
 
 def test_report_views_queryable_with_sql(spark, small):
@@ -69,13 +77,64 @@ def test_batch_job_writes_every_layer(spark, small):
                           "student_activity_monthly", "student_activation", "active_students_daily",
                           "revenue_by_programme", "customer_churn"}
     churn = spark.read.parquet(paths["customer_churn"])
-    customers = small["contact"].where("email IS NOT NULL AND email <> ''").count()
+    customers = small["contact"].where("email IS NOT NULL AND email <> ''").select("id").distinct().count()
     assert churn.select("customer_id").distinct().count() == customers
     assert churn.count() >= customers
     assert spark.read.parquet(paths["finance_variance"]).count() > 0
     assert set(materialized_paths()) <= before          # the job released its own intermediates
 
 
+def test_job_releases_its_intermediates_after_a_failure(spark, small, monkeypatch):
+    from ledgerline import jobs
+    from ledgerline.sources.sinks import materialize, materialized_paths
+    before = set(materialized_paths())
+
+    def fail(*_, **__):
+        materialize(spark.range(3).toDF("x"), "half-done")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(jobs, "run_finance_layers", fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.run(spark, "/nowhere", reports=("finance",), source="/nowhere")
+    assert set(materialized_paths()) <= before
+
+
+def test_job_asks_for_today_once(spark, monkeypatch):
+    import datetime as dt
+
+    from ledgerline import jobs
+    seen = {}
+    monkeypatch.setattr(jobs, "run_tutoring_layers", lambda *_, **kw: seen.update(kw) or {})
+    jobs.run(spark, "/nowhere", reports=("tutoring",), source="/nowhere")
+    assert seen["churn_as_of"] is None and abs((seen["as_of"] - dt.date.today()).days) <= 1
+
+
+def test_latest_is_taken_from_the_invoices_each_layer_reads(spark, monkeypatch):
+    import datetime as dt
+
+    from ledgerline import jobs
+    tables = {"acc_sale": spark.createDataFrame([(dt.datetime(2020, 5, 1),)], "date timestamp_ntz"),
+              "sale": spark.createDataFrame([(dt.datetime(2021, 6, 2),)], "date timestamp_ntz")}
+    seen = {}
+    monkeypatch.setattr(jobs, "_Tables", lambda *_: tables)
+    monkeypatch.setattr(jobs, "run_tutoring_layers", lambda *_, **kw: seen.update(kw) or {})
+    jobs.run(spark, "/nowhere", reports=("tutoring",), as_of=jobs.LATEST)
+    one = spark.range(1).select(seen["as_of"].alias("a"), seen["churn_as_of"].alias("c")).first()
+    assert (one.a, one.c) == (dt.date(2020, 5, 1), dt.date(2021, 6, 2))
+
+
+def test_default_date_is_the_current_date(spark, small):
+    import datetime as dt
+
+    from ledgerline.plans import churn, retention
+    crm = (small["contact"], small["contact_custom_field_value"], small["company"], small["acc_sale"])
+    last = retention.student_activity_monthly(*crm).agg({"reference_date": "max"}).first()[0]
+    assert abs((last - dt.date.today()).days) <= 1
+    metrics = churn.customer_metrics(small["contact"], small["company"], small["sale"])
+    least = metrics.agg({"days_since_last_payment": "min"}).first()[0]
+    assert abs(least - (dt.date.today() - dt.date(2001, 8, 1)).days) <= 1
+
+
 def test_partitioned_layer_write_is_rebalanced(spark, small):
     import os
 

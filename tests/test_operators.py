@@ -31,9 +31,9 @@ SCHEMA = "id bigint, k string, v bigint, status string"
 def test_agg_over_equals_distinct_windows(spark, seed):
     rows = _data(seed)
     df = spark.createDataFrame(rows, SCHEMA)
-    out = agg_over(df, ["k"], [F.count_distinct("v").alias("dv"),
-                               F.count_distinct(F.when(F.col("status") == "Active", F.col("v"))).alias("da"),
-                               F.sum("v").alias("sv")])
+    out = agg_over(df, ["k"], df.groupBy("k").agg(
+        F.count_distinct("v").alias("dv"), F.count_distinct(F.when(F.col("status") == "Active", F.col("v"))).alias("da"),
+        F.sum("v").alias("sv")))
     got = sorted((r.id, r.dv, r.da, r.sv) for r in out.collect())
     con = duckdb.connect()
     con.execute(f"CREATE TABLE t AS SELECT * FROM (VALUES {', '.join(str(tuple('NULL' if x is None else x for x in r)) for r in rows)}) AS t(id, k, v, status)".replace("'NULL'", "NULL"))
@@ -79,25 +79,6 @@ def test_bridge_picks_highest_id_without_pair_explosion(spark):
     assert out == {1: 11, 2: 21, 3: 21, 4: None, 5: None}
 
 
-def test_count_distinct_over_partition_and_whole(spark):
-    from ledgerline.operators.windows import count_distinct_over
-    rows = [(1, "a", 10), (2, "a", 10), (3, "a", 11), (4, "b", 10), (5, None, 12), (6, None, 12)]
-    df = spark.createDataFrame(rows, "id int, k string, v int")
-    per = {r.id: r.n for r in count_distinct_over(df, F.col("v"), ["k"], "n").collect()}
-    assert per == {1: 2, 2: 2, 3: 2, 4: 1, 5: 1, 6: 1}
-    whole = {r.n for r in count_distinct_over(df, F.col("v"), None, "n").collect()}
-    assert whole == {3}
-
-
-def test_with_date_dims(spark):
-    import datetime as dt
-
-    from ledgerline.functions.dates import with_date_dims
-    df = spark.createDataFrame([(dt.date(2024, 12, 30),)], "d date")
-    r = with_date_dims(df, "d", names=True).first()
-    assert (r.date_year, r.date_quarter, r.date_month, r.date_week, r.date_day, r.maand) == (2024, 4, 12, 1, 30, "December")
-
-
 def _duck_table(con, name, rows, cols):
     con.execute(f"CREATE OR REPLACE TABLE {name} ({cols})")
     if rows:

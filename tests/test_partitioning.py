@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import oracle_sql
+from ledgerline.oracle.sql import oracle_sql
 from tools.check_oracle import compare
 
 SQL = oracle_sql()

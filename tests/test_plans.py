@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 import tempfile
 
@@ -55,6 +56,72 @@ def test_no_nested_loop_cartesian_or_python_anywhere(spark, sf_dir, catalog):
             assert python_node not in plan, (name, python_node)
 
 
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture()
+def shuffled(spark):
+    old = {k: spark.conf.get(k, None) for k in NO_BROADCAST}
+    for k, v in NO_BROADCAST.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.fixture(scope="module")
+def saved(spark, roles):
+    """The tutoring roles as Parquet folders: a scan of one names it."""
+    base = tempfile.mkdtemp(prefix="ledgerline-tutoring-")
+    out = {}
+    for name in ("contact", "contact_custom_field_value", "company", "acc_sale", "sale", "date_table", "tutoring_transaction"):
+        roles[name].write.mode("overwrite").parquet(f"{base}/{name}.role")
+        out[name] = spark.read.parquet(f"{base}/{name}.role")
+    return out
+
+
+def _scans(df, name: str) -> int:
+    """Scans of a role that run (a reused exchange runs none)."""
+    return sum(f"/{name}.role" in line and "FileScan" in line for line in _executed(df).splitlines())
+
+
+def _executed(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+def test_each_invoice_table_is_read_once(shuffled, saved):
+    from ledgerline.plans import churn, programme
+    metrics = churn.customer_metrics(saved["contact"], saved["company"], saved["sale"], as_of=dt.date(2001, 8, 1))
+    assert _scans(metrics, "sale") == 1
+    flag = programme.daily_active_flag(saved["date_table"], saved["acc_sale"], saved["company"])
+    assert _scans(flag, "acc_sale") == 1 and _scans(flag, "date_table") == 1
+    report = programme.revenue_by_programme(
+        saved["date_table"], saved["acc_sale"], saved["company"], saved["contact"], saved["contact_custom_field_value"],
+        saved["tutoring_transaction"], order=False)
+    assert _scans(report, "acc_sale") == 1 and _scans(report, "tutoring_transaction") == 1
+
+
+def test_churn_rates_need_no_expand(spark, saved):
+    from ledgerline.plans import churn
+    metrics = churn.customer_metrics(saved["contact"], saved["company"], saved["sale"], as_of=dt.date(2001, 8, 1))
+    stored = spark.createDataFrame(metrics.collect(), metrics.schema)
+    for df in (churn.churn_overall_rates(stored), churn.churn_location_benchmarks(stored)):
+        assert "Expand" not in _plan(df)
+
+
+@pytest.mark.parametrize("key", ["finance_forecasts", "finance_variance", "revenue_by_programme", "customer_churn"])
+def test_sort_keys_differ(spark, sf_dir, catalog, key):
+    """The order is total: no sort key, which a range partitioner could not split, holds two different rows."""
+    df = catalog[key](spark, sf_dir)
+    sort = next(line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if line.lstrip(" +-:").startswith("Sort ["))
+    keys = re.findall(r"(\w+)#\d+L? (?:ASC|DESC)", sort)
+    distinct = df.distinct()
+    assert distinct.count() == distinct.select(*keys).distinct().count()
+
+
 def test_variance_unit_option(roles):
     a = finance.finance_actuals(roles["ledger"])
     f = finance.finance_forecasts(roles["budget"], roles["budget_item"], order=False)
@@ -66,37 +133,11 @@ def test_cluster_settings_scale_with_input():
     from ledgerline.session import cluster_settings
     big = cluster_settings(100 * (1 << 40), 8000)      # 100 TB on 8,000 cores
     small = cluster_settings(1 << 30, 8)
-    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 51_200
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)
 
 
-def test_bucketed_sources_join_without_a_shuffle(spark, roles):
-    import uuid
-
-    from ledgerline.sources.sinks import save_bucketed
-    suffix = uuid.uuid4().hex[:8]
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        tx = save_bucketed(roles["bank_transactions"], f"ll_tx_{suffix}", ["user_id"], 8)
-        users = save_bucketed(roles["bank_users"], f"ll_users_{suffix}", ["user_id"], 8)
-        df = neobank.fee_transactions_enriched(tx, users)
-        rows = df.count()
-        plan = _plan(df)
-        plain = neobank.fee_transactions_enriched(roles["bank_transactions"], roles["bank_users"])
-        assert rows == plain.count()
-        assert "SortMergeJoin" in plan
-        assert "Exchange hashpartitioning" not in plan
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-        spark.sql(f"DROP TABLE IF EXISTS ll_tx_{suffix}")
-        spark.sql(f"DROP TABLE IF EXISTS ll_users_{suffix}")
-
-
 def test_configure_applies_sizing_only_when_asked(spark):
     from ledgerline.session import configure
     keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]

@@ -15,6 +15,7 @@ from ledgerline.functions.text import (clean_location, clean_town, email_key, ex
                                        programme_label, ws_trim)
 from ledgerline import params as P
 from ledgerline.operators.spines import expand_months, month_spine
+from ledgerline.plans import finance, retention
 
 
 def one(spark, col, value=None, schema="x string"):
@@ -180,3 +181,41 @@ def test_programme_report_is_globally_sorted(roles):
         return tuple((v is not None, v if v is not None else 0) for v in r)
     keys = [key(r) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_numeric_prices_keep_nine_decimals(spark):
+    budget = spark.createDataFrame([(1, "b", 1, "prognosis", "2020-01-01", "2020-02-01")],
+                                   "budgetid bigint, description string, companyid int, client_budget_type string, "
+                                   "client_budget_startdate string, client_budget_enddate string")
+    item = spark.sql("SELECT 9L AS budgetitemid, 1L AS budgetid, 8000 AS schemaid, 'x' AS schemaid_description, "
+                     "'Omzet' AS budgetpostid_label, 'unit' AS price_type, 1L AS price_quantity, "
+                     "CAST(0.123456 AS DECIMAL(38,9)) AS price_amount, CAST(100000 AS DECIMAL(38,9)) AS quantity")
+    assert {str(r.monthly_amount) for r in finance.budget_months(budget, item).collect()} == {"12345.60"}
+
+
+def test_one_row_for_each_contact_id(spark):
+    contact = spark.createDataFrame([(1, "b@x"), (1, "a@x"), (1, None), (2, None)], "id bigint, email string")
+    cfv = spark.createDataFrame([("1", "7", "breda", None, None), ("1", "7", "den haag", None, None)],
+                                "contact string, custom_field_id string, value string, u_date date, c_date date")
+    got = sorted(tuple(r) for r in retention.contact_latest_location(contact, cfv).collect())
+    assert got == [(1, "a@x", "Breda"), (2, None, "Unknown")]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from ledgerline.session import checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

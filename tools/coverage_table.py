@@ -41,8 +41,8 @@ ROWS = {
     "P7e": (f"{R} `_day_bounds`", "day_spine", ORACLE),
     "P7f": (f"{R} `day_spine`", "day_spine", ORACLE),
     "P7g": (f"{R} `day_location_spine` (scalar bounds + explode)", "day_location_spine", ORACLE),
-    "P7h": ("operators/activity.py `active_counts` (delta / explode / join)", "active_by_day_location", ORACLE + ", test_interval_forms"),
-    "P7i": (f"{R} `active_students_daily` (`attach_scalars`)", "active_students_daily", ORACLE),
+    "P7h": ("operators/activity.py `group_changes`, `daily_counts` (event deltas)", "active_by_day_location", ORACLE + ", test_interval_forms"),
+    "P7i": (f"{R} `active_students_daily` (window over one day)", "active_students_daily", ORACLE),
     "P8": (f"{G} `revenue_by_programme`", "revenue_by_programme", ORACLE),
     "P8a": (f"{G} `programme_revenue_base`", "programme_revenue_base", ORACLE),
     "P8b": (f"{G} `daily_active_flag`", "daily_active_flag", ORACLE + ", test_properties"),
@@ -54,12 +54,12 @@ ROWS = {
     "SRC1": ("sources/tables.py `read_table`; sources/fixtures.py `RoleTables`; jobs.py (catalog tables)", "all", ORACLE),
     "SRC2": ("plans/layers.py `run_finance_layers` (variance reads saved layers)", "finance_variance", "test_layers"),
     "SRC3": ("DataFrame chaining (e.g. `bridge_on_email`)", "bridge_contact_company", ORACLE),
-    "SRC4": ("DataFrame variables; multi-reader intermediates saved once (`sources/sinks.py materialize`)", "active_students_daily, customer_churn", ORACLE),
+    "SRC4": ("DataFrame variables; a job may save multi-reader intermediates (`sources/sinks.py materialize`)", "active_students_daily, customer_churn", ORACLE),
     "SRC5": ("operators/spines.py `month_spine`, `day_spine`", "month_spine, day_spine", ORACLE),
     "SNK1": ("sources/sinks.py `write_layer`; plans/layers.py; jobs.py", "finance_actuals", "test_layers"),
     # projections, filters
     "PF1": ("`select` / `alias` in every plan", "fee_transactions_enriched", ORACLE),
-    "PF2": ("`select('*', ...)` (e.g. `ledger_periods`, `with_date_dims`)", "day_location_spine", ORACLE),
+    "PF2": ("`select('*', ...)` (e.g. `ledger_periods`)", "day_location_spine", ORACLE),
     "PF3": ("`F.lit` tags ('actual', 'forecast', 0, 1)", "finance_actuals, student_activation", ORACLE),
     "PF4": ("equality filters, e.g. `fee_transactions_enriched`", "fee_transactions_enriched", ORACLE + ", test_plans (pushed)"),
     "PF5": ("range filters, e.g. `budget_base`, `reportable_ledger`", "budget_base", ORACLE),
@@ -85,7 +85,7 @@ ROWS = {
     "J12": (f"{G} `revenue_by_programme` (`year`, `month` keys)", "revenue_by_programme", ORACLE),
     "J13": (f"{G} `daily_active_flag` (`to_date` key)", "daily_active_flag", ORACLE),
     "J14": (f"{F} `finance_variance` (`how='full'` + coalesce)", "finance_variance", ORACLE),
-    "J15": ("operators/activity.py `active_counts` (event deltas; literal form for tests)", "active_by_day_location", ORACLE + ", test_interval_forms"),
+    "J15": ("operators/activity.py `group_changes`, `daily_counts` (event deltas; literal forms in tests)", "active_by_day_location", ORACLE + ", test_interval_forms"),
     "J16": (f"{R} `student_month_spine`, `day_location_spine` (explode per row, no join)", "student_month_spine", ORACLE),
     "J17": ("operators/windows.py `attach_scalars` (scalar subquery)", "active_students_daily", ORACLE + ", test_operators"),
     "J18": ("`explode(sequence(...))` in spines", "budget_months, day_spine", ORACLE),
@@ -111,12 +111,12 @@ ROWS = {
     "W1": ("operators/windows.py `latest_by` (NULLS LAST + tie-break; WindowGroupLimit)", "contact_latest_location", ORACLE + ", test_operators"),
     "W2": ("operators/bridge.py `best_match_by_key` (max per key before the join)", "bridge_contact_company", ORACLE + ", test_operators"),
     "W3": (f"{R} `active_students_daily` (constant per day; scalar)", "active_students_daily", ORACLE),
-    "W4": (f"{C} `LOCATION_AGGS` via `agg_over`", "customer_churn", ORACLE),
+    "W4": (f"{C} `location_groups` via `agg_over`", "customer_churn", ORACLE),
     "W5": (f"{C} `_inactive_students` via `agg_over`", "customer_churn", ORACLE),
     "W6": (f"{C} location average (`ratio2` of sum / rows)", "churn_location_benchmarks", ORACLE),
-    "W7": ("operators/windows.py `attach_scalars`, `count_distinct_over(by=None)`", "churn_overall_rates", ORACLE + ", test_operators"),
+    "W7": ("operators/windows.py `attach_scalars` over one row per customer", "churn_overall_rates", ORACLE + ", test_operators"),
     "W8": (f"{C} `churn_overall_rates` (conditional distinct)", "churn_overall_rates", ORACLE),
-    "W9": ("operators/windows.py `agg_over`, `count_distinct_over`", "churn_location_benchmarks", ORACLE + ", test_operators"),
+    "W9": ("operators/windows.py `agg_over`; plans/churn.py `location_groups`", "churn_location_benchmarks", ORACLE + ", test_operators"),
     "W10": ("functions/money.py `rate_pct`, `ratio2`", "churn_overall_rates", ORACLE + ", test_functions_random"),
     # sorts
     "O1": (f"{F} `finance_forecasts` (`order=True`)", "finance_forecasts", "test_traps (NULL order)"),
@@ -185,19 +185,19 @@ ROWS = {
     "AR4": ("`explode`", "budget_months", ORACLE),
     # domain operators
     "X1": ("functions/dates.py `parse_period`", "ledger_period", ORACLE),
-    "X2": ("functions/dates.py `with_date_dims`, `date_parts`", "date_dims", ORACLE + ", test_operators"),
+    "X2": ("functions/dates.py `date_parts`, `month_names`", "date_dims", ORACLE + ", test_operators"),
     "X3": ("operators/spines.py `expand_months`", "budget_months", ORACLE + ", test_traps"),
     "X4": (f"{F} `actual_gl_labels`, `forecast_gl_labels`", "gl_labels", ORACLE),
     "X5": (f"{F} `variance_columns`", "finance_variance", ORACLE),
     "X6": ("operators/windows.py `latest_by`", "contact_latest_location", ORACLE),
     "X7": ("operators/bridge.py `bridge_on_email`", "bridge_contact_company", ORACLE + ", test_operators"),
     "X8": (f"{R} `active_at`", "student_activity_monthly", ORACLE),
-    "X9": ("operators/activity.py `active_counts`", "active_by_day_location", ORACLE + ", test_interval_forms"),
+    "X9": ("operators/activity.py `daily_counts`", "active_by_day_location", ORACLE + ", test_interval_forms"),
     "X10": (f"{R} `student_activation` (`is_active_student_now`)", "student_activation", ORACLE),
     "X11": (f"{C} `churn_status`", "customer_metrics", ORACLE),
     "X12": (f"{C} `trailing_sums`", "customer_metrics", ORACLE),
     "X13": (f"{R} `contact_id_active`, `activated_student_cnt`", "student_activity_monthly", ORACLE),
-    "X14": ("operators/windows.py `count_distinct_over`, `agg_over`", "churn_location_benchmarks", ORACLE + ", test_operators"),
+    "X14": ("operators/windows.py `agg_over`; plans/churn.py `location_groups`", "churn_location_benchmarks", ORACLE + ", test_operators"),
     # quirks kept
     "D1": (f"{F} `finance_actuals` (collapse; `amount_mode='sum'`)", "finance_actuals", "test_properties"),
     "D2": (f"{F} `finance_variance` (8-key sides, 3-key join)", "finance_variance", ORACLE),

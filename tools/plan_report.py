@@ -89,8 +89,7 @@ def report_builders(t, as_of):
             t["tutoring_transaction"]),
         "customer_churn": lambda: churn.customer_churn(t["contact"], t["company"], t["sale"], as_of=as_of),
         "student_dim": lambda: retention.student_dim(*crm),
-        "customer_metrics": lambda: churn.customer_metrics(
-            churn.customer_invoice_data(t["contact"], t["company"], t["sale"]), as_of=as_of),
+        "customer_metrics": lambda: churn.customer_metrics(t["contact"], t["company"], t["sale"], as_of=as_of),
     }
 
 
