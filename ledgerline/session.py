@@ -67,6 +67,9 @@ def configure(spark: SparkSession, input_bytes: int | None = None, total_cores:
             spark.conf.set(key, value)
         elif key not in ENGINE_DEFAULTS and key not in explicit:
             spark.conf.set(key, value)
+    sc = _context(spark)
+    if sc is not None:  # Python workers on this machine find the package (a cluster gets it by --py-files)
+        sc.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     return spark
 
 
