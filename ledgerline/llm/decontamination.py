@@ -20,7 +20,6 @@ id; an empty benchmark hits nothing; other input columns are kept.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -39,8 +38,7 @@ SHARD_WORDS = 2_000_000
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
-_EMPTY = "array<struct<first:bigint,last:bigint>>"
-HITS_DDL = f"struct<n_words:bigint,ranges:{_EMPTY},items:array<string>>"
+HITS_DDL = "struct<n_words:bigint,ranges:array<struct<first:bigint,last:bigint>>,items:array<string>>"
 
 
 def words_of(text: bytes) -> list[bytes]:

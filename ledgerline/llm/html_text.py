@@ -183,6 +183,8 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
     parser = LineParser()
     for i in range(0, len(html), PIECE):
         parser.feed(html[i:i + PIECE])
+    if re.match(r"<[a-zA-Z/!?]", parser.rawdata):  # the page ends inside a tag or comment
+        parser.rawdata = ""
     parser.close()
     best = max((rank for *_, rank in parser.lines), default=0)
     lines = [x for x in parser.lines if x[3] == best] if best > 1 else parser.lines

@@ -95,34 +95,6 @@ def word_hashes(data: bytes, member: np.ndarray = SPACED) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def batch_word_hashes(texts: list[bytes], member: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of several texts in one pass, and each text's first index (plus the end)."""
-    hashes = word_hashes(b" ".join(texts), member)
-    counts = batch_word_counts(texts, member)
-    return hashes, np.concatenate(([0], np.cumsum(counts)))
-
-
-def batch_word_counts(texts: list[bytes], member: np.ndarray = SPACED) -> np.ndarray:
-    """Number of words of each text."""
-    joined = b" ".join(texts)
-    starts, _ = word_spans(joined, member)
-    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    edges = np.concatenate(([0], np.cumsum(size)))
-    return np.diff(np.searchsorted(starts, edges))
-
-
-def text_groups(texts: list[bytes], limit: int = PIECE_BYTES):
-    """(from, to) index ranges of consecutive texts of about ``limit`` bytes together."""
-    lo, total = 0, 0
-    for i, t in enumerate(texts):
-        total += len(t) + 1
-        if total >= limit:
-            yield lo, i + 1
-            lo, total = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of ``k`` consecutive words (empty when there are fewer)."""
     n = len(words) - k + 1
