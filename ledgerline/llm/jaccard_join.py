@@ -14,7 +14,8 @@ All orders put tokens seen often last (by the logarithm of a count over the whol
 corpus) and differ in how they order tokens within a frequency class.
 
 No group is ever expanded into all its pairs. In each group every class is first
-paired with one hub (the class with most copies). Verified links give labels, and
+paired with one hub: the class with most copies, then the one with fewest rarer
+tokens, which is the most central of its variants. Verified links give labels, and
 only classes of different labels in one group still have to be compared: outliers
 against the rest of the group. Components follow from all verified links, so no link
 between different texts is lost; links inside a labelled cluster are not listed.
@@ -213,7 +214,7 @@ def _groups(corpus: _Corpus) -> DataFrame:
     group = Window.partitionBy("token", "part")
     rows = rows.withColumns({
         "fewest": F.min("class").over(group), "most": F.max("class").over(group),
-        "hub": F.max(F.struct("copies", "class", "n", "place")).over(group)})
+        "hub": F.max(F.struct("copies", (-F.col("place")).alias("central"), "class", "n", "place")).over(group)})
     kept = rows.where((F.col("parts") > 1) | (F.col("fewest") != F.col("most"))).drop("fewest", "most")
     return materialize(kept, "groups")
 
@@ -239,8 +240,8 @@ def _hub_pairs(groups: DataFrame, spec: JoinSpec) -> DataFrame:
 def _texts_of(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
     """(class, text, a prefix for each further order) of the classes in the pairs, from one document of each."""
     wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    chosen = materialize(corpus.members.join(wanted, "class").groupBy("class").agg(
-        F.min(F.struct("key1", "key2")).alias("key")).select("class", "key.key1", "key.key2"), "chosen")
+    first = corpus.members.where("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("key1", "key2")).alias("key"))
+    chosen = materialize(first.join(wanted, "class").select("class", "key.key1", "key.key2"), "chosen")
     if chosen.count() <= BROADCAST_CLASSES:
         chosen = F.broadcast(chosen)
     found = corpus.docs.select("key1", "key2", "text").join(chosen, ["key1", "key2"]).select("class", "text").dropDuplicates(["class"])
