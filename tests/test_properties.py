@@ -71,7 +71,7 @@ def test_one_row_per_student_per_month_and_reference_date(roles):
     m = retention.student_activity_monthly(*_crm(roles), as_of=AS_OF, start=START)
     n = m.count()
     assert m.select("contact_id", "date_date").distinct().count() == n
-    contacts = roles["contact"].count()
+    contacts = roles["contact"].select("id").distinct().count()
     months = m.select("date_date").distinct().count()
     assert n == contacts * months
     past = m.where(F.col("date_date") == F.lit(dt.date(2000, 2, 1))).select("reference_date").distinct().collect()

@@ -143,7 +143,7 @@ ROWS = {
     # casts
     "K1": ("functions/dates.py `parse_period` (ANSI cast; `lenient=True` uses try_cast)", "ledger_period", ORACLE + ", test_traps"),
     "K2": ("`cast('string')`", "gl_labels", ORACLE),
-    "K3": (f"{F} `budget_items_joined` (DECIMAL(18,4))", "budget_items_joined", ORACLE),
+    "K3": (f"{F} `budget_items_joined` (DECIMAL(19,9) x DECIMAL(18,9))", "budget_items_joined", ORACLE),
     "K4": ("`to_date`", "student_sales", ORACLE),
     "K5": (f"{C} `customer_metrics` (`to_date` of created date)", "customer_metrics", ORACLE),
     "K6": ("boolean columns", "student_activation", ORACLE),
@@ -224,7 +224,7 @@ ROWS = {
     "S5": ("`month_range` guard", "budget_months", "test_traps"),
     "S6": ("`initcap_words`", "clean_location", "test_traps, test_functions_random"),
     "S7": ("`ws_trim`", "clean_location", "test_traps, test_functions_random"),
-    "S8": ("DECIMAL(18,4) inputs, exact product", "budget_months", "test_traps"),
+    "S8": ("nine-decimal inputs, exact product rounded once", "budget_months", "test_traps"),
     "S9": ("functions/money.py (9-digit NUMERIC quotient, half away from zero)", "finance_variance", "test_traps, test_functions_random"),
     "S10": ("guarded divisions", "finance_variance", "test_traps"),
     "S11": ("documented at `least` / `greatest` uses", "student_activity_monthly", ORACLE),
