@@ -60,8 +60,11 @@ def anchor_positions(n_words: int, window: int) -> np.ndarray:
 def candidate_starts(positions: np.ndarray, n_words: int, window: int) -> np.ndarray:
     """Starts of the windows that hold one of the anchors aligned."""
     period, _, _ = cover_for(window)
-    edge = np.zeros(n_words + 1, np.int64)
     last = n_words - window
+    if last < 0:
+        return np.zeros(0, np.int64)
+    positions = positions[positions <= last + period - 1]
+    edge = np.zeros(n_words + 1, np.int64)
     np.add.at(edge, np.maximum(positions - period + 1, 0), 1)
     np.add.at(edge, np.minimum(positions, last) + 1, -1)
     return np.flatnonzero(np.cumsum(edge[:last + 1]) > 0)
@@ -81,72 +84,63 @@ class _Gathered:
     def __init__(self):
         self.hashes: list[np.ndarray] = []
         self.seconds: list[np.ndarray] = []
-        self.docs: list[np.ndarray] = []
         self.places: list[np.ndarray] = []
-        self.keys: list[tuple[int, int]] = []
+        self.keys: list[int] = []
         self.size = 0
 
-    def add(self, key: tuple[int, int], hashes: np.ndarray, places: np.ndarray, seconds: np.ndarray | None = None) -> None:
+    def add(self, key: int, hashes: np.ndarray, places: np.ndarray, seconds: np.ndarray | None = None) -> None:
         self.hashes.append(hashes)
         self.seconds.append(np.zeros(len(hashes), np.int32) if seconds is None else seconds)
-        self.docs.append(np.full(len(hashes), len(self.keys), np.int32))
         self.places.append(places.astype(np.int32))
         self.keys.append(key)
         self.size += len(hashes)
 
-    def sorted_groups(self):
-        """(hash, second, document, place) ordered by hash; whether each is repeated here; whether it leads its group."""
-        h, s, d, p = (np.concatenate(x) for x in (self.hashes, self.seconds, self.docs, self.places))
+    def columns(self):
+        """(hash, second, key, place) in document order; whether each hash is repeated here; whether it is its first."""
+        h, s, p = (np.concatenate(x) for x in (self.hashes, self.seconds, self.places))
+        k = np.repeat(np.array(self.keys, np.int64), [len(x) for x in self.hashes])
         order = np.lexsort((s, h))
-        h, s, d, p = h[order], s[order], d[order], p[order]
-        same = (h[1:] == h[:-1]) & (s[1:] == s[:-1])
-        leads = np.concatenate(([True], ~same))
-        repeated = np.concatenate((same, [False])) | ~leads
-        return h, s, d, p, repeated, leads
+        same = (h[order][1:] == h[order][:-1]) & (s[order][1:] == s[order][:-1])
+        leads, repeated = np.empty(len(h), bool), np.empty(len(h), bool)
+        leads[order] = np.concatenate(([True], ~same))
+        repeated[order] = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        return h.view(np.int64), s, k, p, repeated, leads
 
-    def key_columns(self, docs: np.ndarray) -> tuple[pa.Array, pa.Array]:
-        k = np.array(self.keys, np.int64).reshape(-1, 2)
-        return pa.array(k[docs, 0]), pa.array(k[docs, 1].astype(np.int32))
 
+#: ``place`` for an anchor that its task saw once; ``places`` for all of a document that it saw more often; a row with
+#: neither is the witness of such a hash.
+_ANCHOR_ROW = "hash bigint, key bigint, place int, places array<int>"
+#: A row without ``start`` is a witness.
+_WINDOW_ROW = "hash bigint, second int, key bigint, start int"
 
-_ANCHOR_ROW = "hash bigint, key1 bigint, key2 int, positions array<int>, known boolean"
-_WINDOW_ROW = "hash bigint, second int, key1 bigint, key2 int, start int"
 
-
-def _documents(batches: Iterator[pa.RecordBatch], text: str, key1: str, key2: str):
+def _documents(batches: Iterator[pa.RecordBatch], text: str, key: str):
     for batch in batches:
-        data = text_bytes(batch.column(text))
-        keys = zip(batch.column(key1).to_pylist(), batch.column(key2).to_pylist(), strict=True)
-        for i, (key, t) in enumerate(zip(keys, data, strict=True)):
-            yield batch, i, key, t
+        for i, (k, t) in enumerate(zip(batch.column(key).to_pylist(), text_bytes(batch.column(text)), strict=True)):
+            yield batch, i, k, t
 
 
 def _anchor_rows(window: int):
     size = cover_for(window)[2]
 
     def flush(g: _Gathered) -> Iterator[pa.RecordBatch]:
-        h, _, d, p, repeated, leads = g.sorted_groups()
-        names = ["hash", "key1", "key2", "positions", "known"]
-        single = ~repeated
-        key1, key2 = g.key_columns(d[single])
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(single.sum() + 1, dtype=np.int32)), pa.array(p[single]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h[single].view(np.int64)), key1, key2, lists, pa.array(np.zeros(single.sum(), bool))], names)
-        witness = h[repeated & leads].view(np.int64)
-        nothing = pa.nulls(len(witness), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(witness), nothing, nothing.cast(pa.int32()), pa.nulls(len(witness), pa.list_(pa.int32())),
-             pa.array(np.zeros(len(witness), bool))], names)
-        by_doc = np.lexsort((p[repeated], d[repeated]))
-        docs, places = d[repeated][by_doc], p[repeated][by_doc]
-        first = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1]))) if len(docs) else np.zeros(0, np.int64)
-        key1, key2 = g.key_columns(docs[first])
-        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(docs)).astype(np.int32)), pa.array(places))
-        yield pa.RecordBatch.from_arrays([key1, key1, key2, lists, pa.array(np.ones(len(first), bool))], names)
+        h, _, k, p, repeated, leads = g.columns()
+        lone, witness = ~repeated, repeated & leads
+        n, w = int(lone.sum()), int(witness.sum())
+        yield _batch(h[lone], pa.array(k[lone]), pa.array(p[lone]), pa.nulls(n, pa.list_(pa.int32())))
+        yield _batch(h[witness], pa.nulls(w, pa.int64()), pa.nulls(w, pa.int32()), pa.nulls(w, pa.list_(pa.int32())))
+        known, places = k[repeated], p[repeated]
+        if len(known):  # rows of one document stand together
+            first = np.flatnonzero(np.concatenate(([True], known[1:] != known[:-1])))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(known)).astype(np.int32)), pa.array(places))
+            yield _batch(known[first], pa.array(known[first]), pa.nulls(len(first), pa.int32()), lists)
+
+    def _batch(hashes, key, place, places) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(hashes), key, place, places], ["hash", "key", "place", "places"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = _Gathered()
-        for _, _, key, text in _documents(batches, "text", "key1", "key2"):
+        for _, _, key, text in _documents(batches, "text", "key"):
             hashes = word_hashes(text, SPACED)
             at = anchor_positions(len(hashes), window)
             if len(at):
@@ -159,87 +153,104 @@ def _anchor_rows(window: int):
     return rows
 
 
-def _window_rows(window: int, text_col: str, positions_col: str, key1: str, key2: str):
-    def flush(g: _Gathered) -> Iterator[pa.RecordBatch]:
-        h, s, d, p, repeated, leads = g.sorted_groups()
+def _seconds(words: np.ndarray, window: int) -> np.ndarray:
+    """31 more bits of each window."""
+    return (window_hashes(second_hash(words), window) >> np.uint64(33)).astype(np.int32)
+
+
+def _window_rows(window: int, text_col: str, positions_cols: tuple[str, str], key_col: str):
+    def flush(g: _Gathered) -> pa.RecordBatch:
+        h, s, k, p, repeated, leads = g.columns()
         sent = ~repeated | leads  # every lone window, and one witness of each repeated one
-        key_1, key_2 = g.key_columns(d[sent])
-        start = pa.array(p[sent], mask=repeated[sent])
-        yield pa.RecordBatch.from_arrays([pa.array(h[sent].view(np.int64)), pa.array(s[sent]), key_1, key_2, start],
-                                         ["hash", "second", "key1", "key2", "start"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h[sent]), pa.array(s[sent]), pa.array(k[sent], mask=repeated[sent]), pa.array(p[sent], mask=repeated[sent])],
+            ["hash", "second", "key", "start"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = _Gathered()
-        for batch, i, key, text in _documents(batches, text_col, key1, key2):
+        for batch, i, key, text in _documents(batches, text_col, key_col):
             hashes = word_hashes(text, SPACED)
-            starts = candidate_starts(_ints(batch.column(positions_col)[i]), len(hashes), window)
-            one, two = window_hashes(hashes, window), window_hashes(second_hash(hashes), window)
+            starts = candidate_starts(_positions(batch, positions_cols, i), len(hashes), window)
+            one, two = window_hashes(hashes, window), _seconds(hashes, window)
             # a long text may exceed the chunk by itself: it goes in slices
             for lo in range(0, len(starts), CHUNK):
                 at = starts[lo:lo + CHUNK]
-                g.add(key, one[at], at, (two[at] >> np.uint64(33)).astype(np.int32))
+                g.add(key, one[at], at, two[at])
                 if g.size >= CHUNK:
-                    yield from flush(g)
+                    yield flush(g)
                     g = _Gathered()
         if g.size:
-            yield from flush(g)
+            yield flush(g)
     return rows
 
 
-def _ints(value) -> np.ndarray:
-    """The distinct integers of a list of lists (one Arrow scalar), null being none."""
+def _integers(value) -> np.ndarray:
+    """The integers of a list, or of a list of lists (one Arrow scalar); null has none."""
     if not value.is_valid:
         return np.zeros(0, np.int64)
-    return np.unique(value.values.flatten().to_numpy(zero_copy_only=False)).astype(np.int64)
+    values = value.values
+    while pa.types.is_list(values.type) or pa.types.is_large_list(values.type):
+        values = values.flatten()
+    return values.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _positions(batch, columns: tuple[str, str], i: int) -> np.ndarray:
+    return np.unique(np.concatenate([_integers(batch.column(c)[i]) for c in columns]))
 
 
 def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 35,
                    result: str = "dedup") -> DataFrame:
     """``df`` with a struct (n_words, n_removed, kept: the words left, joined by one space).
 
-    A row is known by ``id_col`` and a hash of its text; rows that agree in both are
-    occurrences of their own but get one answer. The texts are shuffled once, by that
+    Rows are known by the number of their ``id_col`` (by their text without one). Rows
+    that share it share their candidates, which only means more windows to look up, and
+    a struck window is told apart by its hash. The texts are shuffled once, by that
     key; both uses of them share the exchange.
     """
     id_, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    number = id_.cast("long") if isinstance(df.schema[id_col].dataType, IntegralType) else F.xxhash64(id_)
-    key1, key2 = free_name(df, "_key1"), free_name(df, "_key2")
-    keyed = df.withColumns({key1: F.coalesce(number, F.lit(-1).cast("long")), key2: F.hash(id_, text)})
+    number = id_.cast("long") if isinstance(df.schema[id_col].dataType, IntegralType) else F.when(id_.isNotNull(), F.xxhash64(id_))
+    key, place_sets, place_lists, struck = (free_name(df, n) for n in ("_key", "_places", "_place_lists", "_struck"))
+    keyed = df.withColumn(key, F.coalesce(number, F.xxhash64(text)))
 
-    found = keyed.select(F.col(key1).alias("key1"), F.col(key2).alias("key2"), F.col(f"`{text_col}`").alias("text"))
+    found = keyed.select(F.col(key).alias("key"), F.col(f"`{text_col}`").alias("text"))
     anchors = found.mapInArrow(_anchor_rows(window), _ANCHOR_ROW)
     counted = anchors.withColumn("seen", F.count(F.lit(1)).over(Window.partitionBy("hash")))
-    repeated = counted.where(F.col("positions").isNotNull() & (F.col("known") | (F.col("seen") > 1)))
-    positions, singles = free_name(df, "_positions"), free_name(df, "_singles")
-    by_key = repeated.groupBy(F.col("key1").alias(key1), F.col("key2").alias(key2)).agg(
-        F.collect_set("positions").alias(positions))
+    repeated = counted.where(F.col("places").isNotNull() | (F.col("place").isNotNull() & (F.col("seen") > 1)))
+    by_key = repeated.groupBy(F.col("key").alias(key)).agg(
+        F.collect_set("place").alias(place_sets), F.collect_set("places").alias(place_lists))
 
-    candidates = keyed.join(by_key, [key1, key2])
-    windows = candidates.mapInArrow(_window_rows(window, text_col, positions, key1, key2), _WINDOW_ROW)
+    windows = keyed.join(by_key, key).mapInArrow(
+        _window_rows(window, text_col, (place_sets, place_lists), key), _WINDOW_ROW)
     lone = windows.withColumn("seen", F.count(F.lit(1)).over(Window.partitionBy("hash", "second"))).where(
         F.col("start").isNotNull() & (F.col("seen") == 1))
-    lone = lone.groupBy(F.col("key1").alias(key1), F.col("key2").alias(key2)).agg(
-        F.array(F.array_agg("start")).alias(singles))
+    code = F.shiftleft(F.col("start").cast("long"), 31) + F.col("second")
+    lone = lone.groupBy(F.col("key").alias(key)).agg(F.collect_set(code).alias(struck))
 
     @F.arrow_udf("struct<n_words:bigint,n_removed:bigint,kept:string>")
-    def removed(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, places, struck in columns:
+    def removed(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, sets, lists, codes in columns:
             rows = []
             for i, t in enumerate(text_bytes(texts)):
                 words = t.split()
-                starts = candidate_starts(_ints(places[i]), len(words), window) if len(words) >= window else np.zeros(0, np.int64)
-                starts = np.setdiff1d(starts, _ints(struck[i]), assume_unique=True)
+                places = np.unique(np.concatenate((_integers(sets[i]), _integers(lists[i]))))
+                if not len(places) or len(words) < window:
+                    rows.append((len(words), 0, b" ".join(words).decode("utf-8", "replace")))
+                    continue
+                starts = candidate_starts(places, len(words), window)
+                out = _integers(codes[i])
+                if len(out):
+                    own = (starts.astype(np.int64) << 31) + _seconds(word_hashes(t, SPACED), window)[starts]
+                    starts = starts[~np.isin(own, out)]
                 gone = covered_words(starts, len(words), window)
-                kept = b" ".join(compress(words, (~gone).tolist())) if len(starts) else b" ".join(words)
-                rows.append((len(words), int(gone.sum()), kept.decode("utf-8", "replace")))
+                rows.append((len(words), int(gone.sum()), b" ".join(compress(words, (~gone).tolist())).decode("utf-8", "replace")))
             n, r, k = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(k, pa.string())],
                                              names=["n_words", "n_removed", "kept"])
 
-    out = keyed.join(by_key, [key1, key2], "left").join(lone, [key1, key2], "left")
+    out = keyed.join(by_key, key, "left").join(lone, key, "left")
     wanted = free_name(df, result)
     return out.select(*(F.col(f"`{c}`") for c in df.columns),
-                      removed(F.col(f"`{text_col}`"), F.col(positions), F.col(singles)).alias(wanted))
+                      removed(F.col(f"`{text_col}`"), F.col(place_sets), F.col(place_lists), F.col(struck)).alias(wanted))
 
 
 def op8_substring_dedup(documents: DataFrame) -> DataFrame:
