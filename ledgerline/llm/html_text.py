@@ -1,14 +1,21 @@
 """Main text of HTML pages: parser events, text-to-tag ratio, smoothing, clustering.
 
 The standard library's parser is fed piece by piece; its events build the lines
-(blocks) of the page, each with its number of characters, the tags met inside it
-and the container it stands in. Navigation, headers, footers, sidebars, notices,
-adverts, forms, comments and hidden parts are known by element, role, class or id
-and give no lines. Over the rest, the ratio of characters to tags of each line is
-smoothed by a Gaussian; lines at or above the mean of the smoothed ratios form the
-clusters, and the containers (an article, else a main, section or division) that
-hold a cluster are the content regions. All lines of a region are kept, short ones
-too, so a heading or a one-word paragraph of the article is not lost.
+(blocks) of the page, each with its number of characters, the tags met inside it,
+the characters in links and the container it stands in. Navigation, headers,
+footers, sidebars, notices, adverts, forms, comments and hidden parts are known by
+element, role, class or id and give no lines. Over all the rest, the ratio of
+characters to tags of each line is smoothed by a Gaussian; lines that are not mostly
+links, with their own ratio and the smoothed one at or above the mean of the
+smoothed ratios, form the clusters.
+
+A container that holds a cluster is content. A main or article that holds one is
+kept with all its lines, short ones too, so a heading, an intro or a one-word
+paragraph is not lost; an article without a cluster gives the page no text by its
+tag alone, and a card (an article named so, or with a linked heading) that holds
+none is left out, also inside a main. Where an article or main has no h1, an h1
+before it is kept, with what stands between. Elsewhere a container that holds
+lines of a cluster itself keeps all its own lines.
 
 Defined results: null or empty html, and pages without text, give the empty text;
 repeated rows are each extracted; an empty table gives an empty table; other input
@@ -21,6 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -50,31 +58,58 @@ SKIPPED_WORDS = frozenset(
 #: Elements to which name words are not applied: a class of the whole page says nothing of its parts.
 WHOLE = frozenset(("html", "body", "main"))
 CONTAINERS = frozenset(("article", "main", "section", "div", "td", "body", "center"))
+#: Names of articles that stand for another page.
+CARDS = frozenset("card cards teaser teasers preview excerpt summary tile thumb thumbnail".split())
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _WORDS = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    container: int
+    #: Characters and number of links.
+    linked: int
+    links: int
+    #: The heading element it stands in.
+    heading: str
+
+    @property
+    def link_heavy(self) -> bool:
+        return 2 * self.linked >= len(self.text) and self.heading != "h1"
+
+
+class Container(NamedTuple):
+    parent: int
+    tag: str
+    card: bool
+
+
 class LineParser(HTMLParser):
-    """Collects the lines of a page: (text, tags inside, container number, rank of the container)."""
+    """Collects the lines of a page and the tree of its containers, parents first."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int]] = []
-        self._open: list[tuple[str, bool, int, int]] = []  # element, skipped, container, rank
+        self.lines: list[Line] = []
+        self.containers = [Container(-1, "", False)]
+        self._open: list[tuple[str, bool, int]] = []  # element, skipped, container
         self._count: Counter[str] = Counter()
         self._skip = 0
-        self._containers = 0
         self._text: list[str] = []
         self._tags = 0
-        self._at = (0, 0)
+        self._linked = 0
+        self._links = 0
+        self._at = 0
+        self._heading = ""
 
     def _flush(self) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
-                self.lines.append((text, self._tags, *self._at))
+                self.lines.append(Line(text, self._tags, self._at, self._linked, self._links, self._heading))
             self._text.clear()
-        self._tags = 0
+        self._tags = self._linked = self._links = 0
 
     def _boilerplate(self, tag: str, attrs) -> bool:
         in_article = self._count["article"] > 0
@@ -107,19 +142,23 @@ class LineParser(HTMLParser):
         self._tags += 1
         if tag in VOID:
             return
+        if tag == "a":
+            if self._open and self._open[-1][0] == "a":  # links do not nest
+                self._pop_to("a")
+            self._links += not self._skip
         skipped = self._boilerplate(tag, attrs)
-        container, rank = (self._open[-1][2:]) if self._open else (0, 0)
+        container = self._open[-1][2] if self._open else 0
         if tag in CONTAINERS:
-            level = 3 if tag == "article" else 2 if tag == "main" else 1
-            if level >= rank:  # parts of an article belong to it
-                if not (rank == level == 3):
-                    self._containers += 1
-                    container = self._containers
-                rank = level
-        self._open.append((tag, skipped, container, rank))
+            names = " ".join(value or "" for name, value in attrs if name in ("class", "id")).lower()
+            card = tag == "article" and not CARDS.isdisjoint(_WORDS.findall(names))
+            self.containers.append(Container(container, tag, card))
+            container = len(self.containers) - 1
+        self._open.append((tag, skipped, container))
         self._count[tag] += 1
         self._skip += skipped
-        self._at = (container, rank)
+        self._at = container
+        if tag not in INLINE:
+            self._heading = tag if tag in HEADINGS else ""
 
     def _close_implied(self, tag: str) -> None:
         """A block ends an open paragraph; list items, cells and rows end their like."""
@@ -143,12 +182,12 @@ class LineParser(HTMLParser):
 
     def _pop_to(self, tag: str) -> None:
         while self._open:
-            name, skipped, *_ = self._open.pop()
+            name, skipped, _ = self._open.pop()
             self._count[name] -= 1
             self._skip -= skipped
             if name == tag:
                 break
-        self._at = self._open[-1][2:] if self._open else (0, 0)
+        self._at = self._open[-1][2] if self._open else 0
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -158,6 +197,7 @@ class LineParser(HTMLParser):
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self._flush()
+            self._heading = ""
         self._tags += 1
         if self._count[tag]:
             self._pop_to(tag)
@@ -165,6 +205,8 @@ class LineParser(HTMLParser):
     def handle_data(self, data):
         if not self._skip:
             self._text.append(data)
+            if self._count["a"]:
+                self._linked += len(" ".join(data.split()))
 
     def close(self):
         super().close()
@@ -178,22 +220,102 @@ def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(values, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
+class Page:
+    """Lines and containers of a page with what is known of each container's whole subtree."""
+
+    def __init__(self, lines: list[Line], containers: list[Container], strong: list[bool]):
+        self.lines, self.containers, self.strong = lines, containers, strong
+        n = len(containers)
+        self.n_lines, self.n_strong, self.own_strong = [0] * n, [0] * n, [0] * n
+        self.outside = [0] * n  # strong lines in no article or main
+        self.has_h1, self.linked_heading, self.has_article = [False] * n, [False] * n, [False] * n
+        self.items: list[list[tuple[int, int, bool]]] = [[] for _ in containers]  # first line, number, is a container
+        first = [len(lines)] * n
+        for i, line in enumerate(lines):
+            c = line.container
+            first[c] = min(first[c], i)
+            self.n_lines[c] += 1
+            self.own_strong[c] += strong[i]
+            self.has_h1[c] |= line.heading == "h1"
+            self.linked_heading[c] |= line.heading != "" and 2 * line.linked >= len(line.text)
+            self.items[c].append((i, i, False))
+        for c in range(n - 1, -1, -1):
+            self.n_strong[c] += self.own_strong[c]
+            self.outside[c] = 0 if containers[c].tag in ("article", "main") else self.outside[c] + self.own_strong[c]
+            self.has_article[c] |= containers[c].tag == "article" and self.n_lines[c] > 0
+            p = containers[c].parent
+            if p >= 0 and self.n_lines[c]:
+                first[p] = min(first[p], first[c])
+                self.n_lines[p] += self.n_lines[c]
+                self.n_strong[p] += self.n_strong[c]
+                self.outside[p] += self.outside[c]
+                self.has_h1[p] |= self.has_h1[c]
+                self.linked_heading[p] |= self.linked_heading[c]
+                self.has_article[p] |= self.has_article[c]
+                self.items[p].append((first[c], c, True))
+        for items in self.items:
+            items.sort()
+
+    def is_card(self, c: int) -> bool:
+        """An article that holds no cluster and stands for another page."""
+        at = self.containers[c]
+        return at.tag == "article" and not self.n_strong[c] and (at.card or self.linked_heading[c])
+
+    def content(self) -> list[int]:
+        """Numbers of the lines that are content, in page order."""
+        kept: list[int] = []
+        todo = [(0, False)]  # container, whole
+        while todo:
+            c, whole = todo.pop()
+            whole = whole or self.containers[c].tag in ("article", "main")
+            for _, i, is_container in self.items[c] if whole else self.chosen(c):
+                if not is_container:
+                    kept.append(i)
+                elif not self.is_card(i):
+                    todo.append((i, whole or not self.n_strong[i]))
+        return sorted(kept)
+
+    def chosen(self, c: int) -> list[tuple[int, int, bool]]:
+        """Items of a container outside articles and main that are content."""
+        items = self.items[c]
+        strong = [bool(self.n_strong[i] if is_container else self.strong[i]) for _, i, is_container in items]
+        keep = [s or (not is_container and self.own_strong[c] > 0)
+                for s, (_, _, is_container) in zip(strong, items, strict=True)]
+        if True in strong and not self.outside[c]:
+            lead = strong.index(True)
+            if not self.has_h1[items[lead][1]]:
+                h1 = [j for j in range(lead) if self.item_has_h1(items[j])]
+                for j in range(h1[-1], lead) if h1 else ():
+                    keep[j] = not self.is_link_item(items[j])
+        return [item for item, k in zip(items, keep, strict=True) if k]
+
+    def item_has_h1(self, item: tuple[int, int, bool]) -> bool:
+        _, i, is_container = item
+        return self.has_h1[i] if is_container else self.lines[i].heading == "h1"
+
+    def is_link_item(self, item: tuple[int, int, bool]) -> bool:
+        first, i, is_container = item
+        return all(x.link_heavy for x in self.lines[first:first + (self.n_lines[i] if is_container else 1)])
+
+
 def main_text(html: str, sigma: float = SIGMA) -> str:
-    """Lines of the content regions of a page, joined by one newline."""
+    """Lines of the content of a page, joined by one newline."""
     parser = LineParser()
     for i in range(0, len(html), PIECE):
         parser.feed(html[i:i + PIECE])
     if re.match(r"<[a-zA-Z/!?]", parser.rawdata):  # the page ends inside a tag or comment
         parser.rawdata = ""
     parser.close()
-    best = max((rank for *_, rank in parser.lines), default=0)
-    lines = [x for x in parser.lines if x[3] == best] if best > 1 else parser.lines
+    lines = parser.lines
     if not lines:
         return ""
-    ratio = np.array([len(text) / (tags + 1) for text, tags, *_ in lines])
+    ratio = np.array([len(line.text) / (line.tags + 1) for line in lines])
     smoothed = smooth(ratio, sigma)
-    regions = {line[2] for line, s in zip(lines, smoothed >= smoothed.mean() - 1e-9, strict=True) if s}
-    return "\n".join(line[0] for line in lines if line[2] in regions)
+    mean = smoothed.mean() - 1e-9
+    high = (smoothed >= mean).tolist()
+    strong = [h and r >= mean and not line.link_heavy for h, r, line in zip(high, ratio.tolist(), lines, strict=True)]
+    page = Page(lines, parser.containers, strong if any(strong) else high)
+    return "\n".join(lines[i].text for i in page.content())
 
 
 def extract_main_text(df: DataFrame, html_col: str = "html", sigma: float = SIGMA, result: str = "main_text") -> DataFrame:

@@ -24,6 +24,29 @@ def test_pages_without_article():
     assert main_text(page) == "Head\n" + ("A long paragraph of the text. " * 5).strip() + "\nShort."
 
 
+LONG = [f"Paragraph {i} " + "of the long text of this page. " * 4 for i in range(5)]
+PARAGRAPHS = "".join(f"<p>{p}</p>" for p in LONG)
+TEXT = "\n".join(p.strip() for p in LONG)
+
+
+def test_main_keeps_headline_and_intro_around_the_article():
+    page = f"<body><main><h1>Head</h1><p>Intro.</p><article>{PARAGRAPHS}<p>End.</p></article></main><div>Imprint</div></body>"
+    assert main_text(page) == f"Head\nIntro.\n{TEXT}\nEnd."
+    page = f"<body><div><a>x</a> <a>y</a></div><div><h1>Head</h1><p>Intro.</p><article>{PARAGRAPHS}</article></div></body>"
+    assert main_text(page) == f"Head\nIntro.\n{TEXT}"
+
+
+def test_a_teaser_article_does_not_replace_the_text():
+    card = '<article class="card"><h3><a href="/o">Other</a></h3><p>Teaser.</p></article>'
+    text = f'<div class="content"><h1>Head</h1>{PARAGRAPHS}<p>Short.</p></div>'
+    for page in (text + card, card + text, f"<main>{text}{card}</main>"):
+        assert main_text(f"<body>{page}</body>") == f"Head\n{TEXT}\nShort."
+
+
+def test_deeply_nested_containers():
+    assert main_text("<div>" * 3000 + "<p>x</p>" + "</div>" * 3000) == "x"
+
+
 def test_broken_pages():
     assert main_text("") == "" and main_text("<html><body></body></html>") == "" and main_text("plain  text") == "plain text"
     assert main_text("<article><p>a &am") == "a &am" and main_text("<article><p>a<!-- open") == "a"
