@@ -14,8 +14,12 @@ kept with all its lines, short ones too, so a heading, an intro or a one-word
 paragraph is not lost; an article without a cluster gives the page no text by its
 tag alone, and a card (an article named so, or with a linked heading) that holds
 none is left out, also inside a main. Where an article or main has no h1, an h1
-before it is kept, with what stands between. Elsewhere a container that holds
-lines of a cluster itself keeps all its own lines.
+before it is kept, with what stands between; articles beside it that are no cards
+are kept too. Elsewhere clusters are joined over their common container: its lines
+and parts stay from wall to wall, where they are next to a cluster. Walls are lists
+of links and copyright lines, and parts that hold one but no cluster; a container
+that holds lines of a cluster itself keeps all its own lines, walls or not, and
+below the body all its parts that are no walls.
 
 Defined results: null or empty html, and pages without text, give the empty text;
 repeated rows are each extracted; an empty table gives an empty table; other input
@@ -62,6 +66,7 @@ CONTAINERS = frozenset(("article", "main", "section", "div", "td", "body", "cent
 CARDS = frozenset("card cards teaser teasers preview excerpt summary tile thumb thumbnail".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _WORDS = re.compile(r"[a-z]+")
+_RIGHTS = re.compile(r"(©|\(c\)|copyright\b)|.*\ball rights reserved\b", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -228,7 +233,9 @@ class Page:
         n = len(containers)
         self.n_lines, self.n_strong, self.own_strong = [0] * n, [0] * n, [0] * n
         self.outside = [0] * n  # strong lines in no article or main
-        self.has_h1, self.linked_heading, self.has_article = [False] * n, [False] * n, [False] * n
+        self.has_h1, self.linked_heading = [False] * n, [False] * n
+        self.wall = [False] * n
+        self.walls = self._walls()
         self.items: list[list[tuple[int, int, bool]]] = [[] for _ in containers]  # first line, number, is a container
         first = [len(lines)] * n
         for i, line in enumerate(lines):
@@ -238,11 +245,11 @@ class Page:
             self.own_strong[c] += strong[i]
             self.has_h1[c] |= line.heading == "h1"
             self.linked_heading[c] |= line.heading != "" and 2 * line.linked >= len(line.text)
+            self.wall[c] |= self.walls[i]
             self.items[c].append((i, i, False))
         for c in range(n - 1, -1, -1):
             self.n_strong[c] += self.own_strong[c]
             self.outside[c] = 0 if containers[c].tag in ("article", "main") else self.outside[c] + self.own_strong[c]
-            self.has_article[c] |= containers[c].tag == "article" and self.n_lines[c] > 0
             p = containers[c].parent
             if p >= 0 and self.n_lines[c]:
                 first[p] = min(first[p], first[c])
@@ -251,11 +258,22 @@ class Page:
                 self.outside[p] += self.outside[c]
                 self.has_h1[p] |= self.has_h1[c]
                 self.linked_heading[p] |= self.linked_heading[c]
-                self.has_article[p] |= self.has_article[c]
+                self.wall[p] |= self.wall[c]
                 self.items[p].append((first[c], c, True))
         for items in self.items:
             items.sort()
 
+    def _walls(self) -> list[bool]:
+        """Lines that are lists of links (several links, or link lines on end), or copyright lines."""
+        heavy = [line.link_heavy for line in self.lines]
+        at = [line.container for line in self.lines]
+        beside = [False] * len(heavy)
+        for i in range(1, len(heavy)):
+            if heavy[i - 1] and heavy[i] and at[i - 1] == at[i]:
+                beside[i - 1] = beside[i] = True
+        return [(h and (b or line.links > 1)) or _RIGHTS.match(line.text) is not None
+                for h, b, line in zip(heavy, beside, self.lines, strict=True)]
+
     def is_card(self, c: int) -> bool:
         """An article that holds no cluster and stands for another page."""
         at = self.containers[c]
@@ -279,14 +297,25 @@ class Page:
         """Items of a container outside articles and main that are content."""
         items = self.items[c]
         strong = [bool(self.n_strong[i] if is_container else self.strong[i]) for _, i, is_container in items]
-        keep = [s or (not is_container and self.own_strong[c] > 0)
-                for s, (_, _, is_container) in zip(strong, items, strict=True)]
-        if True in strong and not self.outside[c]:
+        wall = [not s and (self.wall[i] if is_container else self.walls[i])
+                for s, (_, i, is_container) in zip(strong, items, strict=True)]
+        article = [is_container and self.containers[i].tag == "article" for _, i, is_container in items]
+        region = self.own_strong[c] > 0
+        whole = region and self.containers[c].tag not in ("", "body")
+        marked = not self.outside[c]  # all clusters stand in articles or mains: the rest is no text
+        keep = [s or (region and not is_container) or (whole and not w)
+                for s, w, (_, _, is_container) in zip(strong, wall, items, strict=True)]
+        for order in (range(len(items)), range(len(items) - 1, -1, -1)):
+            near = False
+            for j in order:
+                near = strong[j] or (near and not wall[j])
+                keep[j] |= near and (article[j] or not marked)
+        if True in strong and marked:
             lead = strong.index(True)
             if not self.has_h1[items[lead][1]]:
                 h1 = [j for j in range(lead) if self.item_has_h1(items[j])]
                 for j in range(h1[-1], lead) if h1 else ():
-                    keep[j] = not self.is_link_item(items[j])
+                    keep[j] |= not self.is_link_item(items[j])
         return [item for item, k in zip(items, keep, strict=True) if k]
 
     def item_has_h1(self, item: tuple[int, int, bool]) -> bool:

@@ -43,6 +43,35 @@ def test_a_teaser_article_does_not_replace_the_text():
         assert main_text(f"<body>{page}</body>") == f"Head\n{TEXT}\nShort."
 
 
+SHORT = "<h2>End</h2><p>Short closing.</p>"
+LINKS = '<ul><li><a href="/a">a</a></li><li><a href="/b">b</a></li></ul>'
+
+
+def test_sectioned_pages():
+    for tag in ("section", "div"):
+        parts = f"<{tag}>{PARAGRAPHS}</{tag}><{tag}>{SHORT}</{tag}>"
+        for page in (parts, f"<div class=content>{parts}</div>", f"<div>{LINKS}</div><div>{parts}</div><div>{LINKS}</div>"):
+            assert main_text(f"<body>{page}</body>") == f"{TEXT}\nEnd\nShort closing."
+
+
+def test_parts_of_the_text_container_and_table_cells():
+    for page in (f"<div>{PARAGRAPHS}<div>{SHORT}</div></div>", f"<div>{PARAGRAPHS}<div>{LINKS}</div><div>{SHORT}</div></div>",
+                 f"<table><tr><td>{LINKS}</td><td>{PARAGRAPHS}</td></tr><tr><td>{SHORT}</td></tr></table>"):
+        assert main_text(f"<body><div>{LINKS}</div>{page}</body>") == f"{TEXT}\nEnd\nShort closing."
+
+
+def test_two_articles():
+    for page in (f"<article>{PARAGRAPHS}</article><article>{SHORT}</article>",
+                 f"<div>{LINKS}</div><article>{PARAGRAPHS}</article><div><p>Posted.</p></div><article>{SHORT}</article>"):
+        assert main_text(f"<body>{page}</body>") == f"{TEXT}\nEnd\nShort closing."
+    again = PARAGRAPHS.replace("Paragraph", "Passage")
+    assert main_text(f"<body><article>{PARAGRAPHS}</article>{LINKS}<article>{again}</article></body>") == f"{TEXT}\n" + TEXT.replace("Paragraph", "Passage")
+
+
+def test_copyright_line_ends_the_text():
+    assert main_text(f"<body><div>{PARAGRAPHS}</div><div>Copyright 2020 Example</div></body>") == TEXT
+
+
 def test_deeply_nested_containers():
     assert main_text("<div>" * 3000 + "<p>x</p>" + "</div>" * 3000) == "x"
 
