@@ -2,8 +2,11 @@
 
 The mix holds as many words as the corpus. Each source has a target: its share by
 weight, at most ``MOST_COPIES`` times its own size, what is cut off being shared
-again by weight. The mix is made of blocks of equally many words. Blocks go to the
-sources by highest quotients ``target / (2k - 1)``, and each source's blocks go to
+again by weight. The mix is made of blocks of equally many words; a source whose size
+or target is less than ``source_blocks`` of them is dealt in blocks halved until it
+has as many, down to single words, so that it gets its target too. Among the sources
+of one block size, blocks that hold their targets' total go to
+the sources by highest quotients ``target / (2k - 1)``, and each source's blocks go to
 its shards by highest quotients of the shard sizes, so every shard has an integer
 quota. A shard lays its documents end to end in a seeded order and cuts that strip
 into blocks; its quota takes every block as often as it goes round, and the
@@ -48,6 +51,8 @@ class MixSpec:
     #: Words in a block: this part of the corpus, between 1 and ``most_block_words``.
     blocks: int = 100_000
     most_block_words: int = 512
+    #: Blocks that the size and the target of a source hold at least, unless its blocks are words.
+    source_blocks: int = 200
     #: Words in a shard, about; a source has at most ``FINE`` shards.
     shard_words: int = 100_000
 
@@ -135,10 +140,19 @@ def mix_sources(df: DataFrame, text_col: str = "text", source_col: str = "source
                        .agg(F.sum(size).alias("words")), "mix-sizes")
     sources = source_targets(fine.groupBy("key", "source").agg(F.sum("words").alias("source_size")), spec)
     block = F.greatest(F.lit(1), F.least(F.lit(spec.most_block_words), F.floor(F.col("all_words") / spec.blocks))).cast("long")
-    sources = sources.withColumns({"block": block, "one": F.lit(1)})
-    sources = sources.withColumn("all_blocks", F.round(F.col("all_words") / F.col("block")).cast("long"))
+    # Halved blocks: by the least power of two at which the source's lesser side holds enough of them.
+    lesser = F.greatest(F.lit(1.0), F.least(F.col("source_size").cast("double"), F.col("target")))
+    halvings = F.ceil(F.log2(F.greatest(F.lit(1.0), spec.source_blocks * F.col("most_block") / lesser)))
+    sources = sources.withColumn("most_block", block).withColumn(
+        "block", F.greatest(F.lit(1), F.floor(F.col("most_block") / F.pow(F.lit(2.0), halvings))).cast("long"))
+    whole = F.col("block") == F.col("most_block")
+    of_all = Window.partitionBy(F.lit(0)).orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    of_block = Window.partitionBy("block").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    words = F.when(whole, F.col("all_words") - F.sum(F.when(whole, 0.0).otherwise(F.col("target"))).over(of_all)).otherwise(
+        F.sum("target").over(of_block))
+    sources = sources.withColumn("all_blocks", F.round(words / F.col("block")).cast("long"))
     shards = F.greatest(F.lit(1), F.least(F.lit(FINE), F.ceil(F.col("source_size") / spec.shard_words))).cast("long")
-    sources = materialize(apportion(sources, ["one"], ["place"], "target", "all_blocks", "blocks").withColumn("shards", shards),
+    sources = materialize(apportion(sources, ["block"], ["place"], "target", "all_blocks", "blocks").withColumn("shards", shards),
                           "mix-sources")
 
     shard_of = lambda hashed: F.floor(hashed * F.col("shards") / FINE).cast("long")

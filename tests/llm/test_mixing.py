@@ -61,6 +61,24 @@ def test_targets_and_taken(spark):
     check(op6_source_mix(df).collect(), 0.02)
 
 
+def test_small_sources_get_their_targets_at_large_blocks(spark):
+    words = lambda n, i: " ".join(f"w{i}x{j}" for j in range(n))
+    rows = [(i, words(40, i), "z80") for i in range(2)] + [(10 + i, words(50, i), "z200") for i in range(4)]
+    rows += [(20 + i, words(110, i), "z1100") for i in range(10)] + [(30, words(1, 30), "z1")]
+    rows += [(100 + i, words(3000, i), f"big{i % 2}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = mix_sources(df, spec=MixSpec(blocks=1, most_block_words=512)).select("source", "mix.*").collect()
+    taken, target = defaultdict(int), {}
+    for r in out:
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert {s: t for s, t in target.items() if s[0] == "z"} == {"z1": 3.0, "z80": 240.0, "z200": 600.0, "z1100": 3300.0}
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= 0.01 * t + 1, (s, taken[s], t)
+    assert abs(sum(taken.values()) - sum(target.values())) <= 0.01 * sum(target.values())
+
+
 def test_reruns_agree_over_any_partitioning(spark):
     df = documents(spark)
     assert rows_of(op6_source_mix(df)) == rows_of(op6_source_mix(df.repartition(13)))
