@@ -11,7 +11,10 @@ the first link, ``low_quality``) and ``toxic``; the interface takes any chain.
 
 Training uses a bounded sample of labelled rows (``TrainSpec.max_rows``, half of
 them positive for the last category if there are as many, taken by hash of the id);
-only their hashed features reach the driver. Scoring covers every row.
+only their hashed features reach the driver. Sampled rows weigh as many labelled rows
+of their class as they stand for, in the models and in the choice of the thresholds,
+so probabilities and verdicts refer to the class shares of all labels at any size.
+Scoring covers every row.
 
 Defined results: null and empty texts have no features and get the base rate;
 rows with a null label or id do not train; a category without both classes in the
@@ -121,23 +124,25 @@ def choose_features(rows: Rows, y: np.ndarray, train: np.ndarray, spec: TrainSpe
     return np.sort(best[score[best] > 0])
 
 
-def fit_link(rows: Rows, y: np.ndarray, before: np.ndarray, train: np.ndarray, spec: TrainSpec) -> Link:
-    """Logistic regression by Newton steps with an L2 penalty."""
-    share = float(np.clip(y[train].mean() if train.any() else 0.0, 1e-4, 1 - 1e-4))
+def fit_link(rows: Rows, y: np.ndarray, before: np.ndarray, train: np.ndarray, spec: TrainSpec,
+             weight: np.ndarray | None = None) -> Link:
+    """Logistic regression of weighted rows by Newton steps with an L2 penalty."""
+    weight = np.ones(rows.n) if weight is None else weight
+    share = float(np.clip(np.average(y[train], weights=weight[train]) if train.any() else 0.0, 1e-4, 1 - 1e-4))
     constant = float(np.log(share / (1 - share)))
     if not train.any() or len(np.unique(y[train])) < 2:
         return Link(np.zeros(0, np.int64), np.zeros(0), np.zeros(before.shape[1]), constant)
     chosen = choose_features(rows, y, train, spec)
     x = np.hstack((rows.dense(chosen), before, np.ones((rows.n, 1))))[train]
-    target = y[train].astype(float)
+    target, weight = y[train].astype(float), weight[train]
     w = np.zeros(x.shape[1])
     w[-1] = constant
     penalty = np.full(len(w), spec.l2)
     penalty[-1] = 0.0
     for _ in range(spec.steps):
         p = sigmoid(x @ w)
-        gradient = x.T @ (p - target) + penalty * w
-        hessian = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x
+        gradient = x.T @ (weight * (p - target)) + penalty * w
+        hessian = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x
         hessian[np.diag_indices_from(hessian)] += penalty + 1e-9
         move = np.linalg.solve(hessian, gradient)
         w -= move
@@ -147,7 +152,7 @@ def fit_link(rows: Rows, y: np.ndarray, before: np.ndarray, train: np.ndarray, s
     return Link(chosen, w[:k], w[k:-1], float(w[-1]))
 
 
-def fit_chain(features: list[np.ndarray], labels: np.ndarray, spec: TrainSpec) -> tuple[list[Link], np.ndarray]:
+def fit_chain(features: list[np.ndarray], labels: np.ndarray, spec: TrainSpec, weight: np.ndarray | None = None) -> tuple[list[Link], np.ndarray]:
     """The links in chain order, and the out-of-fold probabilities (row by category)."""
     rows, n, categories = Rows(features), len(features), labels.shape[1]
     fold = np.arange(n) % spec.folds
@@ -158,20 +163,22 @@ def fit_chain(features: list[np.ndarray], labels: np.ndarray, spec: TrainSpec) -
         for f in range(spec.folds):
             held = fold == f
             if held.any():
-                link = fit_link(rows, y, before, ~held, spec)
+                link = fit_link(rows, y, before, ~held, spec, weight)
                 out_of_fold[held, c] = sigmoid(link.logits(rows.dense(link.chosen), before))[held]
-        links.append(fit_link(rows, y, before, np.ones(n, bool), spec))
+        links.append(fit_link(rows, y, before, np.ones(n, bool), spec, weight))
     return links, out_of_fold
 
 
-def best_threshold(y: np.ndarray, p: np.ndarray, least: float = 0.3, most: float = 0.7) -> float:
-    """The threshold between the bounds with the best F1 on out-of-fold probabilities (0.5 without both classes)."""
+def best_threshold(y: np.ndarray, p: np.ndarray, least: float = 0.3, most: float = 0.7,
+                   weight: np.ndarray | None = None) -> float:
+    """The threshold between the bounds with the best weighted F1 on out-of-fold probabilities (0.5 without both classes)."""
     if not len(y) or len(np.unique(y)) < 2:
         return 0.5
     tried = np.linspace(least, most, 41).round(2)
     called = p[:, None] >= tried
-    hits = (called & (y == 1)[:, None]).sum(axis=0)
-    f1 = 2 * hits / np.maximum(called.sum(axis=0) + (y == 1).sum(), 1)
+    weight = np.ones(len(y)) if weight is None else weight
+    hits = weight @ (called & (y == 1)[:, None])
+    f1 = 2 * hits / (weight @ called + weight @ (y == 1))
     return float(tried[np.flatnonzero(f1 == f1.max())].mean().round(2))
 
 
@@ -197,17 +204,29 @@ class Chain:
         return out.round(6)
 
 
+def judged_labels(labels: DataFrame, id_col: str, categories: dict[str, Column]) -> DataFrame:
+    """One row for each id with all categories labelled."""
+    named = labels.select(F.col(f"`{id_col}`").alias("label_id"), *(c.cast("int").alias(f"y{i}") for i, c in enumerate(categories.values())))
+    return named.dropna().groupBy("label_id").agg(*(F.max(f"y{i}").alias(f"y{i}") for i in range(len(categories))))
+
+
 def sample_labels(labels: DataFrame, id_col: str, categories: dict[str, Column], spec: TrainSpec) -> DataFrame:
     """At most ``max_rows`` labelled ids by hash, half of them positive for the last category if there are as many."""
-    named = labels.select(F.col(f"`{id_col}`").alias("label_id"), *(c.cast("int").alias(f"y{i}") for i, c in enumerate(categories.values())))
     last = f"y{len(categories) - 1}"
-    judged = named.dropna().groupBy("label_id").agg(*(F.max(f"y{i}").alias(f"y{i}") for i in range(len(categories))))
+    judged = judged_labels(labels, id_col, categories)
     order = [F.xxhash64("label_id"), "label_id"]
     positive = judged.where(F.col(last) == 1).orderBy(*order).limit(spec.max_rows // 2)
     negative = judged.where(F.col(last) != 1).orderBy(*order).limit(spec.max_rows // 2)
     return positive.unionByName(negative)
 
 
+def stands_for(labels: DataFrame, id_col: str, categories: dict[str, Column], spec: TrainSpec) -> dict[bool, float]:
+    """How many labelled ids a sampled one stands for, by whether it is positive for the last category."""
+    positive = (F.col(f"y{len(categories) - 1}") == 1).alias("positive")
+    counts = judged_labels(labels, id_col, categories).groupBy(positive).count().collect()
+    return {r["positive"]: max(1.0, r["count"] / (spec.max_rows // 2)) for r in counts}
+
+
 def train_chain(df: DataFrame, text_col: str, id_col: str, labels: DataFrame, categories: dict[str, Column],
                 spec: TrainSpec | None = None, label_id: str = "doc_id") -> Chain:
     """Fit the chain on labelled rows of ``df``; ``categories`` maps names, in chain order, to 0/1 columns of ``labels``."""
@@ -227,8 +246,12 @@ def train_chain(df: DataFrame, text_col: str, id_col: str, labels: DataFrame, ca
     order = sorted(range(len(ids)), key=lambda i: (hash_order(ids[i]), str(ids[i])))
     features = [fetched["features"][i].values.to_numpy() for i in order]
     y = np.array([[fetched[f"y{c}"][i].as_py() for c in range(len(categories))] for i in order]).reshape(len(order), len(categories))
-    links, out_of_fold = fit_chain(features, y, spec)
-    return Chain(list(categories), links, [best_threshold(y[:, c], out_of_fold[:, c]) for c in range(len(categories))])
+    times = stands_for(labels, label_id, categories, spec)
+    weight = np.array([times[bool(last == 1)] for last in y[:, -1]])
+    weight = weight / weight.mean() if len(weight) else weight
+    links, out_of_fold = fit_chain(features, y, spec, weight)
+    return Chain(list(categories), links,
+                 [best_threshold(y[:, c], out_of_fold[:, c], weight=weight) for c in range(len(categories))])
 
 
 def hash_order(value) -> int:

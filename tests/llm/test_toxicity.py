@@ -54,6 +54,18 @@ def test_bound_of_the_sample(spark):
     assert len(rows) == 40 == len({r.label_id for r in rows}) and sum(r.y1 for r in rows) == 20
 
 
+def test_probabilities_refer_to_the_class_shares_of_all_labels(spark):
+    docs = spark.createDataFrame([(i, "same text") for i in range(400)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 20 == 0)) for i in range(400)], LABELS)
+    for max_rows in (800, 20):
+        chain = T.train_chain(docs, "text", "doc_id", labels, T.label_chain(), T.TrainSpec(max_rows=max_rows))
+        assert abs(chain.probabilities([b"same text"])[0, 1] - 0.05) < 1e-3
+    y, p = np.array([1, 1, 0, 0]), np.array([0.7, 0.5, 0.45, 0.2])
+    assert T.best_threshold(y, p) == 0.48
+    y, p = np.array([1, 1, 0]), np.array([0.7, 0.4, 0.45])
+    assert T.best_threshold(y, p) < 0.41 and T.best_threshold(y, p, weight=np.array([1.0, 1.0, 9.0])) > 0.45
+
+
 def test_edge_tables(spark):
     docs, labels = corpus(spark, 60)
     none = spark.createDataFrame([], LABELS)
