@@ -8,9 +8,11 @@ part lets it jump the whole pattern. Where the shift is zero, the bucket of the
 block names the patterns that end with it, and direct comparison confirms them.
 
 The patterns of a benchmark are handed to the tasks, so their size is measured
-first: one table up to ``SHARD_WORDS`` words, otherwise the items are dealt into as
-many shards as keep each below it, and the documents pass one shard after another,
-written out in between; each pass adds its hits.
+first: one table up to ``SHARD_WORDS`` words. Otherwise repeated items are taken once,
+long ones are cut into pieces that overlap by a window less one word, and hash ranges
+of the pieces are packed into shards by their measured words, so none is above it;
+the documents pass one shard after another, written out in between, and each pass
+adds its hits.
 
 Defined results: null and wordless texts have no words and no hits; items without
 words or without an id are never listed (words of an item without id still count as
@@ -132,6 +134,60 @@ def _pass(tables) -> object:
     return search
 
 
+def item_pieces(items: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """Distinct (item, text, words, hash): items above an eighth of a shard in pieces that hold all their windows."""
+    most = max(1, shard_words // 8)
+
+    @F.arrow_udf("array<string>")
+    def pieces(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in column:
+            rows = []
+            for text in text_bytes(part):
+                words = words_of(text) if len(text) // 2 + 1 > most else []
+                if len(words) <= window:
+                    rows.append([text.decode() if not words else b" ".join(words).decode()])
+                    continue
+                # Words of mean length: a piece is about `most` words by the measure of bytes.
+                step = max(1, most * 2 * len(words) // (sum(map(len, words)) + len(words)) - window + 1)
+                rows.append([b" ".join(words[i:i + step + window - 1]).decode()
+                             for i in range(0, len(words) - window + 1, step)])
+            yield pa.array(rows, pa.list_(pa.string()))
+
+    cut = items.distinct().select("item", F.explode(pieces("text")).alias("text")).distinct()
+    return cut.select("item", "text", item_words().alias("words"), F.xxhash64("item", "text").alias("hash"))
+
+
+def item_words():
+    """An item of n bytes has at most n / 2 + 1 words."""
+    return F.floor(F.octet_length("text") / 2) + 1
+
+
+def pack(sizes: dict[int, int], most: int) -> list[tuple[int, int]]:
+    """Ranges (first, last) of consecutive buckets that hold at most ``most`` words, or one bucket."""
+    ranges: list[tuple[int, int]] = []
+    held = 0
+    for bucket, words in sorted(sizes.items()):
+        if ranges and held + words <= most:
+            ranges[-1], held = (ranges[-1][0], bucket), held + words
+        else:
+            ranges.append((bucket, bucket))
+            held = words
+    return ranges
+
+
+def item_shards(items: DataFrame, window: int, shard_words: int, words: int) -> list[DataFrame]:
+    """The items in parts of at most ``shard_words`` words (a single larger piece is a part of its own)."""
+    cut = materialize(item_pieces(items, window, shard_words), "contamination-items")
+    n = 16 * -(-words // shard_words)
+    while True:
+        bucket = F.pmod("hash", F.lit(n))
+        found = cut.groupBy(bucket.alias("b")).agg(F.sum("words").alias("words"), F.count("*").alias("n")).collect()
+        if all(r["words"] <= shard_words or r["n"] == 1 for r in found):
+            break
+        n *= 2
+    return [cut.where(bucket.between(a, b)) for a, b in pack({r["b"]: r["words"] for r in found}, shard_words)]
+
+
 def find_contamination(df: DataFrame, text_col: str, benchmark: DataFrame, id_col: str = "item_id",
                        item_col: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS,
                        result: str = "contamination") -> DataFrame:
@@ -139,16 +195,16 @@ def find_contamination(df: DataFrame, text_col: str, benchmark: DataFrame, id_co
     spark = df.sparkSession
     items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("item"),
                              F.coalesce(F.col(f"`{item_col}`"), F.lit("")).alias("text"))
-    # An item of n bytes has at most n / 2 + 1 words; the sum bounds the table before anything is fetched.
-    words = items.agg(F.sum(F.floor(F.octet_length("text") / 2) + 1)).first()[0] or 0
-    shards = max(1, -(-words // shard_words))
+    # The sum bounds the table before anything is fetched.
+    words = items.agg(F.sum(item_words())).first()[0] or 0
+    shards = [items] if words <= shard_words else item_shards(items, window, shard_words, words)
     column = free_name(df, result)
     out = df.withColumn(column, F.lit(None).cast(HITS_DDL))
-    for shard in range(shards):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard).collect()
+    for shard, part in enumerate(shards):
+        rows = part.select("item", "text").collect()
         tables = spark.sparkContext.broadcast(matchers([(r["item"], r["text"].encode()) for r in rows], window))
         out = out.withColumn(column, _pass(tables)(f"`{text_col}`", f"`{column}`"))
-        if shards > 1:  # one pattern table in a worker's memory at a time
+        if len(shards) > 1:  # one pattern table in a worker's memory at a time
             out = materialize(out, f"contamination-{shard}")
     return out
 

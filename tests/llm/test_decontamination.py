@@ -59,6 +59,18 @@ def test_many_shards_give_the_same(spark):
     assert rows_of(one) == rows_of(many)
 
 
+def test_each_shard_is_bounded(spark):
+    long = prose(60, 900)
+    rows = [(1, long)] + [(2, prose(61, 30))] * 300 + [(i, prose(i, 20)) for i in range(3, 23)]
+    items = spark.createDataFrame(rows, ITEM_DDL)
+    plain = items.select(F.col("item_id").cast("string").alias("item"), "text")
+    total = plain.agg(F.sum(D.item_words())).first()[0]
+    for part in D.item_shards(plain, 10, 800, total):
+        assert part.agg(F.sum("words")).first()[0] <= 800
+    docs = spark.createDataFrame([(1, "x " + long), (2, prose(61, 30)), (3, " ".join(long.split()[395:409]))], "doc_id bigint, text string")
+    assert rows_of(D.find_contamination(docs, "text", items)) == rows_of(D.find_contamination(docs, "text", items, shard_words=800))
+
+
 def test_edge_tables(spark):
     docs, items = sample(spark)
     assert D.op5_decontamination(empty(spark), items).collect() == []
