@@ -13,11 +13,12 @@ and at their first common token enough of both sets must lie ahead. So candidate
 All orders put tokens seen often last (by the logarithm of a count over the whole
 corpus) and differ in how they order tokens within a frequency class.
 
-No group is ever expanded into all its pairs. In each group every class is first
+In each group every class is first
 paired with one hub: the class with most copies, then the one with fewest rarer
 tokens, which is the most central of its variants. Verified links give labels, and
 only classes of different labels in one group still have to be compared: outliers
-against the rest of the group. Components follow from all verified links, so no link
+against the rest of the group, limited by size and position only, so m classes of one
+group that no hub links still give up to about m * m / 2 pairs. Components follow from all verified links, so no link
 between different texts is lost; links inside a labelled cluster are not listed.
 
 Class ids are 64-bit hashes of the token sets.
