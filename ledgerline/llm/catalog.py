@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontamination, html_text, jaccard_join, mixing, pii, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
+from ledgerline.llm import (
+    decontamination,
+    html_text,
+    jaccard_join,
+    merkle,
+    mixing,
+    pii,
+    quality_rules,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    toxicity,
+    url_filter,
+    whitening,
+)
 from ledgerline.sources.tables import read_table
 
 
@@ -29,6 +43,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _over(substring_dedup.op8_substring_dedup, "documents"),
         _over(jaccard_join.op9_jaccard_join, "documents"),
         _over(quality_rules.op10_quality_rules, "documents"),
+        _over(whitening.op11_embedding_whitening, "embeddings"),
+        _over(merkle.op12_merkle_manifest, "documents"),
+        _over(simhash.op13_simhash, "documents"),
     )
     return {q.__name__: q for q in found}
 
@@ -36,4 +53,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express on whole tables."""
     return {"op1_url_filter": url_filter.OP1_SQL, "op5_decontamination": decontamination.OP5_SQL,
-            "op6_source_mix": mixing.OP6_SQL, "op8_substring_dedup": substring_dedup.OP8_SQL}
+            "op6_source_mix": mixing.OP6_SQL, "op8_substring_dedup": substring_dedup.OP8_SQL,
+            "op12_merkle_manifest": merkle.OP12_SQL}
