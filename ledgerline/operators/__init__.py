@@ -1,6 +1,6 @@
 """Reusable relational operators (DataFrame in, DataFrame out)."""
 
-from ledgerline.operators.activity import daily_counts, group_changes  # noqa: F401
+from ledgerline.operators.activity import daily_counts, distinct_group_changes, group_changes, merged_windows  # noqa: F401
 from ledgerline.operators.bridge import best_match_by_key, bridge_on_email  # noqa: F401
 from ledgerline.operators.joins import left_join_skew_safe  # noqa: F401
 from ledgerline.operators.sorting import display_order  # noqa: F401

@@ -273,6 +273,12 @@ def q_active_students_daily(spark, sf_dir):
     return retention.active_students_daily(*_crm(spark, sf_dir))
 
 
+@register("active_by_invoice_windows")
+def q_active_by_invoice_windows(spark, sf_dir):
+    """Distinct active students per day and location, every invoice opening a window of its own."""
+    return retention.active_by_invoice_windows(*_crm(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------- text helpers
 
 @register("clean_location")

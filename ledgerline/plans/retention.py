@@ -21,7 +21,7 @@ from ledgerline import params as P
 from ledgerline.functions._col import as_of_date, lit_date
 from ledgerline.functions.dates import date_parts
 from ledgerline.functions.text import clean_location, email_key, initcap_words, ws_trim
-from ledgerline.operators.activity import daily_counts, group_changes
+from ledgerline.operators.activity import daily_counts, distinct_group_changes, group_changes
 from ledgerline.operators.bridge import bridge_on_email
 from ledgerline.operators.joins import left_join_skew_safe
 from ledgerline.operators.spines import month_range, month_spine_end
@@ -312,3 +312,40 @@ def active_students_daily(contact: DataFrame, cfv: DataFrame, company: DataFrame
         everywhere.alias("total_students_filtered"), "active_students",
         (F.col("members") - F.col("active_students")).alias("inactive_students"),
         everywhere.alias("overall_total_students"))
+
+
+# --------------------------------------------------------------------------
+# Layer 3 with one window per invoice
+# --------------------------------------------------------------------------
+
+def invoice_windows(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale: DataFrame) -> DataFrame:
+    """One window per invoice day of a known company: studentid, location ('Unknown' if none), first and last day.
+
+    Invoices of one company and day are one window; they are combined map-side before the company's
+    location joins them, so a company holds one row per calendar day at most.
+    """
+    ids = company.select(F.col("companyid").alias("studentid")).where(F.col("studentid").isNotNull())
+    days = (company_sales(acc_sale).select(F.col("companyid").alias("studentid"), F.col("sale_date").alias("first_date")).distinct()
+            .join(ids, "studentid", "left_semi"))
+    loc = company_location(contact, cfv, company)
+    return days.join(loc, "studentid", "left").select(
+        "studentid", F.coalesce(F.col("location"), F.lit(P.UNKNOWN)).alias("location"), "first_date",
+        F.col("first_date").alias("last_date"))
+
+
+def active_by_invoice_windows(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale: DataFrame,
+                              grace: int = P.GRACE_DAYS) -> DataFrame:
+    """Per day and location: students within ``grace`` days of any of their invoices.
+
+    The daily series of layer 3 keeps a student active from the first to the last
+    invoice, pauses included; here each invoice is a window of its own, and a
+    student counts once on a day however many windows hold it.
+    ``active_everywhere`` is the count over all locations.
+    """
+    windows = invoice_windows(contact, cfv, company, acc_sale)
+    lo, hi = _bounds_scalar(company_invoice_window(acc_sale, company), grace)
+    daily = daily_counts(distinct_group_changes(windows, grace, "location", "studentid"), lo, hi)
+    everywhere = F.sum("active_students").over(Window.partitionBy("date_date")).cast("bigint")
+    # a student stands in one location, so the distinct count over all locations is the sum of theirs
+    return daily.select("date_date", *date_parts("date_date"), "location", F.col("members").alias("total_students"), "active_students",
+                        everywhere.alias("active_everywhere"))
