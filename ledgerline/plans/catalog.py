@@ -20,6 +20,7 @@ from ledgerline.functions.text import like_prefix, clean_location, clean_town, p
 from ledgerline.operators.spines import month_spine, snapshot_date
 from ledgerline.plans import churn, finance, neobank, programme, retention
 from ledgerline.sources.fixtures import RoleTables
+from ledgerline.sources.sinks import read_layer, scratch_path, write_layer
 
 AS_OF = P.TEST_AS_OF
 START = P.TEST_MONTH_SPINE_START
@@ -28,9 +29,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
-def register(name: str):
+#: Keys whose query saves a layer and reads it back; building any other key runs nothing.
+SAVING: set[str] = set()
+
+
+def register(name: str, saves: bool = False):
     def deco(fn):
         _QUERIES[name] = fn
+        if saves:
+            SAVING.add(name)
         return fn
     return deco
 
@@ -225,6 +232,15 @@ def q_student_activity_monthly(spark, sf_dir):
     return retention.student_activity_monthly(*_crm(spark, sf_dir), as_of=AS_OF, start=START)
 
 
+@register("active_distinct", saves=True)
+def q_active_distinct(spark, sf_dir):
+    """Distinct active students by month, quarter, year and place, read from a saved layer of bitmaps."""
+    activity = retention.student_activity_monthly(*_crm(spark, sf_dir), as_of=AS_OF, start=START)
+    layer, path = retention.active_student_bitmaps(activity), scratch_path(spark, "active-student-bitmaps")
+    write_layer(layer, path, ["date_year"])
+    return retention.active_distinct(read_layer(spark, path, layer.schema))
+
+
 @register("student_activation")
 def q_student_activation(spark, sf_dir):
     return retention.student_activation(*_crm(spark, sf_dir), as_of=AS_OF)

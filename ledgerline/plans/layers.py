@@ -34,7 +34,8 @@ def run_finance_layers(spark: SparkSession, tables: Mapping[str, DataFrame], out
 
 def run_tutoring_layers(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
                         as_of=None, churn_as_of=None) -> dict[str, str]:
-    """Write the five tutoring layers (activity, activation, daily series, programme revenue, churn).
+    """Write the five tutoring layers (activity, activation, daily series, programme revenue, churn) and, from the
+    saved activity, the bitmaps of active students.
 
     ``churn_as_of`` is "today" of the churn layer, which reads other invoices
     than the first layers do; by default it is ``as_of``.
@@ -56,6 +57,9 @@ def run_tutoring_layers(spark: SparkSession, tables: Mapping[str, DataFrame], ou
     for name, (df, parts) in layers.items():
         paths[name] = f"{out}/{name}"
         write_layer(df, paths[name], parts)
+    activity = read_layer(spark, paths["student_activity_monthly"], layers["student_activity_monthly"][0].schema)
+    paths["active_student_bitmaps"] = f"{out}/active_student_bitmaps"
+    write_layer(retention.active_student_bitmaps(activity), paths["active_student_bitmaps"], ["date_year"])
     return paths
 
 

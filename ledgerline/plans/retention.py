@@ -22,6 +22,7 @@ from ledgerline.functions._col import as_of_date, lit_date
 from ledgerline.functions.dates import date_parts
 from ledgerline.functions.text import clean_location, email_key, initcap_words, ws_trim
 from ledgerline.operators.activity import daily_counts, distinct_group_changes, group_changes
+from ledgerline.operators.bitmaps import distinct_counts_of_sets, member_bitmaps
 from ledgerline.operators.bridge import bridge_on_email
 from ledgerline.operators.joins import left_join_skew_safe
 from ledgerline.operators.spines import month_range, month_spine_end
@@ -185,6 +186,37 @@ def student_activity_monthly(contact: DataFrame, cfv: DataFrame, company: DataFr
         F.when(active, F.col("contact_id")).alias("contact_id_active"))
 
 
+# --------------------------------------------------------------------------
+# Layer 1b: who was active, as bitmaps a reader can merge
+# --------------------------------------------------------------------------
+
+#: Groupings that the active-student counts are read at; any others can be read from the same layer.
+ACTIVE_GRAINS = {
+    "month and location": ["date_year", "date_quarter", "date_month", "location_name"],
+    "quarter and location": ["date_year", "date_quarter", "location_name"],
+    "year and location": ["date_year", "location_name"],
+    "location": ["location_name"],
+    "month": ["date_year", "date_quarter", "date_month"],
+    "quarter": ["date_year", "date_quarter"],
+    "year": ["date_year"],
+    "all": [],
+}
+
+
+def active_student_bitmaps(activity: DataFrame) -> DataFrame:
+    """Layer 1b: per month and location, bitmaps of the active students' contact ids.
+
+    The report's ``contact_id_active`` exists so that a reader can count distinct students
+    over any months and places; this layer answers that without the student x month rows.
+    """
+    return member_bitmaps(activity, ACTIVE_GRAINS["month and location"], "contact_id_active")
+
+
+def active_distinct(bitmaps: DataFrame) -> DataFrame:
+    """Distinct active students at every grain of ``ACTIVE_GRAINS``, from the bitmap layer alone."""
+    return distinct_counts_of_sets(bitmaps, ACTIVE_GRAINS, "active_students")
+
+
 # --------------------------------------------------------------------------
 # Layer 2: activation cohorts
 # --------------------------------------------------------------------------

@@ -43,6 +43,13 @@ def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 _MATERIALIZED: list[str] = []
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``; :func:`release_materialized` removes it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/layers/{name}-{uuid.uuid4().hex}"
+    _MATERIALIZED.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and return a scan of it.
 
@@ -52,9 +59,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     lost executor never sends the job back to the raw tables.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/layers/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    _MATERIALIZED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,11 +17,14 @@ def test_every_report_key_is_registered(catalog):
 
 
 def test_building_a_query_runs_nothing(spark, sf_dir, catalog):
-    """No job but the footer reads of the tables, and nothing written."""
+    """No job but the footer reads of the tables, and nothing written (but for keys that show a saved layer)."""
+    from ledgerline.plans.catalog import SAVING
     from ledgerline.sources.sinks import materialized_paths
     written = materialized_paths()
     sc = spark.sparkContext
     for name, fn in catalog.items():
+        if name in SAVING:
+            continue
         sc.setJobGroup(f"build-{name}", name)
         df = fn(spark, sf_dir)
         assert df.columns, name

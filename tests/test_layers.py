@@ -75,7 +75,7 @@ def test_batch_job_writes_every_layer(spark, small):
     paths = run(spark, f"{base}/out", source=f"{base}/roles", as_of="latest")   # = 2001-08-01 in this data
     assert set(paths) == {"finance_actuals", "finance_forecasts", "finance_variance", "fee_transactions_enriched",
                           "student_activity_monthly", "student_activation", "active_students_daily",
-                          "revenue_by_programme", "customer_churn"}
+                          "revenue_by_programme", "customer_churn", "active_student_bitmaps"}
     churn = spark.read.parquet(paths["customer_churn"])
     customers = small["contact"].where("email IS NOT NULL AND email <> ''").select("id").distinct().count()
     assert churn.select("customer_id").distinct().count() == customers
