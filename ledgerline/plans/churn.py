@@ -19,9 +19,10 @@ from ledgerline import params as P
 from ledgerline.functions._col import as_of_date
 from ledgerline.functions.money import quotient9, rate_pct, ratio2, round_money
 from ledgerline.functions.text import clean_town, extract_or_null
-from ledgerline.operators.joins import left_join_null_safe, left_join_skew_safe
+from ledgerline.operators.joins import left_join_skew_safe
+from ledgerline.operators.sharing import grouping_rows, shared
 from ledgerline.operators.sorting import display_order
-from ledgerline.operators.windows import agg_over, attach_scalars
+from ledgerline.operators.windows import agg_over
 from ledgerline.sources.sinks import materialize
 
 AsOf = _dt.date | Column | None
@@ -97,26 +98,33 @@ def customer_metrics(contacts: DataFrame, company: DataFrame, sale: DataFrame, a
                      grace: int = P.GRACE_DAYS) -> DataFrame:
     """Per customer x location x country x created date: counts, revenue, recency, churn, CLV.
 
-    The invoice lines are read once: inner joins (a hot company or e-mail can be
-    split on either side), aggregated by the four keys, and joined to all keys that
-    customers have, with or without invoices. Both sides are aggregates by then.
+    The invoice lines are read once, in inner joins (a hot company or e-mail can be
+    split on either side). All keys that customers have, with or without
+    invoices, are stacked on them as lines without values, so one aggregation by
+    the four keys, combined map-side, gives both.
     """
     customers, places = _customers(contacts), _places(company)
     none_ = clean_town(F.lit(None).cast("string"))
-    keys = (customers.join(places.select("email", "location", "country").distinct(), "email", "left")
-            .select("customer_id", F.coalesce("location", none_).alias("location"),
-                    F.coalesce("country", F.lit(P.DEFAULT_COUNTRY)).alias("country"), "customer_created_date").distinct())
+    keys = customers.join(places.select("email", "location", "country").distinct(), "email", "left").select(
+        "customer_id", F.coalesce("location", none_).alias("location"),
+        F.coalesce("country", F.lit(P.DEFAULT_COUNTRY)).alias("country"), "customer_created_date")
     lines = sale.select("companyid", "salesid", "amount", F.col("date").alias("invoice_date"), "description")
-    trailing = trailing_sums("amount", "invoice_date", as_of, prefix="_r")
-    facts = customers.join(places, "email").join(lines, "companyid").groupBy(*METRIC_KEYS).agg(
-        F.count_distinct("salesid").alias("_invoices"),
+    billed = customers.join(places, "email").join(lines, "companyid")
+    named = billed.unionByName(keys, allowMissingColumns=True).withColumn("_student", student_name())
+    # grouping sets: the sums by the four keys, and the distinct invoices and students of each. Spark would expand two
+    # COUNT(DISTINCT)s alike, but in an order that differs between copies of the plan, which then cannot share exchanges
+    sums, invoices, students = range(3)
+    rows = grouping_rows(named, [[], ["salesid"], ["_student"]], [*METRIC_KEYS, "amount", "invoice_date"])
+    grouped = rows.groupBy(*METRIC_KEYS, "_set", "salesid", "_student").agg(
         F.sum("amount").alias("_sum"), F.count("amount").alias("_n"),
-        F.min("invoice_date").alias("first_invoice_date"),
-        F.max("invoice_date").alias("last_invoice_date"),
-        F.count_distinct(student_name()).alias("_students"),
-        *trailing)
-    g = left_join_null_safe(keys, facts, METRIC_KEYS).withColumns({
-        "total_invoices": F.coalesce("_invoices", F.lit(0)), "estimated_student_count": F.coalesce("_students", F.lit(0))})
+        F.min("invoice_date").alias("_first"), F.max("invoice_date").alias("_last"),
+        *trailing_sums("amount", "invoice_date", as_of, prefix="_r"))
+    of = lambda kind, c: F.when(F.col("_set") == kind, F.col(c))
+    g = grouped.groupBy(*METRIC_KEYS).agg(
+        F.count(of(invoices, "salesid")).alias("total_invoices"), F.count(of(students, "_student")).alias("estimated_student_count"),
+        F.sum(of(sums, "_sum")).alias("_sum"), F.sum(of(sums, "_n")).alias("_n"),
+        F.min(of(sums, "_first")).alias("first_invoice_date"), F.max(of(sums, "_last")).alias("last_invoice_date"),
+        *[F.sum(of(sums, f"_r{n}_days")).alias(f"_r{n}_days") for n in P.TRAILING_DAYS])
     last_day = F.to_date("last_invoice_date")
     status = churn_status("last_invoice_date", as_of, grace)
     total = F.coalesce(F.col("_sum"), F.lit(0)).cast(P.TOTAL)
@@ -157,10 +165,12 @@ def churn_overall_rates(metrics: DataFrame) -> DataFrame:
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     counts = flags.agg(total("churned").alias("total_churned_customers"), total("active").alias("total_active_customers"),
                        F.count(F.lit(1)).alias("total_customers"))
-    return counts.select(
-        "total_churned_customers", "total_active_customers", "total_customers",
-        rate_pct("total_churned_customers", "total_customers").alias("overall_churn_rate"),
-        rate_pct("total_active_customers", "total_customers").alias("overall_retention_rate"))
+    return counts.select("total_churned_customers", "total_active_customers", "total_customers", *_rates())
+
+
+def _rates() -> list[Column]:
+    return [rate_pct("total_churned_customers", "total_customers").alias("overall_churn_rate"),
+            rate_pct("total_active_customers", "total_customers").alias("overall_retention_rate")]
 
 
 def location_groups(metrics: DataFrame) -> DataFrame:
@@ -178,6 +188,35 @@ def location_groups(metrics: DataFrame) -> DataFrame:
         F.sum("revenue").alias("_revenue"), F.sum("rows").alias("_rows"))
 
 
+def churn_benchmarks(metrics: DataFrame) -> DataFrame:
+    """The rows of ``location_groups``, each with the values of ``churn_overall_rates``, from one pass over the metrics.
+
+    Grouping sets ((location, customer), (customer)) reduce the rows to customers in one
+    aggregation; one more counts those per location and over all. The row over all
+    is joined to the locations', so both come from the same exchanges (a scalar subquery
+    is planned by itself and need not share them).
+    """
+    students = F.col("estimated_student_count")
+    rows = grouping_rows(metrics, [["location"], []], ["customer_id", "customer_status", "estimated_student_count", "total_revenue"], "_all_places")
+    per_customer = rows.groupBy("_all_places", "location", "customer_id").agg(
+        F.max(_flag(P.STATUS_INACTIVE)).alias("churned"), F.max(_flag(P.STATUS_ACTIVE)).alias("active"),
+        F.sum(students).alias("students"), F.sum(F.when(_is(P.STATUS_INACTIVE), students).otherwise(F.lit(0))).alias("inactive"),
+        F.sum("total_revenue").alias("revenue"), F.count(F.lit(1)).alias("rows"))
+    known = F.col("customer_id").isNotNull()
+    flagged = lambda c: F.coalesce(F.sum(F.when(known, F.col(c))), F.lit(0)).cast("bigint")
+    counts = shared(per_customer.groupBy("_all_places", "location").agg(
+        F.count("customer_id").alias("customers"), flagged("active").alias("active"), flagged("churned").alias("churned"),
+        F.sum("students").alias("location_total_students"), F.sum("inactive").alias("_inactive_students"),
+        F.sum("revenue").alias("_revenue"), F.sum("rows").alias("_rows")))
+    places = counts.where("_all_places = 0").select(
+        (F.col("_all_places") + 1).alias("_grain"), "location", F.col("customers").alias("location_total_customers"), F.col("active").alias("location_active_customers"),
+        "location_total_students", "_inactive_students", "_revenue", "_rows")
+    overall = counts.where("_all_places = 1").select(
+        F.col("_all_places").cast("int").alias("_grain"), F.col("churned").alias("total_churned_customers"), F.col("active").alias("total_active_customers"),
+        F.col("customers").alias("total_customers"))
+    return places.join(overall, "_grain").select(*places.drop("_grain").columns, *overall.drop("_grain").columns, *_rates())
+
+
 def _benchmark_columns() -> list[Column]:
     return [
         F.col("location_total_customers"), F.col("location_active_customers"),
@@ -221,16 +260,16 @@ def customer_churn(contacts: DataFrame, company: DataFrame, sale: DataFrame, as_
                    grace: int = P.GRACE_DAYS, order: bool = True, save: bool = False) -> DataFrame:
     """Churn & CLV report: customer detail with company-wide and per-location benchmarks.
 
-    The per-customer metrics feed three readers (detail rows, location
-    aggregate, company-wide row). Building the report runs nothing; a job that
-    writes it anyway passes ``save=True`` to have them computed once and kept in
-    the shared folder until it releases them (``sources.sinks.materialize``).
+    The per-customer metrics feed the detail rows and, by grouping sets, the location
+    and company-wide values. Their exchanges are shared, so the invoice lines are read and
+    aggregated once. Building the report runs nothing; a job that writes it anyway passes
+    ``save=True`` to have the metrics kept in the shared folder until it releases
+    them (``sources.sinks.materialize``), where a lost executor does not send it back
+    to the invoices.
     """
     metrics = customer_metrics(contacts, company, sale, as_of, grace)
-    if save:
-        metrics = materialize(metrics, "customer_metrics")
-    detail = agg_over(metrics, ["location"], location_groups(metrics))
-    detail = attach_scalars(detail, churn_overall_rates(metrics))
+    metrics = materialize(metrics, "customer_metrics") if save else shared(metrics)
+    detail = agg_over(metrics, ["location"], churn_benchmarks(metrics))
     last = F.col("last_invoice_date")
     out = detail.select(
         "customer_id", "location", "country", "customer_status", "days_since_last_payment", "churn_date",
