@@ -19,11 +19,14 @@ from ledgerline.functions.dates import date_parts, month_names
 from ledgerline.functions.text import like_prefix, clean_location, clean_town, programme_label
 from ledgerline.operators.spines import month_spine, snapshot_date
 from ledgerline.plans import churn, finance, neobank, programme, retention
+from ledgerline.sources.bucketing import save_bucketed
 from ledgerline.sources.fixtures import RoleTables
 from ledgerline.sources.sinks import read_layer, scratch_path, write_layer
 
 AS_OF = P.TEST_AS_OF
 START = P.TEST_MONTH_SPINE_START
+#: Buckets of the saved sources here; in production about one per 256 MiB of the larger source.
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -216,6 +219,14 @@ def q_invoice_bounds(spark, sf_dir):
     return retention.invoice_bounds(*_crm(spark, sf_dir))
 
 
+@register("company_invoice_profile", saves=True)
+def q_company_invoice_profile(spark, sf_dir):
+    """Invoice profile per company over sources saved bucketed by company."""
+    _, _, company, acc_sale = _crm(spark, sf_dir)
+    sales = save_bucketed(retention.company_sales(acc_sale), "company_sales", "companyid", BUCKETS)
+    return retention.company_invoice_profile(save_bucketed(company.select("companyid", "email"), "company", "companyid", BUCKETS), sales)
+
+
 @register("sales_monthly")
 def q_sales_monthly(spark, sf_dir):
     return retention.sales_monthly(*_crm(spark, sf_dir))

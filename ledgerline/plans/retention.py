@@ -27,6 +27,7 @@ from ledgerline.operators.bridge import bridge_on_email
 from ledgerline.operators.joins import left_join_skew_safe
 from ledgerline.operators.spines import month_range, month_spine_end
 from ledgerline.operators.windows import latest_by
+from ledgerline.sources.bucketing import BucketedSource
 
 AsOf = _dt.date | Column | None
 
@@ -96,6 +97,22 @@ def company_invoice_stats(acc_sale: DataFrame) -> DataFrame:
                  F.sum("amount_gross").alias("cltv_total")))
 
 
+def company_invoice_profile(company: BucketedSource, sales: BucketedSource) -> DataFrame:
+    """Per company row with dated invoices: e-mail, first and last invoice day, lifetime total.
+
+    ``sales`` are invoices (``company_sales``) and ``company`` companies, both bucketed by
+    ``companyid``: the invoices are aggregated and joined bucket by bucket, without an exchange.
+    """
+    def stats(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("companyid").agg(F.min("sale_date").alias("first_invoice_date"), F.max("sale_date").alias("last_invoice_date"),
+                                             F.sum("amount_gross").cast(P.TOTAL).alias("cltv_total"))
+    ordinary = company.even().join(stats(sales.even()), "companyid")
+    # companies of heavy invoice keys stand in either of their tables, and heavy companies meet invoices of either kind
+    heavy = tuple(dict.fromkeys(company.heavy + sales.heavy))
+    rest = company.of_keys(heavy).join(stats(sales.of_keys(heavy)), "companyid")
+    return ordinary.unionByName(rest).select("companyid", "email", "first_invoice_date", "last_invoice_date", "cltv_total")
+
+
 def student_sales(contact: DataFrame, cfv: DataFrame, company: DataFrame, acc_sale: DataFrame) -> DataFrame:
     """Every dated invoice of a bridged student: contact_id, location_name, sale_date, amount_gross."""
     sc = bridge_contact_company(contact, cfv, company).where(F.col("companyid").isNotNull())
