@@ -51,7 +51,7 @@ def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFra
 
     def left(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
         if skew_safe:   # a hot key on the right side (many companies per e-mail, many invoice lines per company)
-            return left_join_hot_keys(a, b, key)
+            return left_join_hot_keys(a, b, key, sides=("right",))
         return a.join(b, key, "left").select(*a.columns, *[x for x in b.columns if x != key])
 
     none_ = clean_town(F.lit(None).cast("string"))
