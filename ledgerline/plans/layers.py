@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.plans import churn, finance, neobank, programme, retention
+from ledgerline.sources.refresh import changed_partitions, of_partitions, swap_partitions
 from ledgerline.sources.sinks import read_layer, write_layer
 
 
@@ -32,6 +33,25 @@ def run_finance_layers(spark: SparkSession, tables: Mapping[str, DataFrame], out
     return paths
 
 
+def refresh_finance_layers(spark: SparkSession, tables: Mapping[str, DataFrame], batch: DataFrame, paths: Mapping[str, str],
+                           partition: str = "date_year") -> list:
+    """Bring the saved actuals and variance up to date after ``batch`` (ledger lines that ``tables["ledger"]`` now holds too).
+
+    The years that the batch has reportable lines of are rebuilt from the ledger; the variance of
+    those years is rebuilt from the saved layers, reading their folders only. Returns the years.
+    """
+    years = changed_partitions(finance.finance_actuals(batch), partition)
+    actuals = finance.finance_actuals(tables["ledger"])
+    swap_partitions(actuals, paths["finance_actuals"], partition, years)
+    if "finance_variance" in paths:
+        forecasts = finance.finance_forecasts(tables["budget"], tables["budget_item"], order=False)
+        saved = {name: of_partitions(read_layer(spark, paths[name], layer.schema), partition, years)
+                 for name, layer in (("finance_actuals", actuals), ("finance_forecasts", forecasts))}
+        variance = finance.finance_variance(saved["finance_actuals"], saved["finance_forecasts"], order=False)
+        swap_partitions(variance, paths["finance_variance"], partition, years)
+    return years
+
+
 def run_tutoring_layers(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
                         as_of=None, churn_as_of=None) -> dict[str, str]:
     """Write the five tutoring layers (activity, activation, daily series, programme revenue, churn) and, from the
