@@ -357,6 +357,13 @@ def q_daily_active_flag(spark, sf_dir):
     return programme.daily_active_flag(rt["date_table"], rt["acc_sale"], rt["company"])
 
 
+@register("programme_activity_asof")
+def q_programme_activity_asof(spark, sf_dir):
+    """The 42-day rule by the last invoice on or before each day, for companies with programme revenue in the month."""
+    rt = _rt(spark, sf_dir)
+    return programme.programme_activity_asof(rt["date_table"], rt["acc_sale"], rt["tutoring_transaction"])
+
+
 @register("revenue_by_programme")
 def q_revenue_by_programme(spark, sf_dir):
     rt = _rt(spark, sf_dir)

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from ledgerline import params as P
 from ledgerline.functions.dates import date_parts
 from ledgerline.functions.text import like_prefix, extract_or_null, initcap_words, programme_label
+from ledgerline.operators.asof import asof_join
 from ledgerline.operators.sorting import display_order
-from ledgerline.plans.retention import location_fields
+from ledgerline.plans.retention import company_sales, location_fields
 
 
 def signed_revenue(result: Column | str = "result", gl_type: Column | str = "schemaid_type") -> Column:
@@ -81,6 +82,25 @@ def daily_active_flag(date_table: DataFrame, acc_sale: DataFrame, company: DataF
                        (latest >= F.date_sub(F.col("date_date"), P.GRACE_DAYS)).alias("is_active"))
 
 
+def programme_activity_asof(date_table: DataFrame, acc_sale: DataFrame, transactions: DataFrame,
+                            grace: int = P.GRACE_DAYS) -> DataFrame:
+    """The 42-day rule as stated: per calendar day and company with programme revenue in that month.
+
+    ``daily_active_flag`` keeps the original's same-day join, under which a company is active on the days
+    it is invoiced and unknown on all others. Here each day looks up the company's last
+    invoice on or before it, and the company is active when that is at most ``grace`` days ago.
+    """
+    months = (programme_revenue_base(transactions).where(F.col("companyid").isNotNull() & F.col("trans_month").between(1, 12))
+              .select("companyid", "trans_year", "trans_month").distinct())
+    first = F.make_date("trans_year", "trans_month", F.lit(1))
+    days = months.select(F.col("companyid").alias("studentid"), F.explode(F.sequence(first, F.last_day(first))).alias("date_date"))
+    calendar = date_table.select(F.col("date").alias("date_date")).distinct()
+    sales = company_sales(acc_sale).select(F.col("companyid").alias("studentid"), F.col("sale_date").alias("last_invoice_date"))
+    seen = asof_join(days.join(calendar, "date_date", "left_semi"), sales, ["studentid"], "date_date", "last_invoice_date")
+    return seen.select("date_date", "studentid", "last_invoice_date",
+                       F.coalesce(F.col("last_invoice_date") >= F.date_sub("date_date", grace), F.lit(False)).alias("is_active"))
+
+
 def company_locations(company: DataFrame, contact: DataFrame, cfv: DataFrame) -> DataFrame:
     """Distinct (companyid, location) over the contacts with the company's raw e-mail."""
     value = F.col("value")
