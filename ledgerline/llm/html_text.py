@@ -4,7 +4,11 @@ The standard library's parser is fed piece by piece; its events build the lines
 (blocks) of the page, each with its number of characters, the tags met inside it,
 the characters in links and the container it stands in. Navigation, headers,
 footers, sidebars, notices, adverts, forms, comments and hidden parts are known by
-element, role, class or id and give no lines. Over all the rest, the ratio of
+element, role, class or id and give no lines. A class or id is only a hint: whole
+class tokens count (``has-sidebar`` is no sidebar), ids of headings and paragraphs do not, and a
+block that is left out for its name, or as a form, comes back when it holds nearly all
+text of the page (``NEARLY_ALL`` times what stands outside such blocks), as a wrapper does; one whose token is such
+a name itself only with an article, main or h1 in it, and reader comments never. Over all the rest, the ratio of
 characters to tags of each line is smoothed by a Gaussian; lines that are not mostly
 links, with their own ratio and the smoothed one at or above the mean of the
 smoothed ratios, form the clusters.
@@ -21,6 +25,9 @@ of links and copyright lines, and parts that hold one but no cluster; a containe
 that holds lines of a cluster itself keeps all its own lines, walls or not, and
 below the body all its parts that are no walls.
 
+Ties: equal ratios are judged alike, and lines stay in page order. Very long pages are parsed piece by piece; memory is
+their lines'.
+
 Defined results: null or empty html, and pages without text, give the empty text;
 repeated rows are each extracted; an empty table gives an empty table; other input
 columns are kept.
@@ -50,7 +57,7 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr br img".split())
 #: Elements whose text is never article text.
 SKIPPED = frozenset(
-    "head script style noscript template nav footer aside form button select textarea svg math iframe object canvas "
+    "head script style noscript template nav footer aside button select textarea svg math iframe object canvas "
     "audio video dialog menu".split())
 #: Roles, and words of class or id names, that mark the same.
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -59,6 +66,13 @@ SKIPPED_WORDS = frozenset(
     "breadcrumb breadcrumbs footer masthead topbar cookie cookies consent gdpr notice notices banner popup modal overlay "
     "newsletter subscribe subscription comment comments disqus replies respond share sharing social related recommended "
     "widget pagination pager login signup".split())
+#: Of these, names of reader comments; and names that mean them only outside articles or on lists.
+COMMENTS = frozenset("comment comments disqus replies respond".split())
+THREADS = frozenset("discussion thread threads".split())
+#: Compound class tokens that begin so tell what a block has, not what it is.
+HAVING = frozenset("has with without no is not".split())
+#: A block left out for its name is a wrapper when it holds so many times the text outside all such blocks.
+NEARLY_ALL = 4
 #: Elements to which name words are not applied: a class of the whole page says nothing of its parts.
 WHOLE = frozenset(("html", "body", "main"))
 CONTAINERS = frozenset(("article", "main", "section", "div", "td", "body", "center"))
@@ -70,6 +84,13 @@ _RIGHTS = re.compile(r"(©|\(c\)|copyright\b)|.*\ball rights reserved\b", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+class Mark(NamedTuple):
+    """A block that its name leaves out, unless it turns out to be a wrapper."""
+
+    parent: int
+    kind: str  # wrapper, exact or comments
+
+
 class Line(NamedTuple):
     text: str
     tags: int
@@ -79,6 +100,8 @@ class Line(NamedTuple):
     links: int
     #: The heading element it stands in.
     heading: str
+    #: The innermost marked block it stands in, or -1.
+    mark: int = -1
 
     @property
     def link_heavy(self) -> bool:
@@ -98,7 +121,10 @@ class LineParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.containers = [Container(-1, "", False)]
-        self._open: list[tuple[str, bool, int]] = []  # element, skipped, container
+        self.marks: list[Mark] = []
+        self._holds: set[int] = set()  # marked blocks with an article, main or h1 in them
+        self._open: list[tuple[str, bool, int, int]] = []  # element, skipped, container, marked block
+        self._mark = -1
         self._count: Counter[str] = Counter()
         self._skip = 0
         self._text: list[str] = []
@@ -112,31 +138,63 @@ class LineParser(HTMLParser):
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
-                self.lines.append(Line(text, self._tags, self._at, self._linked, self._links, self._heading))
+                self.lines.append(Line(text, self._tags, self._at, self._linked, self._links, self._heading, self._mark))
             self._text.clear()
         self._tags = self._linked = self._links = 0
 
-    def _boilerplate(self, tag: str, attrs) -> bool:
+    def _boilerplate(self, tag: str, attrs) -> str:
+        """``skipped`` (no text at all), the kind of a marked block, or the empty string."""
         in_article = self._count["article"] > 0
         if tag in SKIPPED or (tag == "header" and not in_article):
-            return True
+            return "skipped"
         if tag in WHOLE:
-            return False
+            return ""
+        kind = "wrapper" if tag == "form" else ""
         for name, value in attrs:
             value = value or ""
             if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _HIDDEN.search(value)):
-                return True
+                return "skipped"
             if name == "role" and value.lower() in SKIPPED_ROLES:
-                return True
-            if name in ("class", "id"):
-                words = set(_WORDS.findall(value.lower()))
-                if tag == "article":
-                    words &= {"comment", "comments", "reply", "replies", "related", "ad", "advert", "promo"}
-                    if words:
-                        return True
-                elif words & SKIPPED_WORDS or ("header" in words and not in_article and tag != "h1"):
-                    return True
-        return False
+                return "skipped"
+            if name == "class" or (name == "id" and tag not in HEADINGS and tag != "p"):
+                kind = max(kind, self._named(tag, value.lower(), in_article), key=("", "wrapper", "exact", "comments").index)
+        return "skipped" if kind and tag in INLINE else kind
+
+    def _named(self, tag: str, value: str, in_article: bool) -> str:
+        tokens = value.split()
+        if tag == "article":
+            exact = {"comment", "comments", "reply", "replies", "related", "ad", "advert", "promo"}.intersection(tokens)
+            return ("comments" if exact - {"related", "ad", "advert", "promo"} else "exact") if exact else ""
+        parts = [_WORDS.findall(t) for t in tokens]
+        words = {w for part in parts if len(part) == 1 or part and part[0] not in HAVING for w in part}
+        if words & COMMENTS or (words & THREADS and (not in_article or tag in ("ol", "ul"))):
+            return "comments"
+        names = SKIPPED_WORDS if in_article or tag == "h1" else SKIPPED_WORDS | {"header"}
+        if words & names:
+            return "exact" if any(len(part) == 1 and part[0] in names for part in parts) else "wrapper"
+        return ""
+
+    def kept_lines(self) -> list[Line]:
+        """Lines outside marked blocks, and those of marked blocks that are wrappers."""
+        weight = [0] * len(self.marks)
+        outside = 0
+        for line in self.lines:
+            if not line.link_heavy:
+                if line.mark < 0:
+                    outside += len(line.text)
+                else:
+                    weight[line.mark] += len(line.text)
+        whole = weight.copy()
+        for m in range(len(self.marks) - 1, -1, -1):
+            if self.marks[m].parent >= 0:
+                whole[self.marks[m].parent] += whole[m]
+        out = [False] * len(self.marks)
+        for m, (parent, kind) in enumerate(self.marks):  # parents first
+            out[m] = (parent >= 0 and out[parent]) or kind == "comments" or (kind == "exact" and m not in self._holds) or (
+                whole[m] < NEARLY_ALL * outside or not whole[m])
+            if not out[m]:
+                outside += weight[m]
+        return [line for line in self.lines if line.mark < 0 or not out[line.mark]]
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
@@ -151,17 +209,26 @@ class LineParser(HTMLParser):
             if self._open and self._open[-1][0] == "a":  # links do not nest
                 self._pop_to("a")
             self._links += not self._skip
-        skipped = self._boilerplate(tag, attrs)
-        container = self._open[-1][2] if self._open else 0
+        found = self._boilerplate(tag, attrs)
+        skipped = found == "skipped"
+        container, mark = self._open[-1][2:] if self._open else (0, -1)
+        if found and not skipped:
+            self.marks.append(Mark(mark, found))
+            mark = len(self.marks) - 1
+        if tag in ("article", "main", "h1") and not self._skip:
+            above = mark
+            while above >= 0 and above not in self._holds:
+                self._holds.add(above)
+                above = self.marks[above].parent
         if tag in CONTAINERS:
             names = " ".join(value or "" for name, value in attrs if name in ("class", "id")).lower()
             card = tag == "article" and not CARDS.isdisjoint(_WORDS.findall(names))
             self.containers.append(Container(container, tag, card))
             container = len(self.containers) - 1
-        self._open.append((tag, skipped, container))
+        self._open.append((tag, skipped, container, mark))
         self._count[tag] += 1
         self._skip += skipped
-        self._at = container
+        self._at, self._mark = container, mark
         if tag not in INLINE:
             self._heading = tag if tag in HEADINGS else ""
 
@@ -187,12 +254,12 @@ class LineParser(HTMLParser):
 
     def _pop_to(self, tag: str) -> None:
         while self._open:
-            name, skipped, _ = self._open.pop()
+            name, skipped, *_ = self._open.pop()
             self._count[name] -= 1
             self._skip -= skipped
             if name == tag:
                 break
-        self._at = self._open[-1][2] if self._open else 0
+        self._at, self._mark = self._open[-1][2:] if self._open else (0, -1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -335,7 +402,7 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
     if re.match(r"<[a-zA-Z/!?]", parser.rawdata):  # the page ends inside a tag or comment
         parser.rawdata = ""
     parser.close()
-    lines = parser.lines
+    lines = parser.kept_lines()
     if not lines:
         return ""
     ratio = np.array([len(line.text) / (line.tags + 1) for line in lines])

@@ -68,6 +68,38 @@ def test_two_articles():
     assert main_text(f"<body><article>{PARAGRAPHS}</article>{LINKS}<article>{again}</article></body>") == f"{TEXT}\n" + TEXT.replace("Paragraph", "Passage")
 
 
+def test_names_of_wrappers_do_not_remove_the_article():
+    article = f"<article><h1>Head</h1>{PARAGRAPHS}<p>End.</p></article>"
+    own = article.replace("<article>", "<article class='post related-topics'>")
+    side = "<div class='sidebar'><p>A text beside it.</p></div>"
+    for open_, close in (("<div class='layout has-sidebar'>", "</div>"), ("<div class='page with-header'>", "</div>"), ("<form id='aspnetForm'>", "</form>"),
+                         ("<div class='sidebar-layout'>", "</div>"), ("<div class='widget'>", "</div>"), ("<div id='header-and-body'><form>", "</form></div>")):
+        for inside in (article, own):
+            assert main_text(f"<body>{open_}{inside}{side}{close}</body>") == f"Head\n{TEXT}\nEnd."
+
+
+def test_names_of_headings_and_paragraphs_inside_the_article():
+    page = f"<article><h1>Head</h1>{PARAGRAPHS}<h2 id='sharing'>Sharing</h2><p id='comment-1'>First.</p><h2 id='login'>Login</h2><p>Last.</p></article>"
+    assert main_text(f"<body>{page}</body>") == f"Head\n{TEXT}\nSharing\nFirst.\nLogin\nLast."
+
+
+def test_reader_comments_go_however_long_they_are():
+    comments = "".join(f"<li>Comment {i} " + "a long opinion of a reader. " * 9 + "</li>" for i in range(40))
+    for thread in (f"<section id='discussion'><ul>{comments}</ul></section>", f"<ol class='thread'>{comments}</ol>", f"<div class='post-comments'>{comments}</div>"):
+        assert main_text(f"<body><article>{PARAGRAPHS}</article>{thread}</body>") == TEXT
+    assert main_text(f"<body><article>{PARAGRAPHS}<ol class='thread'>{comments}</ol></article></body>") == TEXT
+    paper = f"<article>{PARAGRAPHS}<section id='discussion'><h2>Discussion</h2><p>We conclude.</p></section></article>"
+    assert main_text(f"<body>{paper}</body>") == f"{TEXT}\nDiscussion\nWe conclude."
+
+
+def test_boxes_stay_out_of_short_pages():
+    box = "<div class='cookie-banner'><p>" + "We use cookies and so on, as you like. " * 2 + "</p></div>"
+    side = "<div class='sidebar'><p>" + "Words beside the text that are not of it. " * 30 + "</p></div>"
+    text = "A short page, whose only text is this one sentence."
+    assert main_text(f"<body>{box}<article><p>{text}</p></article>{side}<form><p>Name</p></form></body>") == text
+    assert main_text(f"<body>{side}</body>") == ""
+
+
 def test_copyright_line_ends_the_text():
     assert main_text(f"<body><div>{PARAGRAPHS}</div><div>Copyright 2020 Example</div></body>") == TEXT
 
