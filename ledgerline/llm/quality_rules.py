@@ -11,7 +11,8 @@ Measures of a whole text (words are ``[^\\x20\\x09-\\x0D]+``, lines split at ``\
 (words inside 8-word windows that the text holds twice or more, first included).
 
 Defined results: a null text is the empty text, all counts zero, failed; repeated
-rows are each judged; an empty table gives an empty table; other columns are kept.
+rows are each judged; an empty table gives an empty table; other columns are kept. Ties (a share
+equal to its threshold) pass. Very long texts are judged whole, their words hashed piece by piece.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,23 +52,27 @@ class LineRules:
     least_words: int = 20
 
 
-_PUNCTUATION = re.compile(rb"[.!?:;]|\xe2\x80\xa6|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f")
+#: Marks that end or part sentences in any script (Unicode's sentence terminals, colons, semicolons, ellipsis).
+_MARKS = regex.compile("[\\p{Sentence_Terminal}:;\u2026\u037e\u0387\u060c\u061b\u3001\uff0c\uff1a\uff1b]")
 _NAVIGATION = re.compile(rb"(?i)^\s*(home|menu|login|sign in|next|previous|back to top|share|print|read more)\s*$")
 _BOILERPLATE = re.compile(
-    rb"(?i)licensed under|all rights reserved|terms of (use|service)|privacy policy|cookie|subscribe to"
+    rb"(?i)licensed under|all rights reserved|terms of (use|service)|privacy policy|subscribe to"
+    rb"|cookie (policy|settings|preferences|consent|notice)|(accept|reject|allow|use|uses|using|store) (all |our |of )?cookies"
     rb"|click here|javascript|lorem ipsum|copyright (\(c\)|\xc2\xa9)")
+_SYMBOL_BYTES = b"#*$%&|<>"
+_CONTINUATION = bytes(range(0x80, 0xC0))
 
 
 def line_fails(line: bytes, n_words: int, rules: LineRules) -> str | None:
     """The rule that a line with words fails, or None."""
-    raw = np.frombuffer(line, np.uint8)
-    if np.count_nonzero(_SYMBOLS[raw]) > rules.symbol_share * len(raw):
+    symbols = len(line) - len(line.translate(None, _SYMBOL_BYTES))
+    if symbols > rules.symbol_share * len(line.translate(None, _CONTINUATION)):  # of its characters
         return "symbols"
     if line.count(b"|") + line.count(b">") >= rules.separators and n_words <= 8 * (line.count(b"|") + line.count(b">") + 1):
         return "navigation"
     if n_words <= 4 and _NAVIGATION.match(line):
         return "navigation"
-    if n_words >= rules.unpunctuated and not _PUNCTUATION.search(line):
+    if n_words >= rules.unpunctuated and not _MARKS.search(line.decode("utf-8", "replace")):
         return "punctuation"
     if n_words <= 40 and _BOILERPLATE.search(line):
         return "boilerplate"

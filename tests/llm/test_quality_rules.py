@@ -6,7 +6,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm.quality_rules import judge_quality, op10_quality_rules
+from ledgerline.llm.quality_rules import LineRules, judge_quality, line_fails, measure, op10_quality_rules
 from tests.llm.samples import clashing, documents, empty, prose, words
 
 
@@ -51,3 +51,37 @@ def test_edge_tables(spark):
     wide = clashing(documents(spark))
     out = judge_quality(wide)
     assert out.where(F.col("quality_rules") == "quality_rules").count() == wide.count()
+
+
+CLEAN = {
+    "hindi": "यह एक सरल वाक्य है जिसमें कई शब्द हैं और इसका अर्थ {} लोगों को तुरंत समझ में आ जाता है।",
+    "arabic": "هذه جملة بسيطة فيها كلمات كثيرة ومعناها واضح لكل من يقرأ النص رقم {} في هذا الكتاب القديم الجميل اليوم؟",
+    "greek": "Αυτή είναι μια απλή πρόταση με πολλές λέξεις και το νόημά της είναι σαφές σε όποιον διαβάζει το {} κείμενο.",
+    "russian": "Это простое предложение из многих слов и его смысл понятен каждому кто читает текст под номером {} в этой книге.",
+    "amharic": "ይህ ብዙ ቃላት ያሉት ቀላል ዓረፍተ ነገር ነው እና ትርጉሙ ለሚያነብ ሁሉ ግልጽ ነው በዚህ መጽሐፍ ውስጥ ቁጥር {} ነው።",
+    "armenian": "Սա պարզ նախադասություն է բազում բառերով և իմաստը հասկանալի է բոլորին ովքեր կարդում են այս գիրքը համար {} այսօր։",
+}
+
+
+def test_clean_text_of_six_scripts_is_kept():
+    for name, line in CLEAN.items():
+        *body, last = line.format("12").split()
+        lines = [" ".join([*random.Random(i).sample(body, len(body)), last]) for i in range(5)]
+        judged = measure("\n".join(lines).encode(), LineRules())
+        assert judged["kept"] and judged["n_lost"] == 0, name
+
+
+def test_words_about_cookies_and_symbols_by_characters():
+    cookie = "She baked a chocolate cookie for every guest, and nobody left before the last one was gone."
+    assert line_fails(cookie.encode(), 17, LineRules()) is None
+    assert line_fails(b"This site uses cookies. Accept all cookies.", 7, LineRules()) == "boilerplate"
+    for letter in ("e", "é", "ह"):
+        assert line_fails(("####" + letter * 17).encode(), 1, LineRules()) is None
+        assert line_fails(("####" + letter * 12).encode(), 1, LineRules()) == "symbols"
+
+
+def test_a_text_above_a_megabyte():
+    line = "A plain line of ten words that ends with number {}.\n"
+    text = "".join(line.format(i) for i in range(40_000))
+    judged = measure(text.encode(), LineRules())
+    assert len(text) > 2_000_000 and judged["n_words"] == 400_000 and judged["n_dup_lines"] == 0 and judged["n_lost"] == 0
