@@ -214,15 +214,21 @@ judged AS (SELECT *, cap * (w - weight_before) < weight * (t - cap_before) AS ca
 targets AS (
   SELECT *, CASE WHEN capped THEN cap ELSE weight * (t - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ())
                                           / (w - sum(CASE WHEN capped THEN weight ELSE 0 END) OVER ()) END AS target,
-         greatest(1, least(512, floor(t / 100000)))::BIGINT AS block FROM judged),
+         greatest(1, least(512, floor(t / 100000)))::BIGINT AS most_block FROM judged),
+halved AS (
+  SELECT *, greatest(1, floor(most_block / power(2, ceil(log2(greatest(1.0, 200 * most_block
+           / greatest(1.0, least(source_size::DOUBLE, target))))))))::BIGINT AS block FROM targets),
+dealt AS (
+  SELECT *, round(CASE WHEN block = most_block THEN t - sum(CASE WHEN block = most_block THEN 0 ELSE target END) OVER ()
+                  ELSE sum(target) OVER (PARTITION BY block) END / block) AS n FROM halved),
 seats AS (
   SELECT key, count(*) AS blocks FROM (
-    SELECT key, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, place, k) AS r, round(t / block) AS n
-    FROM (SELECT *, unnest(generate_series(1, (target / block * 1.1)::BIGINT + 30)) AS k FROM targets WHERE target > 0))
+    SELECT key, row_number() OVER (PARTITION BY block ORDER BY target / (2 * k - 1) DESC, place, k) AS r, n
+    FROM (SELECT *, unnest(generate_series(1, (target / block * 1.1)::BIGINT + 30)) AS k FROM dealt WHERE target > 0))
   WHERE r <= n GROUP BY key),
 sources AS (
   SELECT t.*, coalesce(blocks, 0) AS blocks, greatest(1, least(4096, ceil(source_size / 100000)))::BIGINT AS shards
-  FROM targets t LEFT JOIN seats USING (key)),
+  FROM dealt t LEFT JOIN seats USING (key)),
 placed AS (
   SELECT h.*, source_size, target, block, blocks, floor(fine * shards / 4096)::BIGINT AS shard
   FROM hashed h JOIN sources USING (key)),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.columns import SPANS_DDL, free_name, spans_arrow, spans_column, texts
+from ledgerline.llm.columns import SPANS_DDL, free_name, sha256_hex, spans_arrow, spans_column, texts
 from ledgerline.session import checkpoint_dir
 
 
@@ -46,13 +46,20 @@ BASE_RULES = (
 )
 #: Further kinds this scanner knows.
 EXTRA_RULES = (
-    SecretRule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    SecretRule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+               r"(?:(?:\s*(?:Proc-Type|DEK-Info):[^\n]*)*+[^-]*+-----END [A-Z ]*PRIVATE KEY-----)?"),
     SecretRule("host_token", r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,})"),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE_RULES + EXTRA_RULES
-#: Changes with the rules: blobs scanned under another version are scanned anew.
-RULE_VERSION = "2"
+
+
+def rule_version(rules: tuple[SecretRule, ...]) -> str:
+    """A digest of the rules: blobs scanned under other rules (or in another order) are scanned anew."""
+    return sha256_hex(repr([(r.kind, r.pattern, r.group, r.least) for r in rules]))[:16]
+
+
+RULE_VERSION = rule_version(RULES)
 
 LEDGER_DDL = f"blob string, rule_version string, spans {SPANS_DDL}"
 
@@ -77,12 +84,12 @@ class BlobLedger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def read(self, rule_version: str) -> DataFrame:
+    def read(self, version: str) -> DataFrame:
         """Rows of one rule version (none before the first append)."""
         jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
         there = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
         rows = self.spark.read.schema(LEDGER_DDL).parquet(self.path) if there else self.spark.createDataFrame([], LEDGER_DDL)
-        return rows.where(F.col("rule_version") == rule_version)
+        return rows.where(F.col("rule_version") == version)
 
     def append(self, scanned: DataFrame) -> None:
         scanned.write.mode("append").parquet(self.path)
@@ -96,9 +103,8 @@ def _scanner(rules: tuple[SecretRule, ...]):
     return scan
 
 
-def scan_new_blobs(versions: DataFrame, text_col: str, ledger: BlobLedger, rules: tuple[SecretRule, ...] = RULES,
-                   rule_version: str = RULE_VERSION) -> None:
-    """Scan the blobs of ``versions`` that the ledger lacks under ``rule_version``, each once, and append them.
+def scan_new_blobs(versions: DataFrame, text_col: str, ledger: BlobLedger, rules: tuple[SecretRule, ...] = RULES) -> None:
+    """Scan the blobs of ``versions`` that the ledger lacks under the rules' version, each once, and append them.
 
     The anti join sees blob ids and texts; known blobs never reach the scanner.
     Copies meet map-side first (partial aggregation), so a text that a third of
@@ -106,19 +112,20 @@ def scan_new_blobs(versions: DataFrame, text_col: str, ledger: BlobLedger, rules
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     blobs = versions.select(F.sha2(text, 256).alias("blob"), text.alias("text"))
-    known = ledger.read(rule_version)
+    version = rule_version(rules)
+    known = ledger.read(version)
     if not known.isEmpty():
         blobs = blobs.join(known.select("blob"), "blob", "left_anti")
     scanned = blobs.dropDuplicates(["blob"]).select(
-        "blob", F.lit(rule_version).alias("rule_version"), _scanner(rules)("text").alias("spans"))
+        "blob", F.lit(version).alias("rule_version"), _scanner(rules)("text").alias("spans"))
     ledger.append(scanned)
 
 
-def join_findings(versions: DataFrame, text_col: str, ledger: BlobLedger, rule_version: str = RULE_VERSION,
+def join_findings(versions: DataFrame, text_col: str, ledger: BlobLedger, rules: tuple[SecretRule, ...] = RULES,
                   result: str = "secrets") -> DataFrame:
     """``versions`` with the findings of each row's blob (copies of a hot text: adaptive execution splits the join)."""
     blob, spans = free_name(versions, "_blob"), free_name(versions, result)
-    found = ledger.read(rule_version).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    found = ledger.read(rule_version(rules)).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     return versions.withColumn(blob, F.sha2(text, 256)).join(found, blob, "left").drop(blob)
 

@@ -98,3 +98,18 @@ def test_edge_tables(spark):
 def test_plan_is_native(spark):
     plan = op6_source_mix(documents(spark))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_sql_agrees_on_sources_of_very_different_sizes(spark, tmp_path):
+    import duckdb
+
+    from ledgerline.llm.mixing import OP6_SQL
+    words = lambda n, i: " ".join(f"w{i}x{j}" for j in range(n))
+    rows = [(i, words(400, i), "big") for i in range(2000)] + [(5000, words(80, 1), "a80"), (5001, words(300, 2), "m300"), (5002, "one", "z1"), (5003, None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    cur = con.execute(OP6_SQL)
+    names = [d[0] for d in cur.description]
+    want = sorted((tuple(dict(zip(names, r, strict=True))[c] for c in sorted(names)) for r in cur.fetchall()), key=repr)
+    assert rows_of(op6_source_mix(spark.read.parquet(str(tmp_path / "documents.parquet")))) == want

@@ -43,12 +43,27 @@ def test_only_unseen_blobs_and_rule_versions_are_scanned(spark, monkeypatch):
     S.scan_new_blobs(first, "text", ledger)
     assert ledger.read(S.RULE_VERSION).count() == 2
     second = first.unionByName(spark.createDataFrame([(4, "passwd: 1234567")], "doc_id bigint, text string"))
-    # blobs of the ledger keep what it says, so they were not scanned again
-    S.scan_new_blobs(second, "text", ledger, rules=(S.SecretRule("other", "[0-9]+"),))
+    # a planted finding shows that blobs of the ledger keep what it says and are not scanned again
+    known = ledger.read(S.RULE_VERSION).first()["blob"]
+    S.scan_new_blobs(second, "text", ledger)
     found = {r.doc_id: [s.kind for s in r.secrets] for r in S.join_findings(second, "text", ledger).collect()}
-    assert found == {1: ["assign"], 2: [], 3: ["assign"], 4: ["other"]}
-    S.scan_new_blobs(second, "text", ledger, rule_version="next")
-    assert ledger.read("next").count() == 3 and ledger.read(S.RULE_VERSION).count() == 3
+    assert found == {1: ["assign"], 2: [], 3: ["assign"], 4: ["assign"]}
+    assert ledger.read(S.RULE_VERSION).count() == 3 and ledger.read(S.RULE_VERSION).where(F.col("blob") == known).count() == 1
+    # other rules are another version: all blobs are scanned anew, and the first findings stay
+    other = (S.SecretRule("other", "[0-9]+"),)
+    S.scan_new_blobs(second, "text", ledger, rules=other)
+    found = {r.doc_id: [s.kind for s in r.secrets] for r in S.join_findings(second, "text", ledger, rules=other).collect()}
+    assert found == {1: [], 2: [], 3: [], 4: ["other"]}
+    assert ledger.read(S.rule_version(other)).count() == ledger.read(S.RULE_VERSION).count() == 3
+    assert S.rule_version(S.RULES[::-1]) != S.RULE_VERSION
+
+
+def test_private_keys_with_their_body():
+    body = "-----BEGIN RSA PRIVATE KEY-----\n{}MIIEow\n+/=\n-----END RSA PRIVATE KEY-----"
+    for text in (body.format(""), body.format("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n")):
+        assert S.find_secrets(f"x {text} y") == [("private_key", 2, 2 + len(text))]
+    assert S.find_secrets("-----BEGIN PRIVATE KEY-----\nabc") == [("private_key", 0, 27)]
+    assert len(S.find_secrets("-----BEGIN PRIVATE KEY-----\nabc\n" * 20_000)) == 20_000
 
 
 def test_edge_tables(spark):
