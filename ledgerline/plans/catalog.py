@@ -387,6 +387,12 @@ def q_customer_invoice_data(spark, sf_dir):
     return churn.customer_invoice_data(*_churn_tables(spark, sf_dir))
 
 
+@register("customer_invoice_data_by_pieces")
+def q_customer_invoice_data_by_pieces(spark, sf_dir):
+    """The same rows by joins that deal heavy keys over pieces."""
+    return churn.customer_invoice_data(*_churn_tables(spark, sf_dir), pieces=True)
+
+
 @register("customer_metrics")
 def q_customer_metrics(spark, sf_dir):
     return _metrics(spark, sf_dir)

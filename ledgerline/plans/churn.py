@@ -20,6 +20,7 @@ from ledgerline.functions._col import as_of_date
 from ledgerline.functions.money import quotient9, rate_pct, ratio2, round_money
 from ledgerline.functions.text import clean_town, extract_or_null
 from ledgerline.operators.hot_keys import left_join_hot_keys
+from ledgerline.operators.joins import left_join_skew_safe
 from ledgerline.operators.sharing import grouping_rows, shared
 from ledgerline.operators.sorting import display_order
 from ledgerline.operators.windows import agg_over
@@ -40,18 +41,22 @@ def _places(company: DataFrame) -> DataFrame:
 
 
 def customer_invoice_data(contacts: DataFrame, company: DataFrame, sale: DataFrame,
-                          skew_safe: bool = True) -> DataFrame:
+                          skew_safe: bool = True, pieces: bool = False) -> DataFrame:
     """Customer (contact with an e-mail) -> companies with that raw e-mail -> their invoice lines.
 
-    Both left joins use ``left_join_hot_keys`` (``skew_safe=False`` gives the
-    plain joins, for comparison): the lines of a company holding a large share of all
-    invoice lines, or an e-mail shared by many companies, are dealt over many tasks.
+    Both left joins use ``left_join_skew_safe`` (``skew_safe=False`` gives the
+    plain joins, for comparison) so a company holding a large share of all
+    invoice lines, or an e-mail shared by many companies, can be split. With ``pieces`` they
+    use ``left_join_hot_keys``: such keys are found by a sketch and dealt over many
+    tasks, whatever adaptive execution does, and both sides are exchanged once.
     """
     lines = sale.select("companyid", "salesid", "amount", F.col("date").alias("invoice_date"), "description")
 
     def left(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-        if skew_safe:   # a hot key on the right side (many companies per e-mail, many invoice lines per company)
+        if pieces:   # only the right sides are looked at: the left side of the second join is the first join
             return left_join_hot_keys(a, b, key, sides=("right",))
+        if skew_safe:   # a hot key on the right side stays splittable (many companies per e-mail,
+            return left_join_skew_safe(a, b, [key])   # many invoice lines per company)
         return a.join(b, key, "left").select(*a.columns, *[x for x in b.columns if x != key])
 
     none_ = clean_town(F.lit(None).cast("string"))
