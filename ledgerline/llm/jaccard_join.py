@@ -7,19 +7,24 @@ and at their first common token enough of both sets must lie ahead. So candidate
 
 * meet in the groups of one order's prefix tokens, each at a position that still
   allows the overlap that their sizes call for,
-* and must share prefix tokens under every further order too; the filters are
-  intersected before any set is counted.
+* and must share prefix tokens under every further order too: as many as a prefix
+  twice as long has to hold in common. The filters are intersected before any whole
+  set is counted.
 
-All orders put tokens seen often last (by the logarithm of a count over the whole
+These orders put tokens seen often last (by the logarithm of a count over the whole
 corpus) and differ in how they order tokens within a frequency class.
 
-In each group every class is first
-paired with one hub: the class with most copies, then the one with fewest rarer
-tokens, which is the most central of its variants. Verified links give labels, and
-only classes of different labels in one group still have to be compared: outliers
-against the rest of the group, limited by size and position only, so m classes of one
-group that no hub links still give up to about m * m / 2 pairs. Components follow from all verified links, so no link
-between different texts is lost; links inside a labelled cluster are not listed.
+In each group every class is first paired with one hub: the class with most copies,
+then the one with fewest rarer tokens, which is the most central of its variants.
+Verified links give labels, and only classes of different labels in one group, the
+open ones, still have to be compared. One shared token is too little to pair them, so
+they meet under many more orders, each of which puts one slice of all tokens first.
+Sets that link differ in so few tokens that under one of these orders they have the
+same leading run (:func:`run_keys`); sets that merely share a passage hardly ever do.
+The pairs then pass the filters of the orders above. Components follow from all
+verified links, so no link between different texts is lost; links inside a labelled
+cluster are not listed. Only sets that agree on a whole run and yet do not link (far
+variants of one text) are compared in vain.
 
 Class ids are 64-bit hashes of the token sets.
 
@@ -63,11 +68,36 @@ class JoinSpec:
     words: int = 4
     percent: int = 85
     orders: tuple[int, ...] = (11, 23, 47)
+    #: Seed of the orders that put one slice of the tokens first.
+    runs: int = 101
 
     def prefix(self, n: int) -> int:
         """Tokens of a set of ``n`` of which one at least is shared with any set it links to."""
         return n - -(-self.percent * n // 100) + 1
 
+    def long_prefix(self, n: Column) -> Column:
+        """Tokens of the prefixes that are compared under the further orders."""
+        return F.least(n, 2 * (n - F.ceil(F.lit(self.percent) * n / F.lit(100)) + 1))
+
+    def band(self, n: int) -> tuple[int, int, int]:
+        """(number, largest size, largest size of the band before) of the band of sizes that holds ``n``.
+
+        Linked sets lie in one band or in neighbours.
+        """
+        number, most, before = 0, 100 // self.percent, 0
+        while n > most:
+            number, most, before = number + 1, (most + 1) * 100 // self.percent, most
+        return number, most, before
+
+    def slices(self, most: int) -> tuple[int, int]:
+        """(slices, spare ones) for linked pairs whose smaller set has at most ``most`` tokens.
+
+        Such sets differ in so few tokens that more than ``spare`` slices hold one difference or none.
+        """
+        differing = (most + most * 100 // self.percent) * (100 - self.percent) // (100 + self.percent)
+        enough = differing // 2 + 1
+        return enough + enough // 8, enough // 8
+
     def overlap(self, a: Column, b: Column) -> Column:
         """Common tokens that sets of these sizes need."""
         return F.ceil(F.lit(self.percent) * (a + b) / F.lit(100 + self.percent))
@@ -83,6 +113,34 @@ def token_set(text: bytes, words: int) -> np.ndarray:
     return np.unique(window_hashes(hashes, words))
 
 
+#: The leading runs of a slice cut in three: two thirds of it are equal where one token differs.
+THIRDS = np.array([[0, 1], [0, 2], [1, 2]])
+
+
+def _runs(tokens: np.ndarray, spec: JoinSpec, band: int, most: int) -> np.ndarray:
+    """The keys of a set's runs among the sets of this band and the next one."""
+    slices, spare = spec.slices(most)
+    hashed = mix(tokens ^ np.uint64(spec.runs))
+    third = (hashed % np.uint64(3 * slices)).astype(np.int64)
+    sums, sizes = np.zeros(3 * slices, np.uint64), np.bincount(third, minlength=3 * slices)
+    np.add.at(sums, third, mix(hashed))
+    pair = 3 * np.arange(slices)[:, None, None] + THIRDS
+    place = np.arange(3 * slices, dtype=np.uint64).reshape(slices, 3) + (np.uint64(band + 1) << np.uint64(40))
+    keys = mix(mix(sums[pair[:, :, 0]] + mix(place)) + sums[pair[:, :, 1]])
+    empty = sizes[pair].sum(axis=2) == 0
+    # More than `spare` slices agree; unless so many have an empty run, one agrees on a run that is not empty.
+    return (keys[~empty] if empty.any(axis=1).sum() <= spare else keys.ravel()).view(np.int64)
+
+
+def run_keys(tokens: np.ndarray, spec: JoinSpec) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a set among sets of its own band of sizes and the next, and among those of the band before and its own.
+
+    Two sets that link share a key, at least one of them having it in its first list.
+    """
+    band, most, before = spec.band(len(tokens))
+    return _runs(tokens, spec, band, most), _runs(tokens, spec, band - 1, before) if band else np.zeros(0, np.int64)
+
+
 def class_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -238,41 +296,51 @@ def _hub_pairs(groups: DataFrame, spec: JoinSpec) -> DataFrame:
     return pairs.select(F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")).distinct()
 
 
-def _texts_of(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
-    """(class, text, a prefix for each further order) of the classes in the pairs, from one document of each."""
-    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+def _classes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+
+
+def _texts_of(corpus: _Corpus, wanted: DataFrame, runs: bool) -> DataFrame:
+    """(class, n, text, a prefix for each further order, the run keys) of the wanted classes, from one document of each."""
     first = corpus.members.where("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("key1", "key2")).alias("key"))
     chosen = materialize(first.join(wanted, "class").select("class", "key.key1", "key.key2"), "chosen")
     if chosen.count() <= BROADCAST_CLASSES:
         chosen = F.broadcast(chosen)
     found = corpus.docs.select("key1", "key2", "text").join(chosen, ["key1", "key2"]).select("class", "text").dropDuplicates(["class"])
     spec, frequency = corpus.spec, corpus.frequency
+    described = pa.struct([("n", pa.int64()), ("prefixes", pa.list_(pa.list_(pa.int32()))),
+                           ("own", pa.list_(pa.int64())), ("before", pa.list_(pa.int64()))])
 
-    @F.arrow_udf("array<array<int>>")
-    def prefixes(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("struct<n:bigint,prefixes:array<array<int>>,own:array<bigint>,before:array<bigint>>")
+    def describe(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in column:
             rows = []
             for text in text_bytes(part):
                 tokens = token_set(text, spec.words)
-                size = spec.prefix(len(tokens))
-                rows.append([frequency.value.prefix(tokens, size, seed).astype(np.uint32).view(np.int32)
-                             for seed in spec.orders[1:]])
-            yield pa.array(rows, pa.list_(pa.list_(pa.int32())))
+                size = min(len(tokens), 2 * spec.prefix(len(tokens)))
+                prefixes = [np.unique(frequency.value.prefix(tokens, size, seed).astype(np.uint32)).view(np.int32)
+                            for seed in spec.orders[1:]]
+                own, before = run_keys(tokens, spec) if runs else ((), ())
+                rows.append({"n": len(tokens), "prefixes": prefixes, "own": own, "before": before})
+            yield pa.array(rows, described)
 
-    return materialize(found.withColumn("prefixes", prefixes("text")), "texts")
+    return materialize(found.withColumn("about", describe("text")).select("class", "text", "about.*"), "texts")
 
 
-def _verified(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
+def _verified(corpus: _Corpus, texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs that link: filtered by the prefixes under all further orders, then counted on the whole sets."""
-    texts = _texts_of(corpus, pairs)
-    filters = texts.select("class", "prefixes")
-    both = (pairs.join(filters.select(F.col("class").alias("a"), F.col("prefixes").alias("pa")), "a")
-            .join(filters.select(F.col("class").alias("b"), F.col("prefixes").alias("pb")), "b"))
-    shared = F.lit(True)
-    for i in range(len(corpus.spec.orders) - 1):
-        shared = shared & F.arrays_overlap(F.col("pa")[i], F.col("pb")[i])
-    left = materialize(both.where(shared).select("a", "b"), "candidates")
     spec = corpus.spec
+    about = lambda c: texts.select(F.col("class").alias(c), F.col("n").alias(f"n{c}"), F.col("prefixes").alias(f"p{c}"))
+    both = pairs.join(about("a"), "a").join(about("b"), "b")
+    need = spec.overlap(F.col("na"), F.col("nb"))
+    # Of the first k tokens of a set, all but the n - need that the other one may lack are in the other's first ones too.
+    held = F.least(*(spec.long_prefix(F.col(n)) - (F.col(n) - need) for n in ("na", "nb")))
+    shared = need <= F.least("na", "nb")
+    for i in range(len(spec.orders) - 1):
+        # Prefixes hold 32 bits of each token; tokens that fall together lower what is asked.
+        lost = F.greatest(*(spec.long_prefix(F.col(f"n{c}")) - F.size(F.col(f"p{c}")[i]) for c in "ab"))
+        shared = shared & (F.size(F.array_intersect(F.col("pa")[i], F.col("pb")[i])) >= held - lost)
+    left = materialize(both.where(shared).select("a", "b"), "candidates")
 
     @F.arrow_udf("boolean")
     def linked(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -299,20 +367,34 @@ def _verified(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
     return materialize(with_texts.where(linked("ta", "tb")).select("a", "b"), "links")
 
 
-def _open_pairs(groups: DataFrame, links: DataFrame, tested: DataFrame, spec: JoinSpec) -> DataFrame:
-    """(a, b) that the links so far do not connect and that no step has compared: outliers against their group."""
-    label = connected_components(links).select(F.col("node").alias("class"), F.col("root").alias("label"))
-    rows = groups.select("token", "class", "n", "place").distinct().join(label, "class", "left")
-    rows = materialize(rows.withColumn("label", F.coalesce("label", "class")), "labelled")
-    per_label = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("many"))
-    open_groups = per_label.groupBy("token").agg(
+def _apart(rows: DataFrame, key: str) -> DataFrame:
+    """The rows of keys under which more than one label is found, with the label that most of their classes have."""
+    per_label = rows.groupBy(key, "label").agg(F.count(F.lit(1)).alias("many"))
+    several = per_label.groupBy(key).agg(
         F.max(F.struct("many", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    rows = materialize(rows.join(open_groups.select("token", F.col("top.label").alias("main")), "token"), "open-groups")
-    one = rows.where("label <> main").select("token", *(F.col(c).alias(f"{c}_1") for c in ("class", "n", "place", "label")))
-    two = rows.select("token", "main", *(F.col(c).alias(f"{c}_2") for c in ("class", "n", "place", "label")))
-    met = one.join(two, "token").where(
+    return rows.join(several.select(key, F.col("top.label").alias("main")), key)
+
+
+def _open_classes(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """(class, label) of the classes that share a prefix token with a class which the links so far do not connect them to."""
+    label = connected_components(links).select(F.col("node").alias("class"), F.col("root").alias("label"))
+    rows = groups.select("token", "class").join(label, "class", "left")
+    rows = rows.withColumn("label", F.coalesce("label", "class"))
+    apart = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return materialize(rows.join(apart.select("token"), "token", "left_semi").select("class", "label").distinct(), "open-classes")
+
+
+def _open_pairs(opened: DataFrame, texts: DataFrame, tested: DataFrame, spec: JoinSpec) -> DataFrame:
+    """(a, b) of different labels that agree on a run and that no step has compared."""
+    runs = lambda c, own: texts.select("class", "n", F.explode(c).alias("run")).withColumn("own", F.lit(own))
+    rows = runs("own", True).unionByName(runs("before", False)).join(opened, "class")
+    rows = materialize(_apart(rows, "run"), "open-runs")
+    columns = ("class", "n", "label", "own")
+    one = rows.where("label <> main").select("run", *(F.col(c).alias(f"{c}_1") for c in columns))
+    two = rows.select("run", "main", *(F.col(c).alias(f"{c}_2") for c in columns))
+    met = one.join(two, "run").where(
         (F.col("label_1") != F.col("label_2")) & ((F.col("label_2") == F.col("main")) | (F.col("class_1") < F.col("class_2")))
-        & _fits(spec, F.col("n_1"), F.col("place_1"), F.col("n_2"), F.col("place_2")))
+        & (F.col("own_1") | F.col("own_2")) & (spec.overlap(F.col("n_1"), F.col("n_2")) <= F.least("n_1", "n_2")))
     pairs = met.select(F.least("class_1", "class_2").alias("a"), F.greatest("class_1", "class_2").alias("b")).distinct()
     return materialize(pairs.join(tested, ["a", "b"], "left_anti"), "open-pairs")
 
@@ -328,8 +410,10 @@ def link_documents(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     corpus = _survey(docs, spec)
     groups = _groups(corpus)
     hub_pairs = materialize(_hub_pairs(groups, spec), "hub-pairs")
-    links = _verified(corpus, hub_pairs)
-    more = _verified(corpus, _open_pairs(groups, links, hub_pairs, spec))
+    links = _verified(corpus, _texts_of(corpus, _classes_of(hub_pairs), runs=False), hub_pairs)
+    opened = _open_classes(groups, links)
+    texts = _texts_of(corpus, opened.select("class"), runs=True)
+    more = _verified(corpus, texts, _open_pairs(opened, texts, hub_pairs, spec))
     roots = connected_components(links.unionByName(more)).select(F.col("node").alias("class"), "root")
     return corpus.members.join(roots, "class", "left").select(
         "id", "key1", "key2", "class", "n", F.coalesce("root", "class").alias("root"))
