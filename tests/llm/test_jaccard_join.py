@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
 import pytest
 
 from ledgerline.llm import jaccard_join as J
@@ -82,42 +81,3 @@ def test_keep_one_of_each(spark):
 def test_empty_table(spark):
     assert J.op9_jaccard_join(empty(spark)).collect() == []
     assert J.keep_one_of_each(empty(spark)).collect() == []
-
-
-@pytest.mark.parametrize(("percent", "size"), [(85, 171), (80, 171), (80, 30), (60, 12), (85, 3)])
-def test_linked_sets_share_a_run(percent, size):
-    spec, rng = J.JoinSpec(percent=percent), random.Random(size)
-    for _ in range(200):
-        union = np.unique(np.array([rng.getrandbits(64) for _ in range(size)], np.uint64))
-        most = len(union) * (100 - percent) // 100
-        gone = rng.sample(range(len(union)), rng.randint(max(0, most - 2), most))
-        cut = rng.randint(0, len(gone))
-        a, b = np.delete(union, gone[:cut]), np.delete(union, gone[cut:])
-        own_a, before_a = (set(k.tolist()) for k in J.run_keys(a, spec))
-        own_b, before_b = (set(k.tolist()) for k in J.run_keys(b, spec))
-        assert own_a & (own_b | before_b) or own_b & before_a
-
-
-def test_passages_shared_by_unlinked_documents_make_few_pairs(spark, monkeypatch):
-    """Documents of three paragraphs of a pool: almost all share a paragraph with a tenth of the others, few link."""
-    rng, pool = random.Random(3), [prose(100 + i, 60) for i in range(30)]
-    texts = [" ".join(rng.choice(pool) for _ in range(3)) for _ in range(1000)]
-    made, materialize = {}, J.materialize
-
-    def counted(df, name):
-        out = materialize(df, name)
-        made.setdefault(name, []).append(out.count())
-        return out
-
-    monkeypatch.setattr(J, "materialize", counted)
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
-    linked = J.link_documents(df)
-    sizes, roots = components(texts, 4, 85)
-    groups = {}
-    for r in linked.collect():
-        groups.setdefault(r.root, set()).add(r.id)
-    expected = {}
-    for i, root in enumerate(roots):
-        expected.setdefault(root, set()).add(i)
-    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
-    assert made["candidates"][-1] + made["open-pairs"][0] <= 20 * made["links"][-1] + len(texts) * 10
