@@ -7,7 +7,7 @@ other place of the corpus. Hashing every window would shuffle a row per word, so
    difference cover. For any two positions some shift takes both into the cover, so
    two equal windows always share an aligned anchor inside them. Anchors that occur
    once rule out every window they alone could vouch for.
-2. *Extension.* The windows around repeated anchors are hashed whole (96 bits) and
+2. *Extension.* The windows around repeated anchors are hashed whole (95 bits) and
    looked up against each other; those without a partner are struck out.
 3. Words covered by what remains are removed.
 
