@@ -33,6 +33,35 @@ def test_wu_manber_equals_brute_force():
         assert ({p for a, b in ranges for p in range(a, b)}, listed) == brute(doc, items, 4)
 
 
+def test_texts_searched_together_in_short_runs_equal_brute_force(monkeypatch):
+    monkeypatch.setattr(D, "RUN", 4)
+    rng = random.Random(3)
+    for _ in range(400):
+        letters = [b"a", b"b", b"cd"][:rng.choice([2, 3])]
+        some = lambda n: [rng.choice(letters) for _ in range(n)]
+        items = [(str(i) if rng.random() < 0.8 else None, b" ".join(some(rng.randint(0, 7)))) for i in range(rng.randint(0, 5))]
+        docs = [some(rng.choice([0, 1, 3, 30])) for _ in range(rng.randint(0, 6))]
+        found = D.search_words([D.word_hashes(b" ".join(d), D.ALNUM) for d in docs], D.matchers(items, 4))
+        for doc, (ranges, listed) in zip(docs, found, strict=True):
+            hit, ids = brute(doc, items, 4)
+            assert ({p for a, b in ranges for p in range(a, b)}, listed) == (hit, ids - {None})
+
+
+def test_table_is_bounded_in_bytes():
+    items = [(str(i), prose(i, 40).encode()) for i in range(500)]
+    assert D.matchers(items).nbytes() <= 44 * 500 * 40 + 16 * 500
+    same = [(str(i), prose(1, 40).encode()) for i in range(500)]
+    assert len(D.matchers(same).matchers[0].starts) == 31
+
+
+def test_text_above_a_piece(spark):
+    item = prose(70, 15)
+    long = "start " + prose(71, 150_000) + " " + item + " " + prose(72, 150_000)
+    docs = spark.createDataFrame([(1, long), (2, item)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in D.op5_decontamination(docs, spark.createDataFrame([(1, item)], ITEM_DDL)).collect()}
+    assert got == {1: (300_016, 15), 2: (15, 15)} and len(long) > 1 << 20
+
+
 def test_words():
     assert D.words_of("Ab-c9 É_ü\x7fx".encode()) == [b"ab", b"c9", "É".encode(), "ü".encode(), b"x"]
 
