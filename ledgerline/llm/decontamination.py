@@ -5,9 +5,9 @@ the whole item when it is shorter. Patterns of one length form a matcher. Its sh
 table says, for the block of the last two words under the search window, how far
 the window may move without passing an occurrence; a block that ends no pattern
 part lets it jump the whole pattern. Where the shift is zero, the bucket of the
-block names the patterns that end with it (and begin with the window's first block),
-and direct comparison, word by word, confirms them. Words are compared by their
-64-bit hashes, so a table is a few arrays.
+block holds the patterns that end with it, in order of a hash of the whole pattern, and
+direct comparison, word by word, confirms the ones with the window's hash. Words are
+compared by their 64-bit hashes, so a table is a few arrays.
 
 The patterns of a benchmark are handed to the tasks, so their size is measured
 first: one table up to ``SHARD_WORDS`` words. Otherwise repeated items are taken once,
@@ -71,7 +71,8 @@ class WuManber:
     """Shift table and buckets of word patterns that all have ``length`` words, as arrays.
 
     Words are 64-bit hashes. The shift table is addressed by leading bits of a block's hash; blocks that
-    meet there share the lesser shift. A bucket holds the patterns that end and begin with the same blocks.
+    meet there share the lesser shift. A bucket is searched by the hash of the whole window, so that many
+    patterns between frequent words cost no more than one.
     """
 
     def __init__(self, length: int, words: np.ndarray, starts: np.ndarray, items: np.ndarray):
@@ -104,7 +105,10 @@ class WuManber:
         self.listed = listed.astype(np.int32)
 
     def _key(self, suffix: np.ndarray, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return mix(suffix * _BASE + block_hashes(words, starts, self.block))
+        whole = np.zeros(len(starts), np.uint64)
+        for j in range(self.length):
+            whole = whole * _BASE + words[starts + j]
+        return mix(suffix + mix(whole))
 
     def nbytes(self) -> int:
         return sum(x.nbytes for x in (self.words, self.shift, self.key, self.starts, self.listed_from, self.listed_to, self.listed))
@@ -133,7 +137,7 @@ class WuManber:
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def _compare(self, words: np.ndarray, at: np.ndarray, suffix: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Direct comparison of the words at each place with the patterns of its bucket, one of each bucket at a time."""
+        """Direct comparison of the words at each place with those patterns of its bucket that have its hash, one at a time."""
         key = self._key(suffix, words, at)
         candidate, end = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
         while True:
