@@ -16,7 +16,8 @@ of their class as they stand for, in the models and in the choice of the thresho
 so probabilities and verdicts refer to the class shares of all labels at any size.
 Scoring covers every row.
 
-Defined results: null and empty texts have no features and get the base rate;
+Defined results: null and empty texts have no features and get the base rate; a very
+long text is read whole, in pieces; ties of a threshold's F1 take the middle one;
 rows with a null label or id do not train; a category without both classes in the
 sample predicts its constant share; repeated rows are each scored; an empty table
 gives an empty table; other input columns are kept.
@@ -33,12 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.columns import free_name, text_bytes
-from ledgerline.llm.words import ALNUM, mix, word_hashes, word_spans
+from ledgerline.llm.words import ALNUM, mix, pieces, word_hashes, word_spans
 
 #: Hashed feature space: words in the lower half, beginnings of words in the upper.
 BITS = 20
-#: A longer word also counts as its beginnings of so many bytes (a stem with some ending).
-BEGINNINGS = (6, 7)
+#: A longer word also counts as its beginnings of so many code points (a stem with some ending).
+BEGINNINGS = range(4, 11)
+#: Bytes of the texts whose features are made together; a longer text is cut between words.
+GROUP_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -49,28 +52,67 @@ class TrainSpec:
     max_rows: int = 6000
     folds: int = 5
     #: Features kept for each model, by chi-square with its category.
-    features: int = 200
+    features: int = 400
     #: Rows a feature must occur in.
     least_rows: int = 4
     l2: float = 0.3
     steps: int = 25
 
 
+def _groups(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """(bytes, where texts start in them, their numbers): lower-cased texts, or pieces of a long one, joined by line ends."""
+    parts, numbers, held = [], [], 0
+    for i, text in enumerate(texts):
+        lowered = text.decode("utf-8", "replace").lower().encode()
+        raw = np.frombuffer(lowered, np.uint8)
+        for lo, hi in pieces(raw, ALNUM):
+            if held + hi - lo > GROUP_BYTES and parts:
+                yield _joined(parts, numbers)
+                parts, numbers, held = [], [], 0
+            parts.append(lowered[lo:hi])
+            numbers.append(i)
+            held += hi - lo + 1
+    if parts:
+        yield _joined(parts, numbers)
+
+
+def _joined(parts: list[bytes], numbers: list[int]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    sizes = np.array([len(p) + 1 for p in parts])
+    return b"\n".join(parts), np.cumsum(sizes) - sizes, np.array(numbers)
+
+
+def features_in(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text number, hashed feature) of all words and beginnings, with repeats, a group of texts at a time."""
+    half = np.uint64(1 << (BITS - 1))
+    down = np.uint64(64 - BITS + 1)
+    for data, firsts, numbers in _groups(texts):
+        starts, ends = word_spans(data, ALNUM)
+        of = numbers[np.searchsorted(firsts, starts, "right") - 1]
+        yield of, (word_hashes(data, ALNUM) >> down).astype(np.int32)
+        raw = np.frombuffer(data, np.uint8)
+        chars = np.flatnonzero((raw & 0xC0) != 0x80)  # where code points start
+        first, last = np.searchsorted(chars, starts), np.searchsorted(chars, ends)
+        chars = np.append(chars, len(raw))
+        for size in BEGINNINGS:
+            longer = np.flatnonzero(last - first > size)
+            to = chars[first[longer] + size]
+            yield of[longer], ((span_hashes(raw, starts[longer], to) >> down) + half).astype(np.int32)
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span; spans have few bytes."""
+    key, size = np.zeros(len(starts), np.uint64), ends - starts
+    for i in range(int(size.max(initial=0))):
+        inside = size > i
+        byte = raw[np.where(inside, starts + i, 0)]
+        key = np.where(inside, key * np.uint64(0x100000001B3) ^ byte, key)
+    return mix(key + size.astype(np.uint64))
+
+
 def features_of(text: bytes) -> np.ndarray:
     """Distinct hashed features of a text, sorted."""
-    lowered = text.decode("utf-8", "replace").lower().encode()
-    half = np.uint64(1 << (BITS - 1))
-    words = word_hashes(lowered, ALNUM) >> np.uint64(64 - BITS + 1)
-    starts, ends = word_spans(lowered, ALNUM)
-    raw = np.frombuffer(lowered, np.uint8)
-    found = [words]
-    for size in BEGINNINGS:
-        at = starts[ends - starts > size]
-        key = np.full(len(at), size, np.uint64)
-        for i in range(size):
-            key = key * np.uint64(0x100000001B3) ^ raw[at + i]
-        found.append((mix(key) >> np.uint64(64 - BITS + 1)) + half)
-    return np.unique(np.concatenate(found)).astype(np.int32)
+    found = [np.unique(features) for _, features in features_in([text])]
+    return np.unique(np.concatenate(found)).astype(np.int32) if found else np.zeros(0, np.int32)
 
 
 @dataclass
@@ -91,37 +133,51 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Rows:
-    """Labelled rows as lists of feature ids."""
+    """Labelled rows as lists of feature ids; features in fewer than ``least_rows`` rows and those in the same rows as another one go."""
 
-    def __init__(self, features: list[np.ndarray]):
+    def __init__(self, features: list[np.ndarray], least_rows: int = 1):
         self.n = len(features)
-        self.row = np.repeat(np.arange(self.n), [len(f) for f in features])
-        self.feature = np.concatenate(features) if features else np.zeros(0, np.int32)
-
-    def counts(self, mask: np.ndarray) -> np.ndarray:
-        return np.bincount(self.feature[mask[self.row]], minlength=1 << BITS)
+        feature = np.concatenate(features) if features else np.zeros(0, np.int32)
+        row = np.repeat(np.arange(self.n, dtype=np.int32), [len(f) for f in features])
+        kept = np.bincount(feature, minlength=1 << BITS)[feature] >= least_rows
+        feature, row = feature[kept], row[kept]
+        order = np.argsort(feature, kind="stable")
+        self.feature, self.row = feature[order], row[order]
+        self.ids, at = np.unique(self.feature, return_index=True)
+        # Beginnings of one word are often in the same rows: the first of those features stands for them.
+        if len(at):
+            rows_hash = np.add.reduceat(mix(self.row.astype(np.uint64) + np.uint64(1)), at)
+            _, first = np.unique(rows_hash, return_index=True)
+            own = np.zeros(len(self.ids), bool)
+            own[first] = True
+            kept = np.repeat(own, np.diff(np.append(at, len(self.feature))))
+            self.feature, self.row, self.ids = self.feature[kept], self.row[kept], self.ids[own]
+        self.place = np.searchsorted(self.ids, self.feature)
+
+    def counts(self, weight: np.ndarray) -> np.ndarray:
+        """The weight of the rows that hold each feature."""
+        return np.bincount(self.place, weights=weight[self.row], minlength=len(self.ids))
 
     def dense(self, chosen: np.ndarray) -> np.ndarray:
         out = np.zeros((self.n, len(chosen)))
-        if len(chosen):
-            at = np.searchsorted(chosen, self.feature)
-            at[at == len(chosen)] = 0
-            ok = chosen[at] == self.feature
-            out[self.row[ok], at[ok]] = 1.0
+        for i, (a, b) in enumerate(zip(np.searchsorted(self.feature, chosen, "left"),
+                                       np.searchsorted(self.feature, chosen, "right"), strict=True)):
+            out[self.row[a:b], i] = 1.0
         return out
 
 
-def choose_features(rows: Rows, y: np.ndarray, train: np.ndarray, spec: TrainSpec) -> np.ndarray:
-    """Features most dependent on the category among the training rows (chi-square)."""
-    inside, total = rows.counts(train & (y == 1)).astype(float), rows.counts(train).astype(float)
-    n, positive = float(train.sum()), float((y[train] == 1).sum())
+def choose_features(rows: Rows, y: np.ndarray, train: np.ndarray, spec: TrainSpec, weight: np.ndarray | None = None) -> np.ndarray:
+    """Features most dependent on the category among the weighted training rows (chi-square)."""
+    weight = np.where(train, np.ones(rows.n) if weight is None else weight, 0.0)
+    inside, total, held = rows.counts(weight * (y == 1)), rows.counts(weight), rows.counts(train.astype(float))
+    n, positive = float(weight.sum()), float(weight[y == 1].sum())
     expected = total * positive / n
     rest = n - total
     with np.errstate(divide="ignore", invalid="ignore"):
         score = (inside - expected) ** 2 * n / np.maximum(expected, 1e-9) / np.maximum((n - positive) * rest / n, 1e-9) * rest
-    score[(total < spec.least_rows) | (total >= n)] = -1.0
+    score[(held < spec.least_rows) | (held >= train.sum())] = -1.0
     best = np.argsort(-score, kind="stable")[:spec.features]
-    return np.sort(best[score[best] > 0])
+    return np.sort(rows.ids[best[score[best] > 0]])
 
 
 def fit_link(rows: Rows, y: np.ndarray, before: np.ndarray, train: np.ndarray, spec: TrainSpec,
@@ -132,7 +188,7 @@ def fit_link(rows: Rows, y: np.ndarray, before: np.ndarray, train: np.ndarray, s
     constant = float(np.log(share / (1 - share)))
     if not train.any() or len(np.unique(y[train])) < 2:
         return Link(np.zeros(0, np.int64), np.zeros(0), np.zeros(before.shape[1]), constant)
-    chosen = choose_features(rows, y, train, spec)
+    chosen = choose_features(rows, y, train, spec, weight)
     x = np.hstack((rows.dense(chosen), before, np.ones((rows.n, 1))))[train]
     target, weight = y[train].astype(float), weight[train]
     w = np.zeros(x.shape[1])
@@ -154,7 +210,7 @@ def fit_link(rows: Rows, y: np.ndarray, before: np.ndarray, train: np.ndarray, s
 
 def fit_chain(features: list[np.ndarray], labels: np.ndarray, spec: TrainSpec, weight: np.ndarray | None = None) -> tuple[list[Link], np.ndarray]:
     """The links in chain order, and the out-of-fold probabilities (row by category)."""
-    rows, n, categories = Rows(features), len(features), labels.shape[1]
+    rows, n, categories = Rows(features, spec.least_rows), len(features), labels.shape[1]
     fold = np.arange(n) % spec.folds
     out_of_fold = np.zeros((n, categories))
     links = []
@@ -196,9 +252,17 @@ class Chain:
     def probabilities(self, texts: list[bytes]) -> np.ndarray:
         """Text by category, to six decimals."""
         out = np.zeros((len(texts), len(self.links)))
-        for i, text in enumerate(texts):
-            found = np.intersect1d(features_of(text), self.chosen, assume_unique=True)
-            out[i] = self.weights[np.searchsorted(self.chosen, found)].sum(axis=0)
+        present = [np.zeros(0, np.int64)]
+        place = np.full(1 << BITS, -1, np.int32)
+        place[self.chosen] = np.arange(len(self.chosen))
+        for of, features in features_in(texts):
+            at = place[features]
+            hit = at >= 0
+            present.append(np.unique(of[hit].astype(np.int64) * len(self.chosen) + at[hit]))
+        if len(self.chosen):
+            text, at = np.divmod(np.unique(np.concatenate(present)), len(self.chosen))
+            for c in range(len(self.links)):
+                out[:, c] = np.bincount(text, weights=self.weights[at, c], minlength=len(texts))
         for c, link in enumerate(self.links):
             out[:, c] = sigmoid(out[:, c] + out[:, :c] @ link.earlier + link.constant)
         return out.round(6)

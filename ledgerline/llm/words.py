@@ -53,14 +53,14 @@ def word_spans(data: bytes, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     if len(raw) <= PIECE_BYTES:
         return _piece_spans(raw, member)
     starts, ends = [], []
-    for lo, hi in _pieces(raw, member):
+    for lo, hi in pieces(raw, member):
         s, e = _piece_spans(raw[lo:hi], member)
         starts.append(s + lo)
         ends.append(e + lo)
     return np.concatenate(starts), np.concatenate(ends)
 
 
-def _pieces(raw: np.ndarray, member: np.ndarray):
+def pieces(raw: np.ndarray, member: np.ndarray):
     """(from, to) cuts of about PIECE_BYTES that never split a word."""
     lo, n = 0, len(raw)
     while lo < n:
@@ -77,7 +77,7 @@ def word_hashes(data: bytes, member: np.ndarray = SPACED) -> np.ndarray:
     """The 64-bit hash of each word of ``data``, in order."""
     raw = np.frombuffer(data, np.uint8)
     parts = []
-    for lo, hi in _pieces(raw, member):
+    for lo, hi in pieces(raw, member):
         piece = raw[lo:hi]
         starts, ends = _piece_spans(piece, member)
         if not len(starts):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -47,6 +48,54 @@ def test_later_links_train_on_out_of_fold_probabilities():
     assert abs(T.fit_chain(features, flipped, T.TrainSpec(folds=4))[1][0, 0] - out_of_fold[0, 0]) < 1e-12
 
 
+def test_features_are_words_and_beginnings_in_code_points(monkeypatch):
+    monkeypatch.setattr(T, "BITS", 31)  # no two of them meet by chance
+    def plain(text):
+        words = {w for w in re.findall("[0-9a-z\x80-\U0010ffff]+", text.lower())}
+        return words, {(w[:k], k) for w in words for k in range(4, 11) if len(w) > k}
+    text = "Größenwahn größe ÉÉÉÉÉé naïvement 漢字漢字漢字 x " + "y" * 30 + " " + prose(3, 200)
+    words, beginnings = plain(text)
+    assert len(T.features_of(text.encode())) == len(words) + len(beginnings)
+    one_by_one = np.unique(np.concatenate([T.features_of(w.encode()) for w in words]))
+    assert (T.features_of(text.encode()) == one_by_one).all()
+    shared = set(T.features_of("größenwahn".encode())) & set(T.features_of("Größenteils".encode()))
+    assert len(shared) == 3  # of 4, 5 and 6 code points
+
+
+def test_probabilities_equal_a_plain_chain(monkeypatch):
+    monkeypatch.setattr(T, "GROUP_BYTES", 200)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["alpha", "betagamma", "deltadelta", "épsilonique", "zeta"]) for _ in range(rng.randint(0, 60))).encode()
+             for _ in range(60)]
+    y = np.array([[int(b"zeta" in t), int(b"alpha" in t)] for t in texts])
+    links, _ = T.fit_chain([T.features_of(t) for t in texts], y, T.TrainSpec(least_rows=1))
+    got = T.Chain(["a", "b"], links).probabilities(texts)
+    for text, row in zip(texts, got, strict=True):
+        earlier = []
+        for link in links:
+            weights = dict(zip(link.chosen.tolist(), link.weights.tolist(), strict=True))
+            z = link.constant + sum(weights.get(f, 0.0) for f in T.features_of(text).tolist())
+            earlier.append(1 / (1 + np.exp(-(z + sum(w * p for w, p in zip(link.earlier, earlier, strict=True))))))
+        assert np.abs(row - earlier).max() < 2e-6
+
+
+def test_choice_of_features_weighs_rows():
+    rows = T.Rows([np.array(f, np.int32) for f in ([1, 2], [1], [2, 3], [3])])
+    y, every = np.array([1, 1, 0, 0]), np.ones(4, bool)
+    spec = T.TrainSpec(features=1, least_rows=1)
+    assert T.choose_features(rows, y, every, spec).tolist() in ([1], [3])
+    assert T.choose_features(rows, np.array([1, 0, 0, 0]), every, spec, np.array([1.0, 0.0, 1.0, 5.0])).tolist() == [1]
+    assert T.Rows([np.array([4, 7], np.int32), np.array([4, 7], np.int32), np.array([9], np.int32)]).ids.tolist() == [4, 9]
+
+
+def test_text_above_a_piece():
+    long = (prose(9, 300_000) + " idiotisch").encode()
+    assert len(long) > 1 << 20
+    halves = long[:len(long) // 2].rsplit(b" ", 1)[0]
+    parts = np.union1d(T.features_of(halves), T.features_of(long[len(halves):]))
+    assert (T.features_of(long) == parts).all()
+
+
 def test_bound_of_the_sample(spark):
     _, labels = corpus(spark)
     sample = T.sample_labels(labels.unionByName(labels), "doc_id", T.label_chain(), T.TrainSpec(max_rows=40))
