@@ -20,7 +20,8 @@ Nothing depends on how rows are partitioned: shards are ranges of a hash of the
 so one source holding a third of all rows is dealt over many shards, and sizes are
 summed before they are shuffled.
 
-Defined results: a null or blank text has size 0 and takes 0; a null source is a
+Defined results: a null or blank text has size 0 and takes 0; a very long text lies
+over as many blocks as it has words for; a null source is a
 source of its own, listed last; documents without id order by their size and text;
 fully repeated rows share out what their copies take in any order; an empty table
 gives an empty table; other input columns, also ones named like results, are kept.
@@ -57,8 +58,10 @@ class MixSpec:
     shard_words: int = 100_000
 
 
-#: Fine hash ranges of which shards are made: the first three hex digits of the key.
-FINE = 4096
+#: Fine hash ranges of which shards are made: the first hex digits of the key. A source of 5 trillion words,
+#: a third of 100 TB, has shards of 5 million words.
+FINE_DIGITS = 5
+FINE = 16 ** FINE_DIGITS
 #: A prime above any number of blocks in a shard, so that multiples of it permute them.
 PRIME = 2_147_483_647
 
@@ -136,7 +139,7 @@ def mix_sources(df: DataFrame, text_col: str = "text", source_col: str = "source
         size: F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"), key: source_key(source),
         order: F.md5(F.concat_ws(":", F.lit(spec.seed), id_.cast("string"))), tie: F.xxhash64(text)})
 
-    fine = materialize(sized.groupBy(F.col(key).alias("key"), source.alias("source"), hex_number(F.col(order), 3).alias("fine"))
+    fine = materialize(sized.groupBy(F.col(key).alias("key"), source.alias("source"), hex_number(F.col(order), FINE_DIGITS).alias("fine"))
                        .agg(F.sum(size).alias("words")), "mix-sizes")
     sources = source_targets(fine.groupBy("key", "source").agg(F.sum("words").alias("source_size")), spec)
     block = F.greatest(F.lit(1), F.least(F.lit(spec.most_block_words), F.floor(F.col("all_words") / spec.blocks))).cast("long")
@@ -169,7 +172,7 @@ def mix_sources(df: DataFrame, text_col: str = "text", source_col: str = "source
     wanted = free_name(df, result)
     facts, first = free_name(df, "_mix_facts"), free_name(df, "_mix_first")
     dealt = sized.join(by_source.select(key, F.struct("source_size", "target", "block", "shards").alias(facts)), key)
-    dealt = dealt.withColumn(shard, F.floor(hex_number(F.col(order), 3) * F.col(facts)["shards"] / FINE).cast("long"))
+    dealt = dealt.withColumn(shard, F.floor(hex_number(F.col(order), FINE_DIGITS) * F.col(facts)["shards"] / FINE).cast("long"))
     strip = Window.partitionBy(key, shard).orderBy(order, size, tie).rowsBetween(Window.unboundedPreceding, -1)
     dealt = dealt.withColumn(first, F.coalesce(F.sum(size).over(strip), F.lit(0)))
     quota = free_name(df, "_mix_quota")
@@ -200,7 +203,7 @@ OP6_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          coalesce('s' || source, 'n') AS key, md5(concat_ws(':', 'mix-1', CAST(doc_id AS VARCHAR))) AS ord FROM documents),
-hashed AS (SELECT *, ('0x' || substr(ord, 1, 3))::BIGINT AS fine FROM sized),
+hashed AS (SELECT *, ('0x' || substr(ord, 1, 5))::BIGINT AS fine FROM sized),
 per_source AS (SELECT key, any_value(source) AS source, sum(size)::BIGINT AS source_size FROM hashed GROUP BY key),
 ranked AS (
   SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place,
@@ -227,10 +230,10 @@ seats AS (
     FROM (SELECT *, unnest(generate_series(1, (target / block * 1.1)::BIGINT + 30)) AS k FROM dealt WHERE target > 0))
   WHERE r <= n GROUP BY key),
 sources AS (
-  SELECT t.*, coalesce(blocks, 0) AS blocks, greatest(1, least(4096, ceil(source_size / 100000)))::BIGINT AS shards
+  SELECT t.*, coalesce(blocks, 0) AS blocks, greatest(1, least(1048576, ceil(source_size / 100000)))::BIGINT AS shards
   FROM dealt t LEFT JOIN seats USING (key)),
 placed AS (
-  SELECT h.*, source_size, target, block, blocks, floor(fine * shards / 4096)::BIGINT AS shard
+  SELECT h.*, source_size, target, block, blocks, floor(fine * shards / 1048576)::BIGINT AS shard
   FROM hashed h JOIN sources USING (key)),
 shard_sizes AS (
   SELECT key, shard, any_value(block) AS block, any_value(blocks) AS blocks, sum(size) AS shard_words
