@@ -41,7 +41,7 @@ BITS = 20
 #: A longer word also counts as its beginnings of so many code points (a stem with some ending).
 BEGINNINGS = range(4, 11)
 #: Bytes of the texts whose features are made together; a longer text is cut between words.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
