@@ -54,4 +54,4 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express on whole tables."""
     return {"op1_url_filter": url_filter.OP1_SQL, "op5_decontamination": decontamination.OP5_SQL,
             "op6_source_mix": mixing.OP6_SQL, "op8_substring_dedup": substring_dedup.OP8_SQL,
-            "op12_merkle_manifest": merkle.OP12_SQL}
+            "op9_jaccard_join": jaccard_join.OP9_SQL, "op12_merkle_manifest": merkle.OP12_SQL}

@@ -362,3 +362,28 @@ def op9_jaccard_join(documents: DataFrame) -> DataFrame:
     found = linked.join(component_ids(linked), "class", "left")
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT r, list_slice(w, i, i + least(4, len(w)) - 1) AS s
+  FROM (SELECT r, w, unnest(generate_series(1, len(w) - least(4, len(w)) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+shared AS (
+  SELECT a.r AS r, b.r AS q, count(*) AS same FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r GROUP BY a.r, b.r),
+half AS (
+  SELECT r, q FROM shared JOIN sizes x USING (r) JOIN (SELECT r AS q, n AS m FROM sizes) y USING (q)
+  WHERE 100 * same >= 85 * (n + m - same)),
+links AS (SELECT r, q FROM half UNION ALL SELECT q, r FROM half),
+reached AS (
+  SELECT r, r AS q FROM docs
+  UNION
+  SELECT reached.r, links.q FROM reached JOIN links ON links.r = reached.q),
+smallest AS (SELECT reached.r, min(doc_id) AS component_id FROM reached JOIN docs ON docs.r = reached.q GROUP BY reached.r)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM docs JOIN smallest USING (r) LEFT JOIN sizes USING (r)
+"""
