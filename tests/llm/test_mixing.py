@@ -79,6 +79,13 @@ def test_small_sources_get_their_targets_at_large_blocks(spark):
     assert abs(sum(taken.values()) - sum(target.values())) <= 0.01 * sum(target.values())
 
 
+def test_a_source_of_more_than_4096_shards(spark):
+    rows = [(i, "a b c d e f", "hot") for i in range(6000)] + [(9000 + i, prose(i, 40), f"s{i % 2}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = mix_sources(df, spec=MixSpec(shard_words=6)).select("source", "mix.*")
+    check(out.collect(), 0.02)
+
+
 def test_reruns_agree_over_any_partitioning(spark):
     df = documents(spark)
     assert rows_of(op6_source_mix(df)) == rows_of(op6_source_mix(df.repartition(13)))
