@@ -17,7 +17,7 @@ is needed at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline import params as P
@@ -82,6 +82,21 @@ def daily_active_flag(date_table: DataFrame, acc_sale: DataFrame, company: DataF
                        (latest >= F.date_sub(F.col("date_date"), P.GRACE_DAYS)).alias("is_active"))
 
 
+def last_day_sold(month: str, sold: Column | str) -> Column:
+    """The day of the highest bit of ``sold`` in ``month`` (bit 0 is the first of the month); NULL without a bit."""
+    bits = F.col(sold) if isinstance(sold, str) else sold
+    return F.when(bits > 0, F.date_add(month, F.length(F.bin(bits)) - 1))
+
+
+def invoice_months(acc_sale: DataFrame) -> DataFrame:
+    """Per company and month with dated invoices: the invoiced days as bits, and the last invoice day before that month."""
+    per_month = (company_sales(acc_sale).where(F.col("companyid").isNotNull())
+                 .groupBy(F.col("companyid").alias("studentid"), F.trunc("sale_date", "MM").alias("sale_month"))
+                 .agg(F.expr("bit_or(shiftleft(1L, dayofmonth(sale_date) - 1))").alias("sold")))
+    in_order = Window.partitionBy("studentid").orderBy("sale_month")
+    return per_month.withColumn("sold_before", F.lag(last_day_sold("sale_month", "sold")).over(in_order))
+
+
 def programme_activity_asof(date_table: DataFrame, acc_sale: DataFrame, transactions: DataFrame,
                             grace: int = P.GRACE_DAYS) -> DataFrame:
     """The 42-day rule as stated: per calendar day and company with programme revenue in that month.
@@ -89,16 +104,23 @@ def programme_activity_asof(date_table: DataFrame, acc_sale: DataFrame, transact
     ``daily_active_flag`` keeps the original's same-day join, under which a company is active on the days
     it is invoiced and unknown on all others. Here each day looks up the company's last
     invoice on or before it, and the company is active when that is at most ``grace`` days ago.
+
+    The lookup is made once per company and month: it finds the latest month with invoices at or before
+    the asked one, with its invoiced days and the last invoice before it, which decide every day of the
+    month. The days come last, from the calendar, so no row per company and day is exchanged.
     """
-    months = (programme_revenue_base(transactions).where(F.col("companyid").isNotNull() & F.col("trans_month").between(1, 12))
-              .select("companyid", "trans_year", "trans_month").distinct())
-    first = F.make_date("trans_year", "trans_month", F.lit(1))
-    days = months.select(F.col("companyid").alias("studentid"), F.explode(F.sequence(first, F.last_day(first))).alias("date_date"))
-    calendar = date_table.select(F.col("date").alias("date_date")).distinct()
-    sales = company_sales(acc_sale).select(F.col("companyid").alias("studentid"), F.col("sale_date").alias("last_invoice_date"))
-    seen = asof_join(days.join(calendar, "date_date", "left_semi"), sales, ["studentid"], "date_date", "last_invoice_date")
-    return seen.select("date_date", "studentid", "last_invoice_date",
-                       F.coalesce(F.col("last_invoice_date") >= F.date_sub("date_date", grace), F.lit(False)).alias("is_active"))
+    base = programme_revenue_base(transactions).where(F.col("companyid").isNotNull() & F.col("trans_month").between(1, 12))
+    months = base.select(F.col("companyid").alias("studentid"), F.make_date("trans_year", "trans_month", F.lit(1)).alias("month")).distinct()
+    seen = asof_join(months, invoice_months(acc_sale), ["studentid"], "month", "sale_month", ["sold", "sold_before"])
+    # one row per calendar day whatever the tables hold, so the hint is on data that does not grow with them
+    calendar = date_table.select(F.col("date").alias("date_date"), F.trunc("date", "MM").alias("month")).distinct()
+    days = seen.join(F.broadcast(calendar), "month")
+    # of an earlier month all invoiced days are past, of the day's own month those up to the day
+    up_to = F.expr("shiftleft(1L, dayofmonth(date_date)) - 1")
+    sold = F.when(F.col("sale_month") == F.col("month"), F.col("sold").bitwiseAND(up_to)).otherwise(F.col("sold"))
+    found = days.select("date_date", "studentid", F.coalesce(last_day_sold("sale_month", sold), F.col("sold_before")).alias("last_invoice_date"))
+    return found.select("date_date", "studentid", "last_invoice_date",
+                        F.coalesce(F.col("last_invoice_date") >= F.date_sub("date_date", grace), F.lit(False)).alias("is_active"))
 
 
 def company_locations(company: DataFrame, contact: DataFrame, cfv: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.asof import asof_join
+from ledgerline.plans.programme import programme_activity_asof
 
 
 def _brute(left, right):
@@ -54,3 +56,50 @@ def test_the_flag_differs_from_the_same_day_join(spark, sf_dir, catalog):
     assert df.where("is_active AND last_invoice_date < date_date").count() > 0
     assert df.where("last_invoice_date IS NULL AND is_active").count() == 0
     assert df.where("last_invoice_date > date_date").count() == 0
+
+
+@pytest.fixture
+def static_plans(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _exchanged_rows(plan) -> list[int]:
+    """Rows that each shuffle of an executed plan wrote."""
+    below = [n for i in range(plan.children().size()) for n in _exchanged_rows(plan.children().apply(i))]
+    if plan.nodeName() == "Exchange":
+        below.append(plan.metrics().apply("shuffleRecordsWritten").value())
+    return below
+
+
+def test_the_flag_of_every_day_without_exchanging_the_days(spark, static_plans):
+    """Against a search of all invoices; no exchange writes more rows than the tables have."""
+    rng = random.Random(7)
+    span = [dt.date(1995, 11, 1) + dt.timedelta(i) for i in range(300)]
+    calendar = [d for d in span if d.month != 5 and d.toordinal() % 9] + [dt.date(1996, 2, 29), dt.date(1996, 2, 29), None]
+    company = lambda: rng.choice([None, *range(60)])
+    periods = [f"YEARMONTH_{d:%Y-%m}" for d in span if d.day == 1] + ["YEARMONTH_bad", "YEARMONTH_1996-13", "ADHOC_1996-01", None]
+    lines = [(rng.choice(periods), rng.choice([8000, 8000, 8000, 7000]), company()) for _ in range(500)]
+    # first and last days of a month, and a company with an invoice on every day
+    days = [dt.date(1995, 12, 31), dt.date(1996, 1, 1), dt.date(1996, 1, 31), dt.date(1996, 2, 29), None, *span[::4]]
+    sales = [(rng.choice(days), rng.choice(["companyid", "companyid", "personid", None]), company()) for _ in range(300)]
+    sales += [(d, "companyid", 3) for d in span] + [(dt.date(1969, 12, 31), "companyid", 4)]
+
+    months = {(c, p[10:]) for p, code, c in lines if c is not None and code == 8000 and p in periods[:10]}
+    billed = {(c, d) for d, kind, c in sales if kind == "companyid" and None not in (c, d)}
+    want = []
+    for c, month in months:
+        for d in {d for d in calendar if d and f"{d:%Y-%m}" == month}:
+            last = max((s for k, s in billed if k == c and s <= d), default=None)
+            want.append((d, c, last, last is not None and (d - last).days <= 42))
+
+    out = programme_activity_asof(
+        spark.createDataFrame([(d,) for d in calendar], "date date"),
+        spark.createDataFrame([(d and dt.datetime.combine(d, dt.time(23, 59)), k, c) for d, k, c in sales],
+                              "date timestamp_ntz, dependency_debtor string, dependency_debtor_id bigint").withColumn("amount_gross", F.lit(1)),
+        spark.createDataFrame([(p, code, "O", "Revenue Maths", c, 1) for p, code, c in lines],
+                              "group_identifier string, schemaid int, schemaid_type string, schemaid_description string, beneficiary_id bigint, result int"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    rows = _exchanged_rows(out._jdf.queryExecution().executedPlan())
+    assert rows and max(rows) <= len(calendar) + len(lines) + len(sales) < len(want)
